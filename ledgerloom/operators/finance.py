@@ -126,3 +126,17 @@ def recent_rows(
     order = [F.desc_nulls_last(date), *([F.asc(tie)] if tie else [])]
     newest = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     return df.select(*columns).withColumn("_n", newest).filter(F.col("_n") <= limit).drop("_n")
+
+
+def totals_with_lateness(
+    rows: DataFrame, value: str, loaded: str, keys: tuple[str, ...] = KEYS
+) -> DataFrame:
+    """Totals per business date, with how many rows were loaded on a later day.
+
+    The business date decides, so a back-dated row changes an old day and none is dropped.
+    """
+    return rows.groupBy(*keys, "date").agg(
+        money_sum(F.col(value)).alias("total"),
+        F.count("*").alias("n"),
+        F.count_if(F.col(loaded) > F.col("date")).alias("late"),
+    )
