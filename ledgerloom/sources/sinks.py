@@ -28,13 +28,12 @@ def write_trusted(records: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write cleaned records; a replay of the same files replaces what they wrote before.
 
     Only the partitions of the given batches are overwritten, and a batch without
-    records writes nothing.  Rows are gathered by output partition and spread inside it
-    by hash, so a day's files stay few and one large file does not meet one task.
+    records writes nothing.  Rebalancing gathers the rows of an output partition, and
+    AQE splits those that are large, so days stay in few files and none in one task.
     """
-    rows = with_batch(records)
-    spread = F.pmod(F.xxhash64("row_hash"), F.lit(8))
     (
-        rows.repartition(*PARTITIONS, spread)
+        with_batch(records)
+        .hint("rebalance", *PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip" if fmt == "json" else "zstd")

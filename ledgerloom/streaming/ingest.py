@@ -11,9 +11,9 @@ from ..sources.files import with_lineage
 from ..sources.sinks import write_trusted
 
 
-def raw_stream(spark: SparkSession, path: str, max_bytes: str = "5m") -> DataFrame:
+def raw_stream(spark: SparkSession, path: str, max_bytes: int = 5 << 20) -> DataFrame:
     """Lines of files as they land, about ``max_bytes`` of files per batch."""
-    lines = spark.readStream.format("text").option("maxBytesPerTrigger", max_bytes).load(path)
+    lines = spark.readStream.format("text").option("maxBytesPerTrigger", str(max_bytes)).load(path)
     return with_lineage(lines.withColumnRenamed("value", "line"))
 
 

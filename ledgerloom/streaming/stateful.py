@@ -123,3 +123,10 @@ def start_reviews(actions: DataFrame, log: str, state: str, checkpoint: str):
         .trigger(availableNow=True)
         .start()
     )
+
+
+def current_reviews(spark, state: str) -> DataFrame:
+    """The newest fold of every anomaly a review stream has written."""
+    rows = spark.read.parquet(state)
+    last = rows.groupBy("company_id", "anomaly_id").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["company_id", "anomaly_id", "batch"], "left_semi")
