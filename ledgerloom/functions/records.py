@@ -28,6 +28,10 @@ class Fields:
         """The names that can hold a value: all of them in a map, else existing columns."""
         return [n for n in names if self.raw or n in self.types]
 
+    def parses(self, names: Iterable[str]) -> bool:
+        """Whether any of the fields is read from text or a variant rather than typed."""
+        return any(self.raw or self.types[n] == "string" for n in self.usable(names))
+
     def _item(self, name: str) -> Column:
         return F.try_element_at(F.col(self.raw), F.lit(name))
 

@@ -15,9 +15,14 @@ def flow_of(hint: Column, amount: Column) -> Column:
     """Revenue or expenditure: a word anywhere inside the hint decides, revenue words
     first; without a word the sign decides and zero counts as revenue."""
     text = F.lower(F.coalesce(hint, F.lit("")))
+
+    def has(words: tuple[str, ...]) -> Column:
+        # Plain substring tests: compiled, and several times faster than a regex.
+        return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+
     return (
-        F.when(text.rlike("|".join(K.REVENUE_WORDS)), "revenue")
-        .when(text.rlike("|".join(K.EXPENDITURE_WORDS)), "expenditure")
+        F.when(has(K.REVENUE_WORDS), "revenue")
+        .when(has(K.EXPENDITURE_WORDS), "expenditure")
         .when(amount >= 0, "revenue")
         .when(amount < 0, "expenditure")
     )

@@ -25,11 +25,13 @@ _BLOCKS = 15
 _CHUNK_ROWS = 200_000
 
 
+def _day_id():
+    return F.concat_ws("-", "source_area", F.col("date").cast("string"))
+
+
 def daily_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """One row per area and day with rolling features and an id of its own."""
-    return rolling_features(daily_totals(rows, keys), keys).withColumn(
-        "record_id", F.concat_ws("-", "source_area", F.col("date").cast("string"))
-    )
+    return rolling_features(daily_totals(rows, keys), keys).withColumn("record_id", _day_id())
 
 
 def transaction_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -81,26 +83,26 @@ def model_gate(daily: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
 def model_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The rows to score: transactions or days, each distinct row once with its copies.
 
-    Copies are folded before anything is grouped by content hash, so a record repeated
-    without end stays one row.  Days have no amount; a constant stands in, which no tree
-    can split on.
+    Copies are folded first, so a record repeated without end stays one row, and the
+    input is read once: totals, medians and the joined rows all start from that shuffle.
+    Days have no amount; a constant stands in, which no tree can split on.
     """
     areas = [*keys, "source_area"]
-    daily = daily_frame(rows, keys)
-    gate = model_gate(daily, keys).filter("model_key IS NOT NULL")
-    typical = exact_quantile(rows, areas, "amount", 0.5, "amount_baseline").drop("n")
-    lookup = daily.drop("record_id").join(
-        gate.select(*areas, "mode", "model_key", "model_rows").join(typical, areas, "left"), areas
-    )
     folded = rows.groupBy(*areas, "date", "record_id", "amount").agg(
         F.count("*").alias("copies")
     )
+    daily = rolling_features(daily_totals(folded, keys, "copies"), keys)
+    gate = model_gate(daily, keys).filter("model_key IS NOT NULL")
+    typical = exact_quantile(folded, areas, "amount", 0.5, "amount_baseline", "copies").drop("n")
+    lookup = daily.join(
+        gate.select(*areas, "mode", "model_key", "model_rows").join(typical, areas, "left"), areas
+    )
     transactions = spread_join(
         folded, lookup.filter("mode = 'transaction'"), [*areas, "date"], "record_id"
     ).filter("model_key IS NOT NULL")
     days = lookup.filter("mode = 'daily'").select(
         "*",
-        F.concat_ws("-", "source_area", F.col("date").cast("string")).alias("record_id"),
+        _day_id().alias("record_id"),
         F.lit(0.0).alias("amount"),
         F.lit(1).cast("bigint").alias("copies"),
     )

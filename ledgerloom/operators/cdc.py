@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.dates import iso_seconds
+from ..session import computed_once
 
 
 def select_captured(
@@ -80,7 +81,9 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         )
         .withColumn("route", F.when(F.col("reject").isNull(), F.col("_target")))
     )
-    return routed.drop("_v", "_envelope", "_control", "_table", "_schema", "_fields", "_target")
+    return computed_once(
+        routed.select(*lines.columns, "raw", "reject", "route"), ["raw", "reject", "route"]
+    )
 
 
 def standardize_times(df: DataFrame, raw: str = "raw") -> DataFrame:

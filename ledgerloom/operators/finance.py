@@ -9,7 +9,8 @@ from .. import constants as K
 from ..functions.dates import path_date
 from ..functions.records import Fields
 from ..functions.rules import flow_of
-from ..functions.values import money_sum
+from ..functions.values import exact, money_sum
+from ..session import computed_once
 
 KEYS = ("company_id",)
 
@@ -68,7 +69,10 @@ def normalize_finance(
         fields.first_text(K.CATEGORY_FIELDS, "Other").alias("category"),
         fields.first_text(K.VENDOR_FIELDS, "Unlabelled vendor").alias("vendor"),
         fields.first_text(K.DEPARTMENT_FIELDS, "").alias("department"),
-    ).filter(amount.isNotNull())
+    )
+    if fields.parses([*K.AMOUNT_FIELDS, "credit", "debit", *rules["dates"]]):
+        rows = computed_once(rows, ["signed_amount", "event_ts"])
+    rows = rows.filter(amount.isNotNull())
     if not rules["undated"]:
         rows = rows.filter("event_ts IS NOT NULL")
     return (
@@ -79,11 +83,23 @@ def normalize_finance(
     )
 
 
-def daily_totals(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Total and count per area and day; combined before the shuffle."""
+def daily_totals(
+    rows: DataFrame, keys: tuple[str, ...] = KEYS, copies: str | None = None
+) -> DataFrame:
+    """Total and count per area and day; combined before the shuffle.
+
+    ``copies`` names a column of how many equal records a row stands for.
+    """
+    amount = F.col("amount")
+    if copies:
+        total = F.sum(exact(amount) * F.col(copies)).cast("double") + F.coalesce(
+            F.sum(F.when(exact(amount).isNull(), amount * F.col(copies))), F.lit(0.0)
+        )
+        count = F.sum(copies)
+    else:
+        total, count = money_sum(amount), F.count("record_id")
     return rows.groupBy(*keys, "source_area", "date").agg(
-        money_sum(F.col("amount")).alias("daily_total"),
-        F.count("record_id").alias("transaction_count"),
+        total.alias("daily_total"), count.alias("transaction_count")
     )
 
 

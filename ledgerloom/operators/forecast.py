@@ -97,10 +97,11 @@ def train_forests(
         *name, block = key
         pdf = pdf.sort_values("date")
         x, y = pdf[features].to_numpy(float), pdf["target"].to_numpy(float)
+        order = np.argsort(x, axis=0, kind="stable").T
         forest = Forest()
         for tree in range(block * per_block, min(trees, (block + 1) * per_block)):
             grow_regression(
-                forest, x, y, seeded(seed, *name, tree), K.FOREST_DEPTH, K.FOREST_MIN_LEAF
+                forest, x, y, order, seeded(seed, *name, tree), K.FOREST_DEPTH, K.FOREST_MIN_LEAF
             )
         return pd.DataFrame([{**dict(zip(ids, name)), "block": block, **forest.columns()}])
 

@@ -82,48 +82,54 @@ def grow_isolation(forest: Forest, x: np.ndarray, rng: np.random.Generator, dept
         todo += [(left, part[goes_left], level + 1), (right, part[~goes_left], level + 1)]
 
 
-def best_split(x: np.ndarray, y: np.ndarray, w: np.ndarray, min_leaf: int):
-    """(feature, threshold) with the largest drop of squared error, or None."""
-    n = len(y)
-    order = np.argsort(x, axis=0, kind="stable")
-    xs = np.take_along_axis(x, order, axis=0)
-    ws = np.cumsum(w[order], axis=0)
-    wy = np.cumsum((w * y)[order], axis=0)
-    cut = slice(min_leaf - 1, n - min_leaf)
-    wl, yl = ws[cut], wy[cut]
-    gain = yl**2 / wl + (wy[-1] - yl) ** 2 / (ws[-1] - wl)
-    gain[xs[min_leaf - 1 : n - min_leaf] == xs[min_leaf : n - min_leaf + 1]] = -np.inf
-    row, f = np.unravel_index(np.argmax(gain), gain.shape)
-    if not gain[row, f] > wy[-1, 0] ** 2 / ws[-1, 0] + 1e-12:
+def best_split(x: np.ndarray, y: np.ndarray, w: np.ndarray, order: np.ndarray, min_leaf: int):
+    """(feature, threshold) with the largest drop of squared error, or None.
+
+    ``order`` lists the node's rows by each feature, one feature per line.
+    """
+    n = order.shape[1]
+    xs = np.take_along_axis(x.T, order, axis=1)
+    weight = w[order]
+    ws = np.cumsum(weight, axis=1)
+    wy = np.cumsum(weight * y[order], axis=1)
+    wl, yl = ws[:, min_leaf - 1 : n - min_leaf], wy[:, min_leaf - 1 : n - min_leaf]
+    gain = yl * yl / wl + (wy[:, -1:] - yl) ** 2 / (ws[:, -1:] - wl)
+    gain[xs[:, min_leaf - 1 : n - min_leaf] == xs[:, min_leaf : n - min_leaf + 1]] = -np.inf
+    f, at = divmod(int(np.argmax(gain)), gain.shape[1])
+    if not gain[f, at] > wy[0, -1] ** 2 / ws[0, -1] + 1e-12:
         return None
-    row += min_leaf - 1
-    return f, (xs[row, f] + xs[row + 1, f]) / 2.0
+    at += min_leaf - 1
+    return f, (xs[f, at] + xs[f, at + 1]) / 2.0
 
 
 def grow_regression(
-    forest: Forest, x: np.ndarray, y: np.ndarray, rng: np.random.Generator,
+    forest: Forest, x: np.ndarray, y: np.ndarray, order: np.ndarray, rng: np.random.Generator,
     depth: int, min_leaf: int,
 ) -> None:
-    """One regression tree on a bootstrap sample; drawn copies of a row are its weight."""
+    """One regression tree on a bootstrap sample; drawn copies of a row are its weight.
+
+    Rows are sorted once per series (``order``); a node keeps its part of that order.
+    """
     w = np.bincount(rng.integers(len(y), size=len(y)), minlength=len(y)).astype(float)
-    drawn = w > 0
     root = forest.node(0.0)
     forest.roots.append(root)
-    todo = [(root, x[drawn], y[drawn], w[drawn], 0)]
+    lines = order.shape[0]
+    todo = [(root, order[w[order] > 0].reshape(lines, -1), 0)]
     while todo:
-        at, px, py, pw, level = todo.pop()
-        forest.value[at] = float(np.average(py, weights=pw))
-        if level >= depth or len(py) < 2 * min_leaf or np.ptp(py) == 0:
+        at, part, level = todo.pop()
+        rows = part[0]
+        forest.value[at] = float(np.dot(w[rows], y[rows]) / w[rows].sum())
+        if level >= depth or len(rows) < 2 * min_leaf:
             continue
-        found = best_split(px, py, pw, min_leaf)
+        found = best_split(x, y, w, part, min_leaf)
         if found is None:
             continue
         f, threshold = found
-        goes_left = px[:, f] <= threshold
+        goes_left = (x[:, f] <= threshold)[part]
         left, right = forest.node(0.0), forest.node(0.0)
         forest.split(at, f, threshold, left, right)
-        for child, side in ((left, goes_left), (right, ~goes_left)):
-            todo.append((child, px[side], py[side], pw[side], level + 1))
+        todo.append((left, part[goes_left].reshape(lines, -1), level + 1))
+        todo.append((right, part[~goes_left].reshape(lines, -1), level + 1))
 
 
 def join_blocks(blocks) -> dict[str, np.ndarray]:

@@ -12,6 +12,7 @@ from .. import constants as K
 from ..functions.dates import path_date
 from ..functions.records import Fields
 from ..functions.values import strip
+from ..session import computed_once
 from .series import dense_daily
 
 KEYS = ("company_id",)
@@ -59,13 +60,16 @@ def employee_events(
         when = F.coalesce(when, path_date(F.col(path)).cast("timestamp"))
     if mtime in df.columns:
         when = F.coalesce(when, F.col(mtime).cast("timestamp"))
-    return df.select(
+    rows = df.select(
         *keys,
         fields.first_text(K.EMPLOYEE_ID_FIELDS).alias("employee_id"),
         when.alias("event_ts"),
         active_of(fields).alias("is_active"),
         (F.col(seq) if seq else F.lit(0)).cast("bigint").alias("seq"),
-    ).filter("employee_id IS NOT NULL AND event_ts IS NOT NULL")
+    )
+    if fields.parses(K.EMPLOYEE_DATE_FIELDS):
+        rows = computed_once(rows, ["employee_id", "event_ts", "is_active"])
+    return rows.filter("employee_id IS NOT NULL AND event_ts IS NOT NULL")
 
 
 def headcount_changes(events: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:

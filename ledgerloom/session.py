@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "ledgerloom", master: str | None = None, **conf) -> SparkSession:
@@ -62,6 +63,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with the given columns fixed, so that no later filter is pushed below them.
+
+    A filter on a parsed column would otherwise be rewritten in terms of the raw text and
+    parse it again, once per mention.  Filters do not move below a generator; this one
+    gives exactly one row per row.
+    """
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.inline(F.array(F.struct(*columns))))
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give the executors this package, once per application, for the Python tasks."""
     context = spark.sparkContext
