@@ -13,7 +13,7 @@ from ..functions.rules import severity_of
 from ..functions.values import currency, percent_change
 from ..session import by_task, materialize, ship_code
 from .finance import daily_totals
-from .quantiles import exact_quantile, spread_join
+from .quantiles import exact_quantile, join_lookup
 from .series import rolling_features
 from .trees import (
     FOREST_FIELDS, Forest, grow_isolation, join_blocks, leaf_values, path_length, seeded,
@@ -34,12 +34,33 @@ def daily_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     return rolling_features(daily_totals(rows, keys), keys).withColumn("record_id", _day_id())
 
 
+def fold_copies(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Each distinct record once, with how many copies of it there are.
+
+    Written once: totals, medians and frames read it instead of parsing the input again.
+    Copies are combined before the shuffle, so a record repeated without end stays small.
+    """
+    folded = rows.groupBy(*keys, "source_area", "date", "record_id", "amount").agg(
+        F.count("*").alias("copies")
+    )
+    return materialize(folded, "folded")
+
+
+def _baselines(folded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Median amount of every area, copies counted."""
+    areas = [*keys, "source_area"]
+    return exact_quantile(folded, areas, "amount", 0.5, "amount_baseline", "copies").drop("n")
+
+
 def transaction_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Transactions with the totals of their day and the median amount of their area."""
     areas = [*keys, "source_area"]
-    daily = rolling_features(daily_totals(rows, keys), keys)
-    typical = exact_quantile(rows, areas, "amount", 0.5, "amount_baseline").drop("n")
-    return spread_join(rows, daily.join(typical, areas), [*areas, "date"], "record_id")
+    folded = fold_copies(rows, keys)
+    daily = rolling_features(daily_totals(folded, keys, "copies"), keys)
+    lookup = materialize(daily.join(_baselines(folded, keys), areas), "daily")
+    joined = join_lookup(folded, lookup, [*areas, "date"], "record_id")
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return joined.withColumn("copy", again).drop("copies", "copy")
 
 
 def model_gate(daily: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -83,23 +104,19 @@ def model_gate(daily: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
 def model_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The rows to score: transactions or days, each distinct row once with its copies.
 
-    Copies are folded first, so a record repeated without end stays one row, and the
-    input is read once: totals, medians and the joined rows all start from that shuffle.
     Days have no amount; a constant stands in, which no tree can split on.
     """
     areas = [*keys, "source_area"]
-    folded = rows.groupBy(*areas, "date", "record_id", "amount").agg(
-        F.count("*").alias("copies")
-    )
+    folded = fold_copies(rows, keys)
     daily = rolling_features(daily_totals(folded, keys, "copies"), keys)
     gate = model_gate(daily, keys).filter("model_key IS NOT NULL")
-    typical = exact_quantile(folded, areas, "amount", 0.5, "amount_baseline", "copies").drop("n")
-    lookup = daily.join(
-        gate.select(*areas, "mode", "model_key", "model_rows").join(typical, areas, "left"), areas
+    models = gate.select(*areas, "mode", "model_key", "model_rows").join(
+        _baselines(folded, keys), areas, "left"
+    )
+    lookup = materialize(daily.join(models, areas), "daily")
+    transactions = join_lookup(
+        folded, lookup.filter("mode = 'transaction'"), [*areas, "date"], "record_id", "inner"
     )
-    transactions = spread_join(
-        folded, lookup.filter("mode = 'transaction'"), [*areas, "date"], "record_id"
-    ).filter("model_key IS NOT NULL")
     days = lookup.filter("mode = 'daily'").select(
         "*",
         _day_id().alias("record_id"),
@@ -229,11 +246,10 @@ def isolation_scores(
     """Every modelled row with its score in [0, 1] and whether it is flagged.
 
     A row is flagged when its raw score lies beyond the (1 - contamination) quantile of
-    its model.  The frame and the scores are written once each: the first feeds sampling
-    and scoring, the second the quantile, the scaling and the result.
+    its model.  Scores are written once and feed the quantile, the scaling and the result.
     """
     ids = _model(keys)
-    frame = materialize(model_frame(rows, keys), "model-frame")
+    frame = model_frame(rows, keys)
     scored = materialize(
         score_rows(frame, train_isolation(frame, keys, trees), keys), "model-scores"
     )
@@ -243,7 +259,7 @@ def isolation_scores(
     ends = scored.groupBy(*ids).agg(F.min("raw_score").alias("_min"), F.max("raw_score").alias("_max"))
     spread = F.col("_max") - F.col("_min")
     return (
-        spread_join(scored, limit.join(ends, ids), ids, "record_id")
+        join_lookup(scored, materialize(limit.join(ends, ids), "limits"), ids, "record_id")
         .withColumn("anomaly_flag", F.col("raw_score") > F.col("threshold"))
         .withColumn(
             "anomaly_score",

@@ -1,10 +1,4 @@
-"""Exact quantiles of groups that do not fit one task.
-
-``percentile`` gathers a group's distinct values in one aggregation state, which a
-group holding a third of all rows would overflow.  Here approximate cut points, whose
-size is fixed, split each group into buckets; one bucket is known from counts to hold
-the wanted rank, and only its values are ordered.
-"""
+"""Joins to small written tables, and exact quantiles of groups too large for one task."""
 
 from __future__ import annotations
 
@@ -12,98 +6,104 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# 15 coarse cuts of 15 buckets each: a value is placed in two short searches.
-_STEP = 15
-BUCKETS = _STEP * _STEP
+from ..session import materialize
+
+# Up to this many rows a written lookup is broadcast: tens of megabytes at most.
+BROADCAST_ROWS = 200_000
+SALTS = 16
+
+
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], salt_on: str, how: str = "left"
+) -> DataFrame:
+    """Join many rows to a written table, which is counted first.
+
+    A small lookup is broadcast and the rows stay where they are.  Beyond that the rows
+    of a key go to ``SALTS`` partitions by a hash of ``salt_on`` and the lookup is
+    repeated once per salt, so a key with a third of all rows does not meet one task.
+    """
+    if lookup.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup), keys, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(SALTS)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def _grid(q: float) -> list[float]:
+    """Cut points: close together around the wanted quantile, wide elsewhere."""
+    near = [q + (i - 8) * 0.00125 for i in range(17)]
+    wide = [i / 15 for i in range(1, 15)]
+    return sorted(g for g in {*near, *wide} if 0.0 < g < 1.0)
+
+
+def _cuts_below(count: int) -> Column:
+    """How many of the rising ``_cuts`` lie below ``_v``: a binary search written as
+    nested conditions, which are compiled."""
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        cut = F.get("_cuts", F.lit(middle))
+        return F.when(cut < F.col("_v"), search(middle + 1, high)).otherwise(search(low, middle))
+
+    return search(0, count)
 
 
 def exact_quantile(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    q: float,
-    name: str,
-    weight: str | None = None,
+    df: DataFrame, keys: list[str], value: str, q: float, name: str, weight: str | None = None
 ) -> DataFrame:
     """``keys, name, n``: the linearly interpolated q-quantile of ``value`` per key.
 
-    ``weight`` is a whole number of copies that a row stands for.
+    ``percentile`` would gather all values of a group in one state.  Here approximate
+    cuts, of fixed size, split every group into buckets; the counts of the buckets tell
+    exactly which one holds the wanted rank, and only its values are shuffled and
+    ordered.  Poor cuts make that bucket larger, never the result wrong.  ``df`` is read
+    three times and should be a written table; ``weight`` is a whole number of copies a
+    row stands for.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg((F.sum(weight) if weight else F.count("*")).alias("_c"))
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *keys, F.col(value).alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w")
     )
-    grid = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("_v", grid, 10_000).alias("_cuts"), F.sum("_c").alias("n")
+    grid = _grid(q)
+    cuts = materialize(
+        rows.groupBy(*keys).agg(
+            F.percentile_approx("_v", grid, 10_000).alias("_cuts"), F.sum("_w").alias("n")
+        ),
+        "cuts",
     )
-    placed = (
-        spread_join(counts, cuts, keys, "_v")
-        .withColumn("_part", _cuts_below(F.lit(_STEP - 1), _STEP))
-        .withColumn("_b", F.col("_part") * _STEP + _cuts_below(F.col("_part") * _STEP, 1))
-        .drop("_part")
+    bucket = _cuts_below(len(grid))
+    sizes = (
+        join_lookup(rows, cuts, keys, "_v")
+        .groupBy(*keys, bucket.alias("_b"))
+        .agg(F.sum("_w").alias("_size"))
     )
-    per_bucket = placed.groupBy(*keys, "_b").agg(
-        F.sum("_c").alias("_size"), F.first("n").alias("n")
-    )
-    w = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     rank = (F.col("n") - 1) * F.lit(q)
     low, high = F.floor(rank), F.ceil(rank)
     start = F.col("_start")
-    wanted = (
-        per_bucket.withColumn("_start", F.coalesce(F.sum("_size").over(w), F.lit(0)))
+    wanted = materialize(
+        sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .join(cuts, keys)
         .filter((start <= high) & (start + F.col("_size") > low))
-        .select(*keys, "_b", "_start")
+        .select(*keys, "_b", "_start", "_cuts", "n"),
+        "wanted",
     )
     inside = W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
-    first = F.col("_start") + F.coalesce(F.sum("_c").over(inside), F.lit(0))
     ranked = (
-        placed.drop("_cuts")
-        .join(wanted, [*keys, "_b"])
-        .withColumn("_from", first)
+        join_lookup(rows, wanted, keys, "_v", "inner")
+        .filter(bucket == F.col("_b"))
+        .groupBy(*keys, "_b", "_start", "n", "_v")
+        .agg(F.sum("_w").alias("_c"))
+        .withColumn("_from", start + F.coalesce(F.sum("_c").over(inside), F.lit(0)))
         .withColumn("_to", F.col("_from") + F.col("_c") - 1)
     )
     holds = [
         F.max(F.when((F.col("_from") <= r) & (r <= F.col("_to")), F.col("_v"))).alias(a)
         for r, a in ((low, "_lo"), (high, "_hi"))
     ]
-    picked = ranked.groupBy(*keys).agg(*holds, F.first("n").alias("n"))
-    part = rank - low
-    return picked.select(
+    return ranked.groupBy(*keys, "n").agg(*holds).select(
         *keys,
-        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias(name),
+        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (rank - low)).alias(name),
         "n",
     )
-
-
-def _cuts_below(first: Column, stride: int) -> Column:
-    """How many of 14 rising cuts, every ``stride``-th from ``first``, lie below ``_v``.
-
-    A binary search written as nested conditions, which are compiled, unlike a fold.
-    """
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        cut = F.get("_cuts", first + F.lit(middle * stride))
-        return F.when(cut < F.col("_v"), search(middle + 1, high)).otherwise(search(low, middle))
-
-    return search(0, _STEP - 1)
-
-
-def spread_join(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], salt_on: str, salts: int = 16
-) -> DataFrame:
-    """Left join of many rows to a much smaller lookup, safe for hot keys.
-
-    A key's rows go to ``salts`` partitions by a hash of ``salt_on``; the lookup is
-    repeated once per salt.  A lookup that turns out small is broadcast by AQE instead,
-    from its measured size.
-    """
-    many = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return many.join(copies, [*keys, "_salt"], "left").drop("_salt")
