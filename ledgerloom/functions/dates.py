@@ -39,6 +39,9 @@ def parse_instant(text: Column) -> Column:
         F.concat(plain, F.lit(" 00:00:00Z"))
     )
     iso = F.when(raw.rlike(_OFFSET), F.upper(raw)).otherwise(F.concat(raw, F.lit("Z")))
+    # A cast wants seconds, and a colon inside the offset.
+    iso = F.regexp_replace(iso, r"^(.{10}[T ]\d{2}:\d{2})([Z+-])", "$1:00$2")
+    iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
     return (
         F.when(raw.rlike(r"^\d+$"), epoch)
         .when(raw.rlike(_PLAIN), plain.try_cast("timestamp"))
