@@ -9,11 +9,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.records import snapshot
 from ..functions.rules import severity_of
 from ..functions.values import currency, percent_change
 from ..session import by_task, materialize, ship_code
 from .finance import daily_totals
-from .quantiles import exact_quantile, join_lookup
+from .lookups import join_lookup
+from .quantiles import exact_quantile
 from .series import rolling_features
 from .trees import (
     FOREST_FIELDS, Forest, grow_isolation, join_blocks, leaf_values, path_length, seeded,
@@ -58,7 +60,7 @@ def transaction_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFram
     folded = fold_copies(rows, keys)
     daily = rolling_features(daily_totals(folded, keys, "copies"), keys)
     lookup = materialize(daily.join(_baselines(folded, keys), areas), "daily")
-    joined = join_lookup(folded, lookup, [*areas, "date"], "record_id")
+    joined = join_lookup(folded, lookup, [*areas, "date"])
     again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
     return joined.withColumn("copy", again).drop("copies", "copy")
 
@@ -115,7 +117,7 @@ def model_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     )
     lookup = materialize(daily.join(models, areas), "daily")
     transactions = join_lookup(
-        folded, lookup.filter("mode = 'transaction'"), [*areas, "date"], "record_id", "inner"
+        folded, lookup.filter("mode = 'transaction'"), [*areas, "date"], "inner"
     )
     days = lookup.filter("mode = 'daily'").select(
         "*",
@@ -259,7 +261,7 @@ def isolation_scores(
     ends = scored.groupBy(*ids).agg(F.min("raw_score").alias("_min"), F.max("raw_score").alias("_max"))
     spread = F.col("_max") - F.col("_min")
     return (
-        join_lookup(scored, materialize(limit.join(ends, ids), "limits"), ids, "record_id")
+        join_lookup(scored, materialize(limit.join(ends, ids), "limits"), ids)
         .withColumn("anomaly_flag", F.col("raw_score") > F.col("threshold"))
         .withColumn(
             "anomaly_score",
@@ -454,10 +456,9 @@ def attach_details(
 ) -> DataFrame:
     """Add a snapshot of each anomaly's record: its first fields by name, private ones
     left out.  Only the few flagged ids meet the records."""
-    from ..functions.records import snapshot
-
-    wanted = anomalies.select(*keys, "record_id").distinct()
-    found = records.join(wanted, [*keys, "record_id"], "left_semi").groupBy(*keys, "record_id").agg(
+    wanted = materialize(anomalies.select(*keys, "record_id").distinct(), "wanted")
+    ids = [*keys, "record_id"]
+    found = join_lookup(records, wanted, ids, "left_semi").groupBy(*ids).agg(
         F.first(F.to_json(snapshot(F.col("raw"), limit))).alias("record_snapshot")
     )
-    return anomalies.join(found, [*keys, "record_id"], "left")
+    return anomalies.join(found, ids, "left")

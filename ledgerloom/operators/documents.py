@@ -11,22 +11,29 @@ _POINT = "struct<date:string,value:double>"
 _AHEAD = "struct<date:string,predicted_value:double,lower_bound:double,upper_bound:double>"
 DOCUMENT_SCHEMA = (
     "schema_version string, generated_at string, status string, "
-    "rows_processed struct<employees:bigint,finance:bigint>, input_files array<string>, "
+    "rows_processed struct<employees:bigint,finance:bigint>, "
     f"metrics array<struct<metric:string,status:string,history:array<{_POINT}>,"
     f"forecast:array<{_AHEAD}>>>"
 )
 
 
+def run_files(
+    records: DataFrame, keys: tuple[str, ...] = KEYS, dataset: str = "dataset", file: str = "source_file"
+) -> DataFrame:
+    """The files a run read, one row each with its number of records."""
+    return records.groupBy(*keys, dataset, file).agg(F.count("*").alias("rows_read"))
+
+
 def run_diagnostics(
     records: DataFrame, keys: tuple[str, ...] = KEYS, dataset: str = "dataset", file: str = "source_file"
 ) -> DataFrame:
-    """Rows read per company and dataset, with the files they came from.
+    """Rows and files read per company and dataset.
 
-    Files are counted first, so the list holds one entry per file, never per row.
+    The files themselves stay rows (``run_files``): a list of them would grow without
+    end in one row.
     """
-    per_file = records.groupBy(*keys, dataset, file).agg(F.count("*").alias("n"))
-    return per_file.groupBy(*keys, dataset).agg(
-        F.sum("n").alias("rows_processed"), F.array_sort(F.collect_list(file)).alias("input_files")
+    return run_files(records, keys, dataset, file).groupBy(*keys, dataset).agg(
+        F.sum("rows_read").alias("rows_processed"), F.count("*").alias("input_files")
     )
 
 
@@ -77,7 +84,6 @@ def run_documents(
     metrics = per_metric.groupBy(*keys).agg(
         F.array_sort(F.collect_list("_m"), lambda a, b: F.when(a.metric < b.metric, -1).when(a.metric > b.metric, 1).otherwise(0)).alias("metrics")
     )
-    files = F.col("input_files") if "input_files" in runs.columns else F.array().cast("array<string>")
     body = F.struct(
         F.lit("2.0").alias("schema_version"),
         F.lit(generated_at).alias("generated_at"),
@@ -86,7 +92,6 @@ def run_documents(
             F.col("employees").cast("bigint").alias("employees"),
             F.col("finance").cast("bigint").alias("finance"),
         ).alias("rows_processed"),
-        files.alias("input_files"),
         "metrics",
     )
     return runs.join(metrics, list(keys), "left").select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -10,7 +11,8 @@ from ..functions.dates import path_date
 from ..functions.records import Fields
 from ..functions.rules import flow_of
 from ..functions.values import exact, money_sum
-from ..session import computed_once
+from ..session import computed_once, materialize
+from .lookups import join_lookup
 
 KEYS = ("company_id",)
 
@@ -116,8 +118,8 @@ def source_fallback(
     preferred: DataFrame, broader: DataFrame, keys: tuple[str, ...] = KEYS
 ) -> DataFrame:
     """Rows of the preferred input, and of the broader one for keys it lacks."""
-    have = preferred.select(*keys).distinct()
-    return preferred.unionByName(broader.join(have, list(keys), "left_anti"))
+    have = materialize(preferred.select(*keys).distinct(), "have")
+    return preferred.unionByName(join_lookup(broader, have, list(keys), "left_anti"))
 
 
 def recent_rows(
@@ -127,8 +129,6 @@ def recent_rows(
 
     Only the first existing column of each role is read; NULL dates come last.
     """
-    from pyspark.sql import Window as W
-
     names = set(df.columns)
     date = next((n for n in K.FINANCE_PROFILES["live"]["dates"] if n in names), None)
     if date is None:

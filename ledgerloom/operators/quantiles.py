@@ -1,4 +1,4 @@
-"""Joins to small written tables, and exact quantiles of groups too large for one task."""
+"""Exact quantiles of groups too large for one task."""
 
 from __future__ import annotations
 
@@ -7,26 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-
-# Up to this many rows a written lookup is broadcast: tens of megabytes at most.
-BROADCAST_ROWS = 200_000
-SALTS = 16
-
-
-def join_lookup(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], salt_on: str, how: str = "left"
-) -> DataFrame:
-    """Join many rows to a written table, which is counted first.
-
-    A small lookup is broadcast and the rows stay where they are.  Beyond that the rows
-    of a key go to ``SALTS`` partitions by a hash of ``salt_on`` and the lookup is
-    repeated once per salt, so a key with a third of all rows does not meet one task.
-    """
-    if lookup.count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(lookup), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+from .lookups import join_lookup
 
 
 def _grid(q: float) -> list[float]:
@@ -74,7 +55,7 @@ def exact_quantile(
     )
     bucket = _cuts_below(len(grid))
     sizes = (
-        join_lookup(rows, cuts, keys, "_v")
+        join_lookup(rows, cuts, keys)
         .groupBy(*keys, bucket.alias("_b"))
         .agg(F.sum("_w").alias("_size"))
     )
@@ -91,7 +72,7 @@ def exact_quantile(
     )
     inside = W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
     ranked = (
-        join_lookup(rows, wanted, keys, "_v", "inner")
+        join_lookup(rows, wanted, keys, "inner")
         .filter(bucket == F.col("_b"))
         .groupBy(*keys, "_b", "_start", "n", "_v")
         .agg(F.sum("_w").alias("_c"))

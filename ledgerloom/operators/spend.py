@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.values import exact, money_sum
+from ..session import materialize
+from .lookups import join_lookup
 from .series import trailing_days
 
 KEYS = ("company_id",)
@@ -21,21 +23,22 @@ def top_labels(
 ) -> DataFrame:
     """The labels with the most spend, and their share of all spend; blanks skipped.
 
-    The share is taken of every expense, labelled or not.
+    The share is taken of every expense, labelled or not.  Labels are ranked under a
+    limit and totals are an aggregate, so a company's labels never meet in one task.
     """
     totals = (
         expenses(rows)
         .groupBy(*keys, F.trim(label).alias("label"))
         .agg(money_sum(F.col("amount")).alias("value"))
     )
-    everything = F.sum(exact(F.col("value"))).over(W.partitionBy(*keys)).cast("double")
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("value"), "label"))
-    return (
-        totals.withColumn("share", F.col("value") / everything)
-        .filter("label <> ''")
-        .withColumn("rank", rank)
-        .filter(F.col("rank") <= k)
+    everything = totals.groupBy(*keys).agg(
+        F.sum(exact(F.col("value"))).cast("double").alias("_all")
     )
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("value"), "label"))
+    best = totals.filter("label <> ''").withColumn("rank", rank).filter(F.col("rank") <= k)
+    return best.join(everything, list(keys)).withColumn(
+        "share", F.col("value") / F.col("_all")
+    ).drop("_all")
 
 
 def recurring_spend(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -73,13 +76,13 @@ def unusual_expenses(
 ) -> DataFrame:
     """The largest expenses far above a company's mean (1.8 deviations and 1.35 means)."""
     spent = expenses(rows).select(*keys, "record_id", "date", "vendor", "amount")
-    limits = spent.groupBy(*keys).agg(*spread_of(F.col("amount")))
+    limits = materialize(spent.groupBy(*keys).agg(*spread_of(F.col("amount"))), "limits")
     far = (F.col("amount") > F.col("mean") + F.col("deviation") * 1.8) & (
         F.col("amount") > F.col("mean") * 1.35
     )
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("amount"), "record_id"))
     return (
-        spent.join(limits, list(keys))
+        join_lookup(spent, limits, list(keys), "inner")
         .filter(far)
         .withColumn("rank", rank)
         .filter(F.col("rank") <= k)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import safe_projection, strip
+from .lookups import join_lookup
 
 _VERBS = re.compile(
     r"\b(insert|update|delete|drop|alter|create|truncate|merge|grant|revoke|unload|call|msck|repair)\b",
@@ -116,7 +117,7 @@ def tenant_scope(
 
 def scoped_rows(rows: DataFrame, scope: DataFrame, keys: tuple[str, ...] = ("company_id",)) -> DataFrame:
     """Rows of active companies only."""
-    return rows.join(scope.select(*keys).distinct(), list(keys), "left_semi")
+    return join_lookup(rows, scope.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def rows_under(rows: DataFrame, prefix: str, path: str = "source_file") -> DataFrame:

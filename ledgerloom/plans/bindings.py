@@ -19,8 +19,15 @@ SQL_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 _SQL_COMPANIES = "['africa', 'america', 'asia', 'europe', 'middle-east']"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is looked up in the files once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def company_of(number) -> F.Column:

@@ -144,12 +144,19 @@ def latest_batch(spark, d):
 
 
 @query("run_diagnostics", f"""
-WITH {_SQL_FILED} SELECT company_id, event_type AS dataset, count(*) AS rows_processed, string_agg(DISTINCT source_file, ',' ORDER BY source_file) AS input_files FROM filed GROUP BY ALL
+WITH {_SQL_FILED} SELECT company_id, event_type AS dataset, count(*) AS rows_processed, count(DISTINCT source_file) AS input_files FROM filed GROUP BY ALL
 """)
 def run_diagnostics(spark, d):
-    """Rows read per dataset, with their files."""
-    rows = documents.run_diagnostics(_filed(spark, d).withColumnRenamed("event_type", "dataset"))
-    return rows.withColumn("input_files", F.array_join("input_files", ","))
+    """Rows and files read per dataset."""
+    return documents.run_diagnostics(_filed(spark, d).withColumnRenamed("event_type", "dataset"))
+
+
+@query("run_files", f"""
+WITH {_SQL_FILED} SELECT company_id, event_type AS dataset, source_file, count(*) AS rows_read FROM filed GROUP BY ALL
+""")
+def run_files(spark, d):
+    """The files a run read."""
+    return documents.run_files(_filed(spark, d).withColumnRenamed("event_type", "dataset"))
 
 
 @query("latest_run", f"""

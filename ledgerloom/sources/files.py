@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.lookups import join_lookup
+from ..session import materialize
+
 
 def read_raw_lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Raw text lines with their file; gzip by suffix.  A corrupt file fails the read."""
@@ -78,8 +81,10 @@ def bounded_files(
         "mtime_desc": [F.desc("source_modified"), F.asc("source_file")],
     }[order]
     place = F.row_number().over(W.partitionBy(*by).orderBy(*terms))
-    chosen = files.withColumn("_n", place).filter(F.col("_n") <= n).select(*by, "source_file")
-    return rows.join(chosen, [*by, "source_file"], "left_semi")
+    chosen = materialize(
+        files.withColumn("_n", place).filter(F.col("_n") <= n).select(*by, "source_file"), "files"
+    )
+    return join_lookup(rows, chosen, [*by, "source_file"], "left_semi")
 
 
 def latest_batch(rows: DataFrame, by: list[str], tail: int | None = None, order: list | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import (
-    alarms, cdc, documents, finance, forecast, health, kpi, outlook, quantiles, reviews, series, spend,
+    alarms, cdc, documents, finance, forecast, health, kpi, lookups, outlook, quantiles, reviews, series, spend,
     tenant, workforce,
 )
 from ledgerloom.plans import bindings as B
@@ -122,9 +122,9 @@ def test_exact_quantile_equals_percentile(spark, q):
 def test_lookup_join_is_the_same_salted(spark, monkeypatch):
     rows = spark.range(1000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
     lookup = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
-    plain = sorted(map(tuple, quantiles.join_lookup(rows, lookup, ["k"], "r").collect()), key=str)
-    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", 10)
-    salted = quantiles.join_lookup(rows, lookup, ["k"], "r")
+    plain = sorted(map(tuple, lookups.join_lookup(rows, lookup, ["k"]).collect()), key=str)
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 10)
+    salted = lookups.join_lookup(rows, lookup, ["k"])
     assert sorted(map(tuple, salted.select("k", "r", "x").collect()), key=str) == plain
 
 
