@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_instant, path_date
 from ..functions.records import Fields, snapshot
 from ..functions.values import parse_number, tenant_id, tenant_slug
-from ..operators import anomaly, finance, series, spend
+from ..operators import anomaly, documents, finance, series, spend
 from ..functions.rules import flow_of
 from . import bindings as B
 from .registry import query
@@ -347,3 +347,33 @@ def anomaly_rows(spark, d):
     """Anomaly rows of the highest scores, with reasons and metrics."""
     scored = anomaly.isolation_scores(B.orders_finance(spark, d))
     return anomaly.anomaly_rows(scored, B.AS_OF)
+
+
+@query("iforest_summary", f"""
+WITH {B.SQL_ORDERS} SELECT company_id, source_area AS model_key, count(*) AS rows_modeled,
+  count(*) - 1 - CAST(floor((count(*) - 1) * 0.92::DOUBLE) AS BIGINT) AS flagged, 0.0 AS lowest, 1.0 AS highest
+FROM fin GROUP BY ALL HAVING count(*) >= 20
+""")
+def iforest_summary(spark, d):
+    """Rows, flags and score range of every model: eight percent are flagged."""
+    scored = anomaly.isolation_scores(B.orders_finance(spark, d))
+    return scored.groupBy("company_id", "model_key").agg(
+        F.sum("copies").alias("rows_modeled"),
+        F.sum(F.when(F.col("anomaly_flag"), F.col("copies")).otherwise(0)).alias("flagged"),
+        F.min("anomaly_score").alias("lowest"),
+        F.max("anomaly_score").alias("highest"),
+    )
+
+
+@query("anomaly_run", f"""
+WITH {B.SQL_ORDERS}, m AS (SELECT company_id, source_area, count(*) AS n FROM fin GROUP BY ALL),
+k AS (SELECT * FROM m WHERE n >= 20)
+SELECT company_id, (SELECT CAST(sum(n) AS BIGINT) FROM m WHERE m.company_id = k.company_id) AS rows_processed, CAST(sum(n) AS BIGINT) AS rows_modeled,
+  count(*) AS scored_groups, CAST(sum(n - 1 - CAST(floor((n - 1) * 0.92::DOUBLE) AS BIGINT)) AS BIGINT) AS flagged, 'transaction' AS mode, 'ok' AS status
+FROM k GROUP BY ALL
+""")
+def anomaly_run(spark, d):
+    """Summary of a company's anomaly run."""
+    rows = B.orders_finance(spark, d)
+    read = rows.groupBy("company_id").agg(F.count("*").alias("rows_processed"))
+    return documents.anomaly_run_summary(anomaly.isolation_scores(rows), read)

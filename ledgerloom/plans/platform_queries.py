@@ -504,11 +504,11 @@ pipelines AS (SELECT *, {_RANKS}[w + 1] AS overall_status, CASE WHEN w = 0 THEN
 _SQL_ALL_HEALTH = f"{B.SQL_TELEMETRY}, {_SQL_SIGNALS}, {B.SQL_FRESHNESS}, {B.SQL_ALARMS}, {B.SQL_LOGS}, {B.SQL_ROUTES}, {_SQL_ERRORS}, {_SQL_HEALTH}"
 
 
-@query("pipeline_health", f"""
+@query("health_rollup", f"""
 WITH {_SQL_ALL_HEALTH} SELECT pipeline_id, name, overall_status, {_RANKS}[s + 1] AS source_status, {_RANKS}[p + 1] AS processing_status, {_RANKS}[v + 1] AS delivery_status,
   {_RANKS}[v + 1] AS freshness_status, last_success_at, last_failure_at, alarm_count, recent_error_summary, summary, missing_metrics, FALSE AS partial_data FROM pipelines
 """)
-def pipeline_health(spark, d):
+def health_rollup(spark, d):
     """Roll-up of each pipeline."""
     rows = _health(spark, d).drop("components", "impacted_resources")
     for name in ("last_success_at", "last_failure_at"):
@@ -524,10 +524,10 @@ def health_overview(spark, d):
     return health.health_overview(_health(spark, d))
 
 
-@query("pipeline_view", f"""
+@query("health_view", f"""
 WITH {_SQL_ALL_HEALTH} SELECT name, overall_status, alarm_count FROM pipelines WHERE overall_status = 'down' AND name LIKE '%n%'
 """)
-def pipeline_view(spark, d):
+def health_view(spark, d):
     """Pipelines that are down, by name part, most severe first."""
     view = health.pipeline_view(_health(spark, d), status="down", query=" N ")
     return view.select("name", "overall_status", "alarm_count")

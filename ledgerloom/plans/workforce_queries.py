@@ -73,6 +73,19 @@ def forecasts(spark, d):
     return forecast.forecast(B.all_series(spark, d))
 
 
+@query("forecast_span", f"""
+{_ALL} SELECT company_id, metric, 60 AS days, CAST(max(date) + 1 AS DATE) AS first_day, CAST(max(date) + 60 AS DATE) AS last_day, CAST(count(*) - 14 AS INTEGER) AS rows_used, TRUE AS ordered
+FROM series GROUP BY ALL HAVING count(*) >= 21
+""")
+def forecast_span(spark, d):
+    """Days, training rows and order of bounds of every forecast."""
+    low, value, high = (F.col(c) for c in ("lower_bound", "predicted_value", "upper_bound"))
+    return forecasts(spark, d).groupBy("company_id", "metric").agg(
+        F.count("*").cast("int").alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.max("rows_used").alias("rows_used"), F.every((low >= 0) & (low <= value) & (value <= high)).alias("ordered"),
+    )
+
+
 @query("run_status", f"""
 {_ALL}, g AS (SELECT company_id, metric, CASE WHEN count(*) >= 21 THEN 'ok' ELSE 'insufficient_data' END AS status FROM series WHERE NOT (company_id = 'asia' AND metric = 'employee_headcount') GROUP BY ALL),
 r AS (SELECT company_id, count(*) AS finance, 0 AS employees FROM fin GROUP BY ALL UNION ALL SELECT 'nobody', 0, 0)

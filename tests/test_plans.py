@@ -25,7 +25,7 @@ def physical(df) -> str:
 
 @pytest.mark.parametrize("name", [
     "daily_series", "rolling_features", "normalize_finance", "cdc_clean", "headcount", "spend_window", "kpi_metrics",
-    "review_state", "anomaly_list", "pipeline_health", "alarm_eval", "tenant_select", "run_document", "insight_rows",
+    "review_state", "anomaly_list", "health_rollup", "alarm_eval", "tenant_select", "run_document", "insight_rows",
 ])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry.queries()[name](spark, SF))
