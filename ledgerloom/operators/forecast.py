@@ -246,6 +246,15 @@ def run_status(
     )
 
 
+def rounded_history(
+    series: DataFrame, integer_metrics: tuple[str, ...] = INTEGER_METRICS
+) -> DataFrame:
+    """History as a run stores it: never negative, whole headcounts, cents otherwise."""
+    value = F.greatest(F.lit(0.0), F.col("value"))
+    whole = F.col("metric").isin(*integer_metrics)
+    return series.withColumn("value", F.when(whole, F.rint(value)).otherwise(F.bround(value, 2)))
+
+
 def clean_forecast(
     points: DataFrame, integer_metrics: tuple[str, ...] = INTEGER_METRICS
 ) -> DataFrame:

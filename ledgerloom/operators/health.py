@@ -552,3 +552,28 @@ def pipeline_view(
         "name-desc": [F.desc("name")],
     }
     return rows.orderBy(*orders[order])
+
+
+def signal_warnings(fresh: DataFrame, signals: DataFrame) -> DataFrame:
+    """What is missing: signals without any row, and services that are not configured."""
+    wired = components(fresh.sparkSession).select("signal").distinct()
+    seen = fresh.select(F.col("dataset").alias("signal")).unionByName(signals.select("signal"))
+    absent = wired.join(seen, "signal", "left_anti").select(
+        "signal", F.concat(F.lit("No telemetry for "), "signal", F.lit(".")).alias("warning")
+    )
+    return absent.unionByName(
+        signals.filter("unconfigured").select("signal", F.col("detail").alias("warning"))
+    )
+
+
+def with_group(
+    pipelines: DataFrame, prefixes: dict[str, str], default: str, column: str = "pipeline_group"
+) -> DataFrame:
+    """Add a pipeline's group, told by the prefix of its id unless it has one."""
+    told = reduce(
+        lambda chain, item: chain.when(F.col("pipeline_id").startswith(item[0]), item[1]),
+        prefixes.items(),
+        F.when(F.lit(False), ""),
+    ).otherwise(default)
+    own = F.nullif(column, F.lit("")) if column in pipelines.columns else F.lit(None).cast("string")
+    return pipelines.withColumn(column, F.coalesce(own, told))

@@ -326,14 +326,14 @@ def dashboard(spark, d):
 
 
 @query("run_document", f"""
-{_AHEAD} SELECT company_id, 'history' AS kind, metric, date, value, NULL::DOUBLE AS lower_bound, NULL::DOUBLE AS upper_bound FROM series
+{_AHEAD} SELECT company_id, 'history' AS kind, metric, date, round_even(greatest(value, 0), CASE WHEN metric = 'employee_headcount' THEN 0 ELSE 2 END) AS value, NULL::DOUBLE AS lower_bound, NULL::DOUBLE AS upper_bound FROM series
 UNION ALL SELECT company_id, 'forecast', metric, date, predicted_value, lower_bound, upper_bound FROM ahead
 """)
 def run_document(spark, d):
     """Run documents written as JSON and flattened again."""
     history, ahead = _facts(spark, d)
     runs = _runs(spark).select("company_id", "status", F.col("rows_processed").alias("employees"), F.lit(0).alias("finance"))
-    docs = documents.run_documents(history, ahead, runs, "2024-01-31T00:00:00+00:00")
+    docs = documents.run_documents(forecast.rounded_history(history), ahead, runs, "2024-01-31T00:00:00+00:00")
     found = documents.latest_run(docs, runs)
     past = documents.flatten_history(found).select(
         "company_id", F.lit("history").alias("kind"), "metric", "date", "value",
@@ -372,3 +372,23 @@ def prf_eval(spark, d):
     return evaluate.classification_quality(
         labels.filter("toxic = 1"), labels.filter("quality = 0"), "doc_id", ("source",)
     )
+
+
+@query("forecast_display", f"""
+{_AHEAD} SELECT company_id, metric, date, step, CASE WHEN metric = 'employee_headcount' THEN floor(predicted_value + 0.5) ELSE greatest(predicted_value, 0) END AS predicted_value,
+  CASE WHEN metric = 'employee_headcount' THEN floor(lower_bound + 0.5) ELSE greatest(lower_bound, 0) END AS lower_bound,
+  CASE WHEN metric = 'employee_headcount' THEN floor(upper_bound + 0.5) ELSE greatest(upper_bound, 0) END AS upper_bound FROM ahead
+""")
+def forecast_display(spark, d):
+    """Forecast points fit for display."""
+    return forecast.clean_forecast(_facts(spark, d)[1])
+
+
+@query("spend_actuals", f"""
+WITH {B.SQL_ORDERS}, s AS (SELECT company_id, date, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS value FROM fin WHERE source_area = 'expenditure' GROUP BY ALL),
+g AS (SELECT company_id, max(date) - CAST(b AS INTEGER) AS date FROM s, unnest(generate_series(0, 59)) AS x(b) GROUP BY company_id, b)
+SELECT company_id, CAST(date AS DATE) AS date, coalesce(value, 0.0) AS value FROM g LEFT JOIN s USING (company_id, date)
+""")
+def spend_actuals(spark, d):
+    """Dense actual spend shown next to a ninety-day forecast."""
+    return outlook.spend_actuals(spend.daily_spend(B.orders_finance(spark, d)), 90)

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from .. import constants as K
+from ..functions.values import money_sum
 from ..operators.alarms import metric_windows
 from ..operators.reviews import review_state
+from ..operators.spend import daily_spend, spend_window
 
 
 def headcount_changes(events: DataFrame) -> DataFrame:
@@ -60,8 +64,6 @@ def metric_window_stream(
 
 def log_counts(logs: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Elevated lines of the last 15 minutes, every 5 minutes, per service."""
-    from .. import constants as K
-
     return (
         logs.filter(F.col("message").rlike("|".join(K.LOG_WORDS)))
         .withWatermark("ts", delay)
@@ -109,12 +111,18 @@ def start_reviews(actions: DataFrame, log: str, state: str, checkpoint: str):
     batch replaces them, and the fold reads only the anomalies of the batch.
     """
 
+    ids = ["company_id", "anomaly_id"]
+
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{log}/batch={epoch}")
-        touched = spark.read.parquet(f"{log}/batch={epoch}").select("company_id", "anomaly_id").distinct()
-        every = spark.read.parquet(log).drop("batch")
-        folded = review_state(every.join(touched, ["company_id", "anomaly_id"], "left_semi"))
+        # Buckets let a fold read only the parts of the log its anomalies can be in.
+        bucket = F.pmod(F.xxhash64(*ids), F.lit(64)).cast("int")
+        batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{log}/batch={epoch}"
+        )
+        touched = spark.read.parquet(f"{log}/batch={epoch}").select("bucket", *ids).distinct()
+        every = spark.read.parquet(log).join(touched, ["bucket", *ids], "left_semi")
+        folded = review_state(every.drop("batch", "bucket"))
         folded.write.mode("overwrite").parquet(f"{state}/batch={epoch}")
 
     return (
@@ -130,3 +138,46 @@ def current_reviews(spark, state: str) -> DataFrame:
     rows = spark.read.parquet(state)
     last = rows.groupBy("company_id", "anomaly_id").agg(F.max("batch").alias("batch"))
     return rows.join(last, ["company_id", "anomaly_id", "batch"], "left_semi")
+
+
+def start_spend(
+    rows: DataFrame, log: str, out: str, checkpoint: str,
+    windows: tuple[int, ...] = (7, 30, 90), every: str | None = "60 seconds",
+):
+    """Refresh the spend figures as finance rows arrive.
+
+    Each batch leaves its daily totals in a log, under its number; the figures are
+    recomputed from that log, which has a row per company, day and batch.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        daily_spend(batch).write.mode("overwrite").parquet(f"{log}/batch={epoch}")
+        daily = spark.read.parquet(log).groupBy("company_id", "date").agg(
+            money_sum(F.col("value")).alias("value"), F.sum("transactions").alias("transactions")
+        )
+        figures = [spend_window(daily, n) for n in windows]
+        reduce(DataFrame.unionByName, figures).write.mode("overwrite").parquet(f"{out}/batch={epoch}")
+
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def daily_totals_stream(rows: DataFrame, delay: str = "400 days") -> DataFrame:
+    """Running daily totals, to be written in update mode.
+
+    State is kept for days within ``delay`` of the newest; rows older than that are
+    dropped here, which is why the delay is long and the batch job decides.
+    """
+    day = F.window("event_ts", "1 day")
+    return (
+        rows.withWatermark("event_ts", delay)
+        .groupBy("company_id", "source_area", day.alias("_w"))
+        .agg(money_sum(F.col("amount")).alias("daily_total"), F.count("*").alias("transaction_count"))
+        .select("company_id", "source_area", F.to_date("_w.start").alias("date"), "daily_total", "transaction_count")
+    )

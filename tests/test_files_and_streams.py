@@ -175,3 +175,29 @@ def test_log_counts_slide(spark, tmp_path):
     rows = run_batches(spark, stateful.log_counts(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
     row = rows.filter("window_end = '2026-01-01 00:30:00'").first()
     assert row.n == 3
+
+
+def test_spend_stream_equals_batch(spark, tmp_path):
+    from ledgerloom.operators import finance, spend
+
+    rows = spark.createDataFrame(
+        [("a", str(n), dt.datetime(2026, 1, 1 + n % 9), "expenditure", 10.0 * n, "v") for n in range(1, 20)],
+        "company_id string, record_id string, event_ts timestamp, source_area string, amount double, vendor string",
+    ).withColumn("date", F.to_date("event_ts"))
+    for part in rows.randomSplit([0.5, 0.5], 1):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        query = stateful.start_spend(stream, f"{tmp_path}/log", f"{tmp_path}/out", f"{tmp_path}/cp", (7,), None)
+        query.awaitTermination()
+        assert query.exception() is None
+    figures = spark.read.parquet(f"{tmp_path}/out").orderBy(F.desc("batch")).drop("batch").first()
+    assert figures == spend.spend_window(spend.daily_spend(rows), 7).first()
+    totals = stateful.daily_totals_stream(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")))
+    seen = {}
+
+    def keep(batch, _):
+        seen.update({(r.company_id, r.date): r.daily_total for r in batch.collect()})
+
+    query = totals.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/cp2").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert seen == {(r.company_id, r.date): r.daily_total for r in finance.daily_totals(rows).collect()}

@@ -297,6 +297,11 @@ def test_mixed_health(spark):
     assert len(down.components) == 5 and not down.partial_data
     missing = health.pipeline_health(fresh, service.filter("signal <> 'ml'"), active, errors)
     assert {r.pipeline_id for r in missing.filter("partial_data").collect()} == {"forecast-pipeline"}
+    told = health.signal_warnings(fresh, service.filter("signal <> 'ml'")).collect()
+    assert [r.warning for r in told] == ["No telemetry for ml."]
+    grouped = health.with_group(pipelines, {"finance-": "money"}, "core")
+    assert [r.name for r in health.pipeline_view(grouped, "core", order="name-desc").collect()][0] == "Forecast pipeline"
+    assert [r.name for r in health.pipeline_view(grouped, "money").collect()] == ["Finance pipeline"]
 
 
 def test_run_states(spark):
