@@ -203,7 +203,7 @@ act AS (SELECT company_id, l, CAST(coalesce(sum(CASE WHEN date_trunc('month', da
 fc AS (SELECT company_id, predicted_value AS v, date > l AND date_trunc('month', date) = date_trunc('month', l) AS here FROM ahead JOIN lastday USING (company_id) WHERE metric = 'expenditure'),
 fs AS (SELECT company_id, count(*) FILTER (here) AS coverage_days, CAST(coalesce(sum(CASE WHEN here THEN CAST(v AS DECIMAL(28,6)) END), 0) AS DOUBLE) AS s,
   CAST(sum(CASE WHEN here THEN CAST(v AS DECIMAL(28,6)) END) AS DOUBLE) / nullif(count(*) FILTER (here), 0) AS mh, CAST(sum(CAST(v AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS ma FROM fc GROUP BY ALL),
-mons AS (SELECT company_id, date_trunc('month', date) AS month, CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS e FROM spent GROUP BY ALL),
+mons AS (SELECT company_id, date_trunc('month', date) AS month, CAST(coalesce(sum(CASE WHEN source_area = 'expenditure' THEN CAST(amount AS DECIMAL(28,6)) END), 0) AS DOUBLE) AS e FROM fin GROUP BY ALL),
 mon AS (SELECT company_id, e FROM mons QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY month DESC) = 2),
 me AS (SELECT company_id, l AS latest_actual_date, cur AS current_month_actual, coverage_days, CAST(greatest(0, (last_day(l) - l) - coverage_days) AS BIGINT) AS fallback_days,
   cur + s + coalesce(mh, ma, 0) * greatest(0, (last_day(l) - l) - coverage_days) AS projected_month_end_spend,
