@@ -33,7 +33,7 @@ def headcount_changes(events: DataFrame) -> DataFrame:
         # Arrow hands over a key's rows in pieces; only the three short columns stay.
         rows = pd.concat([b[["event_ts", "seq", "is_active"]] for b in batches])
         rows = rows.sort_values(["event_ts", "seq"])
-        now = rows["is_active"].fillna(True).astype(bool)
+        now = rows["is_active"].ne(False)  # unknown counts as active
         before = now.shift(1, fill_value=active)
         switched = now.to_numpy() != before.to_numpy()
         state.update((bool(now.iloc[-1]),))
