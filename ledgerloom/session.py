@@ -51,14 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove ``path`` when the application ends, also after an error."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Used where several consumers share rows that are costly to compute (Python
-    scores).  A parquet table survives executor loss and is read back by column.
+    scores).  A parquet table survives executor loss and is read back by column.  It is
+    removed when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
