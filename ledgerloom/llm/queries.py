@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, ranker, simhash
+from . import decontaminate, lm, pii, quality_rules, ranker, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,11 +61,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_digest(F.array_join("leak_items", ",")).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.train_field(docs))
+    counts = [
+        F.size(F.filter(F.split("base_found", ","), lambda s, kind=kind: F.startswith(s, F.lit(kind)))).cast("bigint")
+        .alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, hex_digest(F.col("base_found")).alias("base_sha256"), F.col("found").alias("spans"))
+
+
 @query("op4_simhash")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+@query("op7_context_tree")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score_texts(docs.withColumn("held_out", ranker.held_out("doc_id", 5, 1)))
+
+
 @query("op8_quality_ranker")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
