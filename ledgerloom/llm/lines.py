@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import computed_once, materialize
 
 #: Lines with fewer distinct words are left alone.
 MIN_WORDS = 5
@@ -82,11 +82,9 @@ def _least(numerator: int, denominator: int, n: Column) -> Column:
 
 def _prefixes(firsts: DataFrame) -> DataFrame:
     """A row per prefix word: ``token``, ``place``, ``indexed`` (in the shorter prefix), the line and its size."""
-    n = F.col("n")
-    probe = n - _least(OVER, UNDER, n) + 1
-    index = n - _least(2 * OVER, OVER + UNDER, n) + 1
+    index = F.col("n") - _least(2 * OVER, OVER + UNDER, F.col("n")) + 1
     return firsts.select(
-        "id", "doc", "line_no", "n", index.alias("index_size"), F.posexplode(F.slice("codes", 1, probe)).alias("at", "token"),
+        "id", "doc", "line_no", "n", index.alias("index_size"), F.posexplode("codes").alias("at", "token"),
     ).select("id", "doc", "line_no", "n", "token", (F.col("at") + 1).alias("place"), (F.col("at") < F.col("index_size")).alias("indexed"))
 
 
@@ -105,27 +103,133 @@ def _possible(x: str, y: str) -> Column:
     )
 
 
-def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """Ids of later lines that match their earlier one; ``pairs`` has ``later`` and ``earlier``."""
-    a = words.select(F.col("id").alias("later"), F.col("words").alias("a"))
-    b = words.select(F.col("id").alias("earlier"), F.col("words").alias("b"))
-    joined = pairs.join(a, "later").join(b, "earlier")
-    common = F.size(F.array_intersect("a", "b"))
-    return joined.filter(common * UNDER >= (F.size("a") + F.size("b") - common) * OVER).select("later").distinct()
+def _verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``later`` ids of pairs (``later``, ``earlier``) whose lines match, by the words of both lines."""
+    wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("id")).distinct()
+    places = firsts.select("id", "doc", "line_no").join(wanted, "id")
+    texts = materialize(lines.join(places, ["doc", "line_no"]).select("id", "line"), "line-texts")
+    a = texts.select(F.col("id").alias("later"), F.col("line").alias("a"))
+    b = texts.select(F.col("id").alias("earlier"), F.col("line").alias("b"))
+    both = computed_once(pairs.join(a, "later").join(b, "earlier").select(
+        "later", line_words(F.col("a")).alias("a"), line_words(F.col("b")).alias("b")), ["a", "b"])
+    # common / (|a| + |b| - common) >= OVER / UNDER, with the costly side once
+    matches = F.size(F.array_intersect("a", "b")) * (OVER + UNDER) >= (F.size("a") + F.size("b")) * OVER
+    return both.filter(matches).select("later").distinct()
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc`` and ``line_no`` of every line that matches an earlier one."""
     lines = text_lines(docs, key, text)
-    classes = rarity_classes(lines)
-    sets = lines.select("doc", "line_no", line_words(F.col("line")).alias("words")).filter(F.size("words") >= MIN_WORDS)
-    n = F.size("words")
-    codes = ordered_codes(F.col("words"), classes)
-    coded = sets.select("doc", "line_no", n.alias("n"), codes.alias("codes")).select(
-        "doc", "line_no", "n", F.xxhash64("codes").alias("id"),
-        F.slice("codes", 1, F.col("n") - _least(OVER, UNDER, F.col("n")) + 1).alias("codes"))
-    placed = materialize(coded, "line-prefixes")
-    firsts = placed.groupBy("id").agg(F.min(F.struct("doc", "line_no")).alias("at"), F.min("n").alias("n"), F.min("codes").alias("codes"))
-    firsts = firsts.select("id", "at.doc", "at.line_no", "n", "codes")
-    prefixes = materialize(_prefixes(firsts), "prefix-words")
-    return placed, firsts, prefixes
+    sets = computed_once(lines.select("doc", "line_no", line_words(F.col("line")).alias("words")), ["words"])
+    codes = computed_once(sets.filter(F.size("words") >= MIN_WORDS).select(
+        "doc", "line_no", ordered_codes(F.col("words"), rarity_classes(lines)).alias("codes")), ["codes"])
+    n = F.size("codes")
+    placed = materialize(codes.select(
+        "doc", "line_no", n.alias("n"), F.xxhash64("codes").alias("id"),  # lines with one set of words share an id
+        F.slice("codes", 1, n - _least(OVER, UNDER, n) + 1).alias("codes"),
+        F.array(
+            F.array_min(F.transform("codes", lambda c: c.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))),
+            F.array_min(F.transform("codes", lambda c: F.xxhash64(c))),
+        ).alias("smallest")), "lines")
+    firsts = materialize(placed.groupBy("id").agg(
+        F.min(F.struct("doc", "line_no")).alias("at"), F.min("n").alias("n"), F.min("codes").alias("codes"),
+        F.min("smallest").alias("smallest"),
+    ).select("id", "at.doc", "at.line_no", "n", "codes", "smallest"), "first-lines")
+
+    leaders = _leader_pairs(firsts)
+    settled = materialize(_verified(materialize(leaders, "pairs"), lines, firsts), "settled")
+    open_ = firsts.join(settled.withColumnRenamed("later", "id"), "id", "left_anti")
+    x, y = _prefixes(open_).alias("x"), _prefixes(firsts).alias("y")
+    pairs = x.join(y, F.expr("x.token = y.token") & _earlier("y", "x") & _possible("x", "y")).select(
+        F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
+    found = settled.union(materialize(_verified(materialize(pairs, "pairs"), lines, firsts), "settled"))
+    copies = placed.join(firsts.select("id", F.struct("doc", "line_no").alias("at")), "id").filter(
+        F.struct("doc", "line_no") > F.col("at")).select("doc", "line_no")
+    near = firsts.join(found.withColumnRenamed("later", "id"), "id", "left_semi").select("doc", "line_no")
+    return copies.union(near)
+
+
+def _leader_pairs(firsts: DataFrame) -> DataFrame:
+    """Each line with the earliest line that has the same smallest word hash, under two hash functions.
+
+    Two lines share one with a probability of their similarity; a pair a line makes at most.
+    """
+    rows = firsts.select("id", "doc", "line_no", "n", F.explode("smallest").alias("key"))
+    leaders = rows.groupBy("key").agg(F.min(F.struct("doc", "line_no", "id", "n")).alias("first"))
+    n, m = F.col("n"), F.col("first.n")
+    return rows.join(leaders, "key").filter(
+        (F.col("id") != F.col("first.id")) & (n * OVER <= m * UNDER) & (m * OVER <= n * UNDER),
+    ).select(F.col("id").alias("later"), F.col("first.id").alias("earlier")).distinct()
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Columns of ``docs`` with ``text`` freed of repeated lines, ``n_lines`` and ``n_removed``.
+
+    Lines are what stands between line ends.  A line with fewer than ``MIN_WORDS`` different
+    words stays, so empty texts stay as they are; a null text stays null and has no lines.
+    Rows without a key are not compared.  Repeated rows count as one document.  Columns of
+    ``docs`` with the names of results are replaced.
+    """
+    gone = repeated_lines(docs, key, text).groupBy("doc").agg(F.collect_set("line_no").alias("_gone"))  # of one text
+    parts = F.split(F.col(text).cast("string"), "\n")
+    joined = docs.drop("n_lines", "n_removed").join(gone.withColumnRenamed("doc", "_doc").hint("shuffle_hash"), F.col(key) == F.col("_doc"), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
+    rest = F.array_join(F.transform(kept, lambda k: F.element_at(parts, k + 1)), "\n")
+    return joined.withColumns({
+        "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),
+        "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
+        text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest),
+    }).drop("_doc", "_gone")
+
+
+def remove_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without repeated lines; a document that lost lines and has no word left goes."""
+    found = without_repeats(docs, key, text)
+    empty = (F.col("n_removed") > 0) & (F.btrim(F.col(text), F.lit(" \t\x0b\x0c\r\n")) == "")
+    found = found.filter(~empty)
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.coalesce(F.length(text), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return found.select(docs.columns)
+
+
+def oracle() -> str:
+    """Lines left of ``documents``, in SQL: the same join by rarity prefixes, with exact word counts."""
+    spaces = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+    FROM documents
+), sets AS (
+    SELECT doc_id, line_no, list_distinct(string_split_regex(
+        trim(translate(line, '{_UPPER}', '{_LOWER}'), {spaces}), '[ \\t\\x0b\\x0c\\r]+')) AS words
+    FROM lines
+), tokens AS (
+    SELECT doc_id, line_no, len(words) AS n, unnest(words) AS word FROM sets WHERE len(words) >= {MIN_WORDS}
+), counted AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS seen FROM tokens
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, line_no ORDER BY seen, word) AS place FROM counted
+), prefix AS (
+    SELECT * FROM ranked WHERE place <= n - ({OVER} * n + {UNDER - 1}) // {UNDER} + 1
+), pairs AS (
+    SELECT DISTINCT a.doc_id AS da, a.line_no AS la, a.n AS na, b.doc_id AS db, b.line_no AS lb, b.n AS nb
+    FROM prefix a JOIN prefix b ON a.word = b.word
+    WHERE (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.line_no < b.line_no))
+        AND a.n * {OVER} <= b.n * {UNDER} AND b.n * {OVER} <= a.n * {UNDER}
+), gone AS (
+    SELECT DISTINCT db AS doc_id, lb AS line_no FROM (
+        SELECT da, la, db, lb, any_value(na) + any_value(nb) AS total, count(*) AS common
+        FROM pairs
+        JOIN tokens x ON x.doc_id = da AND x.line_no = la
+        JOIN tokens y ON y.doc_id = db AND y.line_no = lb AND y.word = x.word
+        GROUP BY da, la, db, lb)
+    WHERE common * {OVER + UNDER} >= total * {OVER}
+)
+SELECT d.doc_id, count(l.line_no) AS n_lines, count(g.line_no) AS n_removed,
+    CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE sha256(coalesce(
+        string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL), '')) END AS kept_sha256
+FROM documents d
+LEFT JOIN lines l ON l.doc_id = d.doc_id
+LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line_no = l.line_no
+GROUP BY d.doc_id"""

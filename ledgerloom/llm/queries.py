@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, pii, quality_rules, ranker, simhash, suffixes
+from . import decontaminate, licenses, lines, lm, mixing, pii, quality_rules, ranker, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,9 +65,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_personal_data(docs, pii.train_field(docs))
-    counts = [
-        F.size(F.filter(F.split("base_found", ","), lambda s, kind=kind: F.startswith(s, F.lit(kind)))).cast("bigint")
-        .alias(f"n_{kind}") for kind in pii.KINDS]
+    counts = [F.regexp_count("base_found", F.lit(f"{kind}:")).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select(
         "doc_id", *counts, hex_digest(F.col("base_found")).alias("base_sha256"), F.col("found").alias("spans"))
 
@@ -82,6 +80,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
 
 
+@query("op6_license_scan", licenses.oracle())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op7_context_tree")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,3 +98,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranker.score_quality(docs, ranking).select(
         "doc_id", ranker.held_out("doc_id").alias("held_out"), F.col("quality_score").alias("score"),
         (F.col("quality_score") >= ranker.CUT).cast("int").alias("predicted"))
+
+
+@query("op9_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.with_rates(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query("op10_line_dedup", lines.oracle())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", hex_digest(F.col("text")).alias("kept_sha256"))
