@@ -39,10 +39,12 @@ GRAM = 24
 #: Stretches of one anchor that one piece takes.
 PIECE = 20_000
 #: Bytes of stretches that a task sorts at once.
-SORT_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
 #: Rows a task gathers before it combines copies and sends them.
-_GATHER = 1 << 20
-_PLACE_BITS = 27
+_GATHER = 1 << 18
+#: Bytes of text cut into stretches at once; a task needs some hundred times as many.
+_CUT_BYTES = 512 << 10
+_PLACE_BITS = 22
 _STRETCH = "_key bigint, anchor bigint, content bigint, start bigint, windows int, again boolean"
 
 
@@ -102,14 +104,17 @@ def _long_stretches(block: Block, length: int, gram: int) -> tuple[np.ndarray, .
     return tuple(np.concatenate(columns) for columns in zip(*found))
 
 
-def _stretch_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Every stretch, ``again`` where its content occurs before in the same document."""
+def _stretch_rows(docs: DataFrame, key: str, text: str, combined: bool = False) -> DataFrame:
+    """Every stretch, ``again`` where its content occurs before in the same document.
+
+    ``combined``: a row for each content of a task instead, with its smallest key and number.
+    """
     ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("_key").to_numpy()
-            for block in text_blocks(batch.column("_text")):
+            for block in text_blocks(batch.column("_text"), _CUT_BYTES):
                 number, anchor, content, first, windows = stretches(block)
                 again = np.ones(len(number), bool)
                 seen = mix(anchor.view(np.uint64) + mix(content.view(np.uint64) + number.astype(np.uint64)))
@@ -121,20 +126,22 @@ def _stretch_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     rows = docs.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("_key"), F.col(text).cast("string").alias("_text"))
+    if combined:
+        return rows.mapInArrow(
+            lambda batches: _combined(run(batches)), "_key bigint, anchor bigint, content bigint, many bigint")
     return rows.mapInArrow(run, _STRETCH)
 
 
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Copies of a content within a task as one row: smallest key and number."""
     def combine(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        key, anchor, content, many = (
-            np.concatenate([p.column(i).to_numpy() for p in parts]) for i in range(4))
+        key, anchor, content = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in range(3))
         order = np.lexsort((key, content, anchor))
-        key, anchor, content, many = key[order], anchor[order], content[order], many[order]
+        key, anchor, content = key[order], anchor[order], content[order]
         starts = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])])
         return pa.RecordBatch.from_arrays(
             [pa.array(key[starts]), pa.array(anchor[starts]), pa.array(content[starts]),
-             pa.array(np.add.reduceat(many, starts))], ["_key", "anchor", "content", "many"])
+             pa.array(np.diff(np.r_[starts, len(key)]))], ["_key", "anchor", "content", "many"])
 
     parts, size = [], 0
     for batch in batches:
@@ -279,8 +286,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """Byte spans (``_key``, ``start``, ``end``) of documents to remove; spans may overlap."""
     spark = docs.sparkSession
     rows = _stretch_rows(docs, key, text)
-    counted = rows.select("_key", "anchor", "content", F.lit(1).cast("bigint").alias("many")).mapInArrow(
-        _combined, "_key bigint, anchor bigint, content bigint, many bigint")
+    counted = _stretch_rows(docs, key, text, combined=True)
     contents = counted.groupBy("anchor", "content").agg(F.min("_key").alias("owner"), F.sum("many").alias("many"))
     mixed = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).filter("contents > 1")
     known = materialize(
