@@ -14,9 +14,10 @@ one anchor form a stretch.  Equal windows have equal anchors at equal offsets.
    shuffle, so a passage with very many copies is a row a task.
 2. Anchors of several different stretches (where copies begin, end or were edited) are
    settled on the bytes: the first stretch of each content is sent to its anchor's task,
-   which sorts the suffixes and takes previous and next smaller places.  A task holds a
-   bounded number of stretches; an anchor with more is dealt out in pieces by the hash of
-   the window, each piece settling its own share of the windows.
+   which sorts the suffixes and takes previous and next smaller places.
+3. An anchor with more than ``CROWD`` different stretches would not fit a task.  Its windows
+   are settled one by one: the first place of each is a minimum, combined before the
+   shuffle, and every later place is one to remove.
 
 Documents themselves are moved by id only, to cut out stretches and to remove bytes.
 """
@@ -36,8 +37,8 @@ from .blocks import Block, RollingHash, mix, text_blocks
 
 LENGTH = 100
 GRAM = 24
-#: Stretches of one anchor that one piece takes.
-PIECE = 20_000
+#: Most different stretches of one anchor that meet in a task.
+CROWD = 2_000
 #: Bytes of stretches that a task sorts at once.
 SORT_BYTES = 1 << 20
 #: Rows a task gathers before it combines copies and sends them.
@@ -204,12 +205,10 @@ def has_previous(ranks: np.ndarray, order: np.ndarray) -> np.ndarray:
     return out
 
 
-def settle(pieces: list[bytes], keys: np.ndarray, starts: np.ndarray, share: np.ndarray, shares: np.ndarray,
-           length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte spans (key, start, end) of windows that occur earlier, for stretches that meet in a task.
-
-    Stretch ``i`` settles only windows whose hash leaves ``share[i]`` modulo ``shares[i]``.
-    """
+def settle(
+    pieces: list[bytes], keys: np.ndarray, starts: np.ndarray, length: int = LENGTH,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte spans (key, start, end) of windows that occur earlier, for stretches that meet in a task."""
     data = np.frombuffer(b"".join(pieces), np.uint8)
     sizes = np.array([len(p) for p in pieces], np.int64)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -217,10 +216,6 @@ def settle(pieces: list[bytes], keys: np.ndarray, starts: np.ndarray, share: np.
     piece = np.repeat(np.arange(len(pieces)), many)
     offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     places = bounds[piece] + offset
-    if (shares > 1).any():
-        hashes = RollingHash(data).of(places, places + length)
-        mine = (hashes % shares[piece].astype(np.uint64)).astype(np.int64) == share[piece]
-        piece, offset, places = piece[mine], offset[mine], places[mine]
     at = starts[piece] + offset
     order = np.empty(len(at), np.int64)
     by_place = np.lexsort((at, keys[piece]))
@@ -240,7 +235,7 @@ def _settle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come in the order of their anchors; whole anchors are settled together."""
     def settled(table: pa.Table) -> pa.RecordBatch:
         found = settle(
-            table.column("bytes").to_pylist(), *(table.column(c).to_numpy() for c in ("_key", "start", "share", "shares")))
+            table.column("bytes").to_pylist(), *(table.column(c).to_numpy() for c in ("_key", "start")))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["_key", "start", "end"])
 
     held: list[pa.RecordBatch] = []
@@ -253,8 +248,8 @@ def _settle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size < SORT_BYTES:
             continue
         table = pa.Table.from_batches(held)
-        anchor, share = table.column("anchor").to_numpy(), table.column("share").to_numpy()
-        last = int(np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (share[1:] != share[:-1])])[-1])
+        anchor = table.column("anchor").to_numpy()
+        last = int(np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])[-1])
         if last:
             yield settled(table.slice(0, last))
         held = table.slice(last).combine_chunks().to_batches()
@@ -269,17 +264,19 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = batch.column("_key").to_numpy()
         wanted = batch.column("wanted")
         for block in text_blocks(batch.column("_text")):
-            anchor, start, key, cut = [], [], [], []
+            anchor, contents, start, key, cut = [], [], [], [], []
             for i in range(block.n):
                 low = int(block.bounds[i])
                 for w in wanted[block.first + i].as_py():
                     anchor.append(w["anchor"])
+                    contents.append(w["contents"])
                     start.append(w["start"])
                     key.append(keys[block.first + i])
                     cut.append(block.data[low + w["start"] : low + w["start"] + w["windows"] + LENGTH - 1].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor, pa.int64()), pa.array(start, pa.int64()), pa.array(key, pa.int64()),
-                 pa.array(cut, pa.binary())], ["anchor", "start", "_key", "bytes"])
+                [pa.array(anchor, pa.int64()), pa.array(contents, pa.int64()), pa.array(start, pa.int64()),
+                 pa.array(key, pa.int64()), pa.array(cut, pa.binary())],
+                ["anchor", "contents", "start", "_key", "bytes"])
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -297,19 +294,28 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     judged = materialize(judged, "judged")
     whole = judged.filter("gone").select("_key", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("end"))
     open_ = judged.filter("NOT gone").groupBy("_key").agg(
-        F.collect_list(F.struct("anchor", "start", "windows")).alias("wanted"))  # within one document
+        F.collect_list(F.struct("anchor", "contents", "start", "windows")).alias("wanted"))  # within one document
     texts = docs.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("_key"), F.col(text).cast("string").alias("_text"))
-    pieces = texts.join(open_.hint("shuffle_hash"), "_key").mapInArrow(
-        _cut_out, "anchor bigint, start bigint, _key bigint, bytes binary")
-    crowds = judged.filter("NOT gone").select("anchor", "contents").distinct().filter(F.col("contents") > PIECE)
-    crowds = crowds.select("anchor", F.ceil(F.col("contents") / F.lit(PIECE)).alias("shares"))
-    dealt = pieces.join(crowds, "anchor", "left").withColumn("shares", F.coalesce("shares", F.lit(1)).cast("bigint"))
-    dealt = dealt.withColumn("share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)))
+    pieces = materialize(texts.join(open_.hint("shuffle_hash"), "_key").mapInArrow(
+        _cut_out, "anchor bigint, contents bigint, start bigint, _key bigint, bytes binary"), "pieces")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "anchor", "share").sortWithinPartitions("anchor", "share", "_key", "start")
-    partly = dealt.mapInArrow(_settle_rows, "_key bigint, start bigint, end bigint")
-    return whole.union(materialize(partly, "partly"))
+    calm = pieces.filter(F.col("contents") <= CROWD).drop("contents").repartition(parts, "anchor")
+    partly = calm.sortWithinPartitions("anchor", "_key", "start").mapInArrow(
+        _settle_rows, "_key bigint, start bigint, end bigint")
+    return whole.union(materialize(partly, "partly")).union(
+        materialize(_crowded_spans(pieces.filter(F.col("contents") > CROWD)), "crowded"))
+
+
+def _crowded_spans(pieces: DataFrame) -> DataFrame:
+    """Spans of windows that occur earlier, window by window; no task holds an anchor's stretches."""
+    places = F.sequence(F.lit(0), F.length("bytes") - LENGTH)
+    windows = pieces.select("_key", "start", "bytes", F.explode(places).alias("k")).select(
+        "_key", (F.col("start") + F.col("k")).alias("start"), F.substring("bytes", F.col("k") + 1, F.lit(LENGTH)).alias("window"))
+    place = F.struct("_key", "start")
+    firsts = windows.groupBy("window").agg(F.min(place).alias("first"))
+    return windows.join(firsts, "window").filter(place > F.col("first")).select(
+        "_key", "start", (F.col("start") + LENGTH).alias("end"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
