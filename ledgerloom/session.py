@@ -79,6 +79,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table that ``materialize`` wrote, once nothing reads it any more."""
+    root = shared_dir(table.sparkSession).rpartition(":")[2]
+    for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+        if root in folder:
+            spark = table.sparkSession
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` with the given columns fixed, so that no later filter is pushed below them.
 
