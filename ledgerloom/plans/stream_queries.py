@@ -44,11 +44,38 @@ def _collect_batches(df: DataFrame, path: str, checkpoint: str) -> None:
     )
 
 
+FILES = 6
+
+
+def _in_parts(rows: DataFrame, path: str, number, write=None) -> str:
+    """Stage ``rows`` as files that land one after the other, by the number of their part."""
+    numbered = rows.withColumn("_part", number)
+    for part in range(FILES):
+        own = numbered.filter(F.col("_part") == part).drop("_part", "_number").coalesce(1).write.mode("append")
+        write(own) if write else own.parquet(path)
+    return path
+
+
+def _late(key: str, ts: str, before: str):
+    """Part numbers that mix all times, but for the oldest rows, which land last."""
+    mixed = F.pmod(F.xxhash64(key), F.lit(FILES - 1))
+    return F.when(F.col(ts) < F.lit(before), FILES - 1).otherwise(mixed)
+
+
+def _stream(spark, rows: DataFrame, path: str) -> DataFrame:
+    """The staged files as a stream of several batches."""
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "2").parquet(path)
+
+
 def _stage_lines(spark, d) -> str:
-    """Change lines as raw text files below ``raw/``."""
-    root = _folder(spark, "raw")
-    change_lines(spark, d).select("line").write.text(f"{root}/raw/2024/01/31", compression="gzip")
-    return f"{root}/raw/2024/01/31"
+    """Change lines as raw text files below ``raw/``, some of them in two files."""
+    path = f"{_folder(spark, 'raw')}/raw/2024/01/31"
+    lines = change_lines(spark, d).select("line")
+    number = F.coalesce(F.regexp_extract("line", '"(?:transaction_)?id":([0-9]+)', 1).try_cast("bigint"), F.lit(0))
+    again = F.when(number % 3 == 0, F.array(number % FILES, (number + 2) % FILES)).otherwise(F.array(number % FILES))
+    copies = lines.withColumn("_number", F.explode(again))
+    _in_parts(copies, path, F.col("_number"), lambda own: own.text(path, compression="gzip"))
+    return path
 
 
 _SQL_KEPT = """
@@ -59,31 +86,28 @@ kept AS (SELECT CASE event_type WHEN 'purchase' THEN 'finance' ELSE 'employees'
 
 
 @query("stream_ingest", f"""
-WITH {_SQL_KEPT} SELECT domain, "table", CAST(event_id AS VARCHAR) AS record_id FROM kept
+WITH {_SQL_KEPT} SELECT domain, "table", CAST(event_id AS VARCHAR) AS record_id, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS copies FROM kept
 """)
 def stream_ingest(spark, d):
-    """Landed files cleaned by the stream into the trusted table."""
+    """Landed files cleaned by the stream into the trusted table; each file is its own scope for copies."""
     raw, out = _stage_lines(spark, d), _folder(spark, "ingest")
-    stream = ingest.raw_stream(spark, raw, 64 << 20)
+    stream = ingest.raw_stream(spark, raw, 1 << 10)
     _run_to_end(ingest.start_ingest(
         stream, "acme", f"{out}/trusted", f"{out}/rejects", f"{out}/backup", f"{out}/checkpoint", every=None
     ))
     trusted = spark.read.parquet(f"{out}/trusted")
-    # A copy in another file of the same record is kept, as each file is its own scope.
-    return trusted.select(
-        "domain", "table",
-        F.coalesce(F.get_json_object("record", "$.transaction_id"), F.get_json_object("record", "$.id")).alias("record_id"),
-    ).distinct()
+    record = F.coalesce(F.get_json_object("record", "$.transaction_id"), F.get_json_object("record", "$.id"))
+    return trusted.groupBy("domain", "table", record.alias("record_id")).agg(F.count("*").cast("int").alias("copies"))
 
 
 @query("stream_dedupe", f"""
 WITH {_SQL_KEPT} SELECT domain || '/' || "table" AS route, CAST(event_id AS VARCHAR) AS record_id FROM kept
 """)
 def stream_dedupe(spark, d):
-    """Cleaned records of the stream without copies across files."""
+    """Cleaned records of the stream without copies across files, in whatever batch they come."""
     raw, out = _stage_lines(spark, d), _folder(spark, "dedupe")
-    lines = ingest.raw_stream(spark, raw, 64 << 20).withColumn("company_id", F.lit("acme"))
-    _collect_batches(ingest.drop_copies_within(ingest.stream_records(lines)), f"{out}/rows", f"{out}/checkpoint")
+    lines = ingest.raw_stream(spark, raw, 1 << 10).withColumn("company_id", F.lit("acme"))
+    _run_to_end(ingest.start_dedupe(ingest.stream_records(lines), f"{out}/rows", f"{out}/checkpoint", 4, None))
     return spark.read.parquet(f"{out}/rows").select(
         "route",
         F.coalesce(F.get_json_object("record", "$.transaction_id"), F.get_json_object("record", "$.id")).alias("record_id"),
@@ -93,36 +117,51 @@ def stream_dedupe(spark, d):
 @query("stream_headcount", f"""
 WITH {B.SQL_EMPLOYEES}, s AS (
   SELECT company_id, date, CAST(coalesce(is_active, TRUE) AS INTEGER) - CAST(coalesce(lag(coalesce(is_active, TRUE)) OVER (PARTITION BY company_id, employee_id ORDER BY ts, seq), FALSE) AS INTEGER) AS step FROM emp)
-SELECT company_id, date, CAST(sum(step) AS BIGINT) AS change FROM s WHERE step <> 0 GROUP BY ALL
+SELECT company_id, date, CAST(sum(step) AS BIGINT) AS change FROM s GROUP BY ALL HAVING sum(step) <> 0
 """)
 def stream_headcount(spark, d):
-    """Daily changes of the active set, followed by a stateful stream."""
+    """Daily changes of the active set, followed by a stream whose oldest events come last."""
     out = _folder(spark, "heads")
     rows = B.employees(spark, d)
-    rows.write.parquet(f"{out}/events")
+    _in_parts(rows, f"{out}/events", _late("seq", "event_ts", "2024-01-06"))
     ship_code(spark)
-    stream = spark.readStream.schema(rows.schema).parquet(f"{out}/events")
+    stream = _stream(spark, rows, f"{out}/events")
     _collect_batches(stateful.headcount_changes(stream), f"{out}/rows", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/rows").groupBy("company_id", "date").agg(F.sum("change").alias("change"))
+    return spark.read.parquet(f"{out}/rows").groupBy("company_id", "date").agg(
+        F.sum("change").alias("change")).filter("change <> 0")
 
 
 @query("stream_metric_5m", """
-WITH w AS (SELECT event_type AS metric, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, value FROM events),
-g AS (SELECT metric, window_start, CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS sum_value, count(*) AS n FROM w GROUP BY metric, window_start)
-SELECT * FROM g WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+SELECT event_type AS metric, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+  CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS sum_value, max(value) AS max_value, count(value) AS n FROM events GROUP BY ALL
 """)
 def stream_metric_5m(spark, d):
-    """Five-minute figures of windows the watermark has closed."""
+    """Five-minute figures of every window, from batches with late rows."""
     out = _folder(spark, "metric")
     rows = B.table(spark, d, "events").select(F.col("event_type").alias("metric"), B.at_utc("ts").alias("ts"), "value")
-    rows.write.parquet(f"{out}/events")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{out}/events")
-    _collect_batches(stateful.metric_window_stream(stream), f"{out}/rows", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/rows").select(
-        "metric", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "sum_value", "n"
+    _in_parts(rows, f"{out}/events", _late("value", "ts", "2024-01-06"))
+    stream = _stream(spark, rows, f"{out}/events")
+    _run_to_end(stateful.start_partials(stream, stateful.metric_partials, f"{out}/rows", f"{out}/checkpoint", every=None))
+    return stateful.merged_metrics(spark.read.parquet(f"{out}/rows")).select(
+        "metric", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "sum_value", "max_value", "n"
     )
 
 
+@query("stream_daily_totals", """
+SELECT event_type AS source_area, CAST(ts AS DATE) AS date,
+  CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS daily_total, count(*) AS transaction_count FROM events GROUP BY ALL
+""")
+def stream_daily_totals(spark, d):
+    """Running daily totals over batches that bring old days last."""
+    out = _folder(spark, "daily")
+    rows = B.table(spark, d, "events").select(
+        F.lit("acme").alias("company_id"), F.col("event_type").alias("source_area"), B.at_utc("ts").alias("event_ts"), F.col("value").alias("amount"))
+    _in_parts(rows, f"{out}/events", _late("amount", "event_ts", "2024-01-06"))
+    stream = _stream(spark, rows, f"{out}/events")
+    _run_to_end(stateful.start_partials(stream, stateful.daily_total_partials, f"{out}/rows", f"{out}/checkpoint", every=None))
+    return stateful.merged_daily_totals(spark.read.parquet(f"{out}/rows")).drop("company_id")
+
+
 @query("stream_reviews", f"""
 WITH {B.SQL_REVIEWS} SELECT company_id, anomaly_id, status, last_action, CAST(audit_count AS INTEGER) AS audit_count FROM reviews
 """)
@@ -130,8 +169,8 @@ def stream_reviews(spark, d):
     """Reviews folded as their actions arrive."""
     out = _folder(spark, "reviews")
     rows = B.review_actions(spark, d)
-    rows.write.parquet(f"{out}/actions")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{out}/actions")
+    _in_parts(rows, f"{out}/actions", F.pmod(F.xxhash64("anomaly_id", "action"), F.lit(FILES)))
+    stream = _stream(spark, rows, f"{out}/actions")
     _run_to_end(stateful.start_reviews(stream, f"{out}/log", f"{out}/state", f"{out}/checkpoint"))
     return stateful.current_reviews(spark, f"{out}/state").select(
         "company_id", "anomaly_id", "status", "last_action", F.size("audit_trail").alias("audit_count")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..operators.cdc import clean_lines, content_hash, parse_lines, standardize_times
 from ..sources.files import with_lineage
@@ -61,11 +62,30 @@ def stream_records(lines: DataFrame) -> DataFrame:
     )
 
 
-def drop_copies_within(records: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop copies of a record across files that arrive within ``delay``.
+def start_dedupe(
+    records: DataFrame, out: str, checkpoint: str, buckets: int = 64, every: str | None = "60 seconds"
+) -> StreamingQuery:
+    """Write every record once per company, route and hash, however late a copy arrives.
 
-    State is kept per hash and released by the watermark on the file time.
+    What was written is the memory: a batch is joined against the hashes of all other
+    batches, bucket by bucket, so nothing is forgotten and no late file is dropped.  A
+    batch that runs again replaces its own output.
     """
-    return records.withWatermark("source_modified", delay).dropDuplicatesWithinWatermark(
-        ["company_id", "route", "row_hash"]
-    )
+    spark = records.sparkSession
+    keys = ["company_id", "route", "row_hash"]
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    seen_by = [StructField("batch", LongType()), StructField("bucket", IntegerType())]
+    # An empty batch gives the table its columns before the first read.
+    empty = spark.createDataFrame([], records.schema).withColumn("bucket", bucket)
+    empty.drop("bucket").write.mode("overwrite").parquet(f"{out}/batch=-1/bucket=0")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        fresh = batch.dropDuplicates(keys).withColumn("bucket", bucket)
+        seen = session.read.schema(StructType([*records.schema.fields, *seen_by])).parquet(out)
+        seen = seen.filter(F.col("batch") != epoch).select("bucket", *keys)
+        fresh.join(seen, ["bucket", *keys], "left_anti").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{out}/batch={epoch}")
+
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -1,8 +1,10 @@
-"""Stateful streams: headcount changes, metric windows, alarm states, reviews."""
+"""Streams with state: headcount changes, partial figures, alarm states, reviews."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import datetime as dt
+import json
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -11,68 +13,105 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import constants as K
-from ..functions.values import money_sum
-from ..operators.alarms import metric_windows
+from ..functions.values import exact, money_sum
 from ..operators.reviews import review_state
 from ..operators.spend import daily_spend, spend_window
 
 
+def _daily_changes(days: dict[str, list]) -> dict[str, int]:
+    """Change of the active state on each day, from the last state of every day."""
+    changes, active = {}, False
+    for day in sorted(days):
+        changes[day] = int(days[day][2]) - int(active)
+        active = days[day][2]
+    return changes
+
+
 def headcount_changes(events: DataFrame) -> DataFrame:
-    """Changes of the active set as events arrive: one row per employee event that
-    switches its state.
+    """Changes of the active set: their sums per day are those of the batch job.
 
-    State is one flag per employee.  Events of a batch are replayed in time order; an
-    event older than the last one seen cannot be put back in order here, so the batch
-    job stays the source of truth for back-dated rows.
+    State is the last event of every day of an employee.  A batch may bring events of any
+    age; it emits what its events add to or take from the changes of the days they touch,
+    so the sums do not depend on how files fall into batches.
     """
 
     def replay(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        active = bool(state.get[0]) if state.exists else False
+        days = json.loads(state.get[0]) if state.exists else {}
+        before = _daily_changes(days)
         # Arrow hands over a key's rows in pieces; only the three short columns stay.
         rows = pd.concat([b[["event_ts", "seq", "is_active"]] for b in batches])
-        rows = rows.sort_values(["event_ts", "seq"])
-        now = rows["is_active"].ne(False)  # unknown counts as active
-        before = now.shift(1, fill_value=active)
-        switched = now.to_numpy() != before.to_numpy()
-        state.update((bool(now.iloc[-1]),))
-        yield pd.DataFrame(
-            {
-                "company_id": key[0],
-                "employee_id": key[1],
-                "date": pd.to_datetime(rows["event_ts"])[switched].dt.date,
-                "change": now[switched].astype(int) * 2 - 1,
-            }
-        )
+        rows["day"] = pd.to_datetime(rows["event_ts"]).dt.date.astype(str)
+        last = rows.sort_values(["event_ts", "seq"]).groupby("day").tail(1)
+        for row in last.itertuples():
+            stamp = [pd.Timestamp(row.event_ts).value, int(row.seq), row.is_active is not False and row.is_active != False]  # noqa: E712
+            if row.day not in days or days[row.day][:2] <= stamp[:2]:
+                days[row.day] = stamp  # unknown counts as active
+        after = _daily_changes(days)
+        moved = {d: c - before.get(d, 0) for d, c in after.items() if c != before.get(d, 0)}
+        state.update((json.dumps(days),))
+        yield pd.DataFrame({
+            "company_id": key[0], "employee_id": key[1],
+            "date": [dt.date.fromisoformat(d) for d in moved], "change": list(moved.values()),
+        })
 
     return events.groupBy("company_id", "employee_id").applyInPandasWithState(
         replay,
         "company_id string, employee_id string, date date, change int",
-        "active boolean",
+        "days string",
         "append",
         GroupStateTimeout.NoTimeout,
     )
 
 
-def metric_window_stream(
-    metrics: DataFrame, keys: tuple[str, ...] = ("metric",), delay: str = "10 minutes"
-) -> DataFrame:
-    """Tumbling five-minute figures; a window is final once the watermark passes it."""
-    return metric_windows(metrics.withWatermark("ts", delay), keys)
+def start_partials(
+    rows: DataFrame, partial: Callable[[DataFrame], DataFrame], log: str, checkpoint: str, every: str | None = "60 seconds"
+):
+    """Write what ``partial`` makes of each batch under the batch's number.
+
+    Partial figures of one window or day from several batches add up when they are read, so
+    rows of any age count and every window is there as soon as a row of it has arrived.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{log}/batch={epoch}")
+
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return (
+        rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
+def metric_partials(metrics: DataFrame, keys: tuple[str, ...] = ("metric",), minutes: int = 5) -> DataFrame:
+    """Exact sum, maximum and count of each metric and tumbling window of a batch."""
+    return metrics.groupBy(*keys, F.window("ts", f"{minutes} minutes").alias("_w")).agg(
+        F.sum(exact(F.col("value"))).alias("total"), F.max("value").alias("max_value"), F.count("value").alias("n"),
+    ).select(*keys, F.col("_w.start").alias("window_start"), "total", "max_value", "n")
 
 
-def log_counts(logs: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Elevated lines of the last 15 minutes, every 5 minutes, per service."""
+def merged_metrics(partials: DataFrame, keys: tuple[str, ...] = ("metric",)) -> DataFrame:
+    """Figures as ``metric_windows`` gives them, from the partial ones of all batches."""
+    total = F.sum("total").cast("double")
+    return partials.groupBy(*keys, "window_start").agg(
+        total.alias("sum_value"), (total / F.sum("n")).alias("avg_value"), F.max("max_value").alias("max_value"),
+        F.sum("n").alias("n"))
+
+
+def log_partials(logs: DataFrame) -> DataFrame:
+    """Elevated lines of 15 minutes, every 5 minutes, per service, in a batch."""
     return (
         logs.filter(F.col("message").rlike("|".join(K.LOG_WORDS)))
-        .withWatermark("ts", delay)
         .groupBy("service", F.window("ts", "15 minutes", "5 minutes").alias("_w"))
         .agg(F.count("*").alias("n"))
         .select("service", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "n")
     )
 
 
+def merged_logs(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("service", "window_start", "window_end").agg(F.sum("n").alias("n"))
+
+
 def alarm_states(windows: DataFrame, threshold: float, periods: int, minutes: int = 5) -> DataFrame:
     """State of one rule per metric as its windows close.
 
@@ -168,16 +207,12 @@ def start_spend(
     )
 
 
-def daily_totals_stream(rows: DataFrame, delay: str = "400 days") -> DataFrame:
-    """Running daily totals, to be written in update mode.
+def daily_total_partials(rows: DataFrame) -> DataFrame:
+    """Exact daily totals of a batch."""
+    return rows.groupBy("company_id", "source_area", F.to_date("event_ts").alias("date")).agg(
+        F.sum(exact(F.col("amount"))).alias("total"), F.count("*").alias("n"))
 
-    State is kept for days within ``delay`` of the newest; rows older than that are
-    dropped here, which is why the delay is long and the batch job decides.
-    """
-    day = F.window("event_ts", "1 day")
-    return (
-        rows.withWatermark("event_ts", delay)
-        .groupBy("company_id", "source_area", day.alias("_w"))
-        .agg(money_sum(F.col("amount")).alias("daily_total"), F.count("*").alias("transaction_count"))
-        .select("company_id", "source_area", F.to_date("_w.start").alias("date"), "daily_total", "transaction_count")
-    )
+
+def merged_daily_totals(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("company_id", "source_area", "date").agg(
+        F.sum("total").cast("double").alias("daily_total"), F.sum("n").alias("transaction_count"))

@@ -137,15 +137,30 @@ def test_copies_across_files_are_dropped_on_demand(spark, tmp_path):
     write_gz(tmp_path / "in/one.gz", [line, line])
     write_gz(tmp_path / "in/two.gz", [line, envelope("transactions", {"id": 2})])
     lines = ingest.raw_stream(spark, str(tmp_path / "in"), 1).withColumn("company_id", F.lit("a"))
-    rows = run_batches(spark, ingest.drop_copies_within(ingest.stream_records(lines)), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert rows.count() == 2
+    query = ingest.start_dedupe(ingest.stream_records(lines), str(tmp_path / "out"), str(tmp_path / "cp"), every=None)
+    query.awaitTermination()
+    assert query.exception() is None and spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_late_files_are_not_lost(spark, tmp_path):
+    import os
+
+    for number, day in enumerate((10, 10, 1)):
+        path = tmp_path / f"in/{number}.gz"
+        write_gz(path, [envelope("transactions", {"id": number}), envelope("transactions", {"id": 0})])
+        stamp = dt.datetime(2026, 1, day).timestamp()
+        os.utime(path, (stamp, stamp))
+    lines = ingest.raw_stream(spark, str(tmp_path / "in"), 1).withColumn("company_id", F.lit("a"))
+    query = ingest.start_dedupe(ingest.stream_records(lines), str(tmp_path / "out"), str(tmp_path / "cp"), every=None)
+    query.awaitTermination()
+    assert query.exception() is None and spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
 def test_headcount_stream_follows_batches(spark, tmp_path):
     schema = "company_id string, employee_id string, event_ts timestamp, is_active boolean, seq bigint"
     events = [("a", f"e{n % 5}", dt.datetime(2026, 1, 1 + n // 4, n % 4), n % 3 != 0, n) for n in range(40)]
-    for start in range(0, 40, 20):
-        part = spark.createDataFrame(events[start : start + 20], schema)
+    for part in (events[20:30], events[30:], events[:20]):  # the oldest come last
+        part = spark.createDataFrame(part, schema)
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         rows = run_batches(spark, stateful.headcount_changes(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
@@ -172,7 +187,9 @@ def test_log_counts_slide(spark, tmp_path):
     )
     logs.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(logs.schema).parquet(str(tmp_path / "in"))
-    rows = run_batches(spark, stateful.log_counts(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query = stateful.start_partials(stream, stateful.log_partials, str(tmp_path / "out"), str(tmp_path / "cp"), every=None)
+    query.awaitTermination()
+    rows = stateful.merged_logs(spark.read.parquet(str(tmp_path / "out")))
     row = rows.filter("window_end = '2026-01-01 00:30:00'").first()
     assert row.n == 3
 
@@ -192,12 +209,9 @@ def test_spend_stream_equals_batch(spark, tmp_path):
         assert query.exception() is None
     figures = spark.read.parquet(f"{tmp_path}/out").orderBy(F.desc("batch")).drop("batch").first()
     assert figures == spend.spend_window(spend.daily_spend(rows), 7).first()
-    totals = stateful.daily_totals_stream(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")))
-    seen = {}
-
-    def keep(batch, _):
-        seen.update({(r.company_id, r.date): r.daily_total for r in batch.collect()})
-
-    query = totals.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/cp2").trigger(availableNow=True).start()
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+    query = stateful.start_partials(stream, stateful.daily_total_partials, f"{tmp_path}/totals", f"{tmp_path}/cp2", every=None)
     query.awaitTermination()
+    totals = stateful.merged_daily_totals(spark.read.parquet(f"{tmp_path}/totals"))
+    seen = {(r.company_id, r.date): r.daily_total for r in totals.collect()}
     assert seen == {(r.company_id, r.date): r.daily_total for r in finance.daily_totals(rows).collect()}
