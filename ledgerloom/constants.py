@@ -184,3 +184,14 @@ ALARM_RULES = (
 )
 # Days of actuals shown next to a forecast of the given horizon.
 ACTUAL_DAYS_BY_HORIZON = {7: 14, 30: 30, 90: 60}
+
+# --- what a tenant's expression may contain ----------------------------------------
+EXPRESSION_FUNCTIONS = frozenset(
+    "abs round floor ceil sqrt power mod greatest least coalesce nullif ifnull nvl if lower upper trim ltrim rtrim "
+    "length substring substr left right concat replace contains startswith endswith cast try_cast date to_date year "
+    "month day dayofweek date_trunc date_add date_sub datediff current_date isnull isnotnull".split()
+)
+EXPRESSION_WORDS = frozenset(
+    "and or not in is null true false between like ilike rlike case when then else end as asc desc nulls first last "
+    "distinct from string int bigint double date timestamp boolean decimal interval".split()
+)

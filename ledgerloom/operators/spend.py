@@ -136,10 +136,11 @@ def weekly_activity(rows: DataFrame, days: int = 7, keys: tuple[str, ...] = KEYS
     )
 
 
-def daily_spend(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+def daily_spend(rows: DataFrame, keys: tuple[str, ...] = KEYS, undated: bool = False) -> DataFrame:
+    """Spend and number of expenses per day; ``undated`` keeps those without a date in a row of their own."""
+    spent = expenses(rows)
     return (
-        expenses(rows)
-        .filter("date IS NOT NULL")
+        (spent if undated else spent.filter("date IS NOT NULL"))
         .groupBy(*keys, "date")
         .agg(money_sum(F.col("amount")).alias("value"), F.count("*").alias("transactions"))
     )
@@ -157,8 +158,11 @@ def spend_window(
     spent: DataFrame, window_days: int, keys: tuple[str, ...] = KEYS, span: int = 90
 ) -> DataFrame:
     """Figures of the last ``window_days`` of spend: total, mean, peak, the window before,
-    and the days far above the mean (1.6 deviations and 1.25 means)."""
-    series = spend_series(spent, span, keys)
+    and the days far above the mean (1.6 deviations and 1.25 means).
+
+    Expenses without a date count as transactions; a company that has only such has no other
+    figures."""
+    series = spend_series(spent.filter("date IS NOT NULL"), span, keys)
     order = W.partitionBy(*keys).orderBy(F.desc("date"))
     placed = series.withColumn("_n", F.row_number().over(order))
     here = F.col("_n") <= window_days
@@ -186,7 +190,7 @@ def spend_window(
     counts = spent.groupBy(*keys).agg(F.sum("transactions").alias("transaction_count"))
     return (
         figures.join(spikes, list(keys))
-        .join(counts, list(keys))
+        .join(counts, list(keys), "right")
         .withColumnRenamed("mean", "average")
         .drop("deviation")
         .withColumn("window_days", F.lit(window_days))

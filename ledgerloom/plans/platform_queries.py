@@ -340,12 +340,12 @@ def tenant_select(spark, d):
 
 
 @query("tenant_groups", f"""
-WITH {B.SQL_ORDERS} SELECT category, count(*) AS row_count FROM fin WHERE company_id = 'europe' GROUP BY ALL
+WITH {B.SQL_ORDERS} SELECT vendor, count(*) AS row_count FROM fin WHERE company_id = 'europe' GROUP BY ALL
 """)
 def tenant_groups(spark, d):
-    """Rows per category of one company."""
+    """Rows per vendor of one company, all of them."""
     rows = B.orders_finance(spark, d).filter("company_id = 'europe'")
-    return tenant.group_counts(rows, "category")
+    return tenant.group_counts(rows, "vendor")
 
 
 # --- pipeline health -------------------------------------------------------------------

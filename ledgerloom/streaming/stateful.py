@@ -191,7 +191,7 @@ def start_spend(
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        daily_spend(batch).write.mode("overwrite").parquet(f"{log}/batch={epoch}")
+        daily_spend(batch, undated=True).write.mode("overwrite").parquet(f"{log}/batch={epoch}")
         daily = spark.read.parquet(log).groupBy("company_id", "date").agg(
             money_sum(F.col("value")).alias("value"), F.sum("transactions").alias("transactions")
         )

@@ -218,6 +218,30 @@ def test_tenant_predicate_cannot_widen(spark):
     assert tenant.tenant_select(trusted, "a", dataset="employees").count() == 0
 
 
+def test_tenant_expressions_are_allowed_by_name(spark):
+    rows = spark.createDataFrame([("a", "x, y", 2), ("a", None, 1)], "company_id string, name string, n int")
+    columns = rows.columns
+    for text in ("n > 1 and name like '%;drop%'", "coalesce(n, 0) desc", "name in ('a', 'it''s') or `n` is null", "cast(n as string) = '1'"):
+        assert tenant.guard(text, "where", columns) == text
+    for text in ("reflect('java.lang.System', 'exit', 0)", "java_method('a', 'b')", "n > (select 1)", "n; drop table t",
+                 "n -- x", "input_file_name() = ''", "secret = 1", "`secret` = 1", "transform(array(n), x -> x)", "n /* x */ > 1", "n > 'a"):
+        with pytest.raises(ValueError):
+            tenant.guard(text, "where", columns)
+    ordered = tenant.tenant_select(rows, "a", ["n"], order_by="coalesce(n, 0) desc, name").collect()
+    assert [r.n for r in ordered] == ["2", "1"]
+    counts = tenant.group_counts(spark.range(25).withColumn("v", F.col("id").cast("string")), "v")
+    assert counts.count() == 25 and tenant.group_counts(counts, "v", 3).count() == 3
+
+
+def test_undated_expenses_count_as_transactions(spark):
+    rows = finance_rows(spark, [
+        ("a", "1", DAY, 10.0, "expenditure", "v", "x"), ("a", "2", None, 5.0, "expenditure", "v", "x"),
+        ("b", "3", None, 7.0, "expenditure", "v", "x")])
+    found = {r.company_id: r for r in spend.spend_window(spend.daily_spend(rows, undated=True), 7).collect()}
+    assert (found["a"].transaction_count, found["a"].current_total) == (2, 10.0)
+    assert (found["b"].transaction_count, found["b"].current_total, found["b"].window_days) == (1, None, 7)
+
+
 def test_companies_do_not_touch_each_other(spark):
     rows = finance_rows(spark, [
         (c, f"{c}{i}", DAY + dt.timedelta(days=i % 30), float(10 + (i * 7) % 50), "expenditure", f"v{i % 4}", "x")
