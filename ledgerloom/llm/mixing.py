@@ -33,8 +33,9 @@ TARGETS = {"clean": 0.975, "toxic": 0.005, "poor": 0.02}
 #: Most labelled rows that the classifier is fitted on.
 SAMPLE = 20_000
 BUCKETS = 1 << 18
-#: Words seen in few labelled documents are drawn towards saying nothing.
-PRIOR_DOCUMENTS = 20.0
+#: A word counts if a domain other than the first has it at least so many times more often than
+#: all documents do, and by so many standard deviations; all others are left out.
+TELLING_RATIO, TELLING_DEVIATIONS = 2.0, 4.0
 ITERATIONS = 40
 PULL = 0.01
 #: Rates this close to one are one when whole copies are drawn.
@@ -55,7 +56,7 @@ def _distinct_buckets(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 @dataclass
 class Classifier:
-    """Log-likelihood of every bucket under each domain, and of the domains themselves."""
+    """Per domain the log odds of telling words, zero for others, and what a document without any scores."""
 
     words: np.ndarray
     prior: np.ndarray
@@ -98,10 +99,14 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     found = sums.toArrow()  # at most three numbers a bucket
     counts[found["domain"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
     documents, seen = counts[:, BUCKETS:], counts[:, :BUCKETS]
-    overall = (seen.sum(axis=0) + 1) / (documents.sum() + 2)
-    words = np.log((seen + PRIOR_DOCUMENTS * overall) / (documents + PRIOR_DOCUMENTS))
-    prior = np.log((documents[:, 0] + 1) / (documents.sum() + len(DOMAINS)))
-    return Classifier((words - words.mean(axis=0)).astype(np.float32), prior)
+    expected = documents * seen.sum(axis=0) / max(documents.sum(), 1.0)
+    telling = (
+        ((seen + 2) / (expected + 2) > TELLING_RATIO) & (seen - expected > TELLING_DEVIATIONS * np.sqrt(expected + 1))
+    )[1:].any(axis=0)
+    chance = (seen + 0.5) / (documents + 1)  # of a document of the domain to have the word
+    words = np.where(telling, np.log(chance) - np.log1p(-chance), 0.0)
+    prior = np.log((documents[:, 0] + 1) / (documents.sum() + len(DOMAINS))) + (np.log1p(-chance) * telling).sum(axis=1)
+    return Classifier(words.astype(np.float32), prior)
 
 
 def with_posteriors(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
@@ -129,8 +134,8 @@ def fit_rates(known: DataFrame, targets: dict[str, float] | None = None, budget:
     """A column that gives each document its rate; ``known`` has ``n_tokens`` and posteriors.
 
     Without a ``budget`` in tokens the first domain keeps the tokens it has, and the others
-    are brought to their share next to it.  A domain without tokens cannot be reached and is
-    left out.
+    are cut to their share next to it; one that has less keeps what it has.  Misses count
+    relative to what is wanted or there, whichever is more.
     """
     shares = np.array([(targets or TARGETS)[name] for name in DOMAINS])
 
@@ -142,9 +147,8 @@ def fit_rates(known: DataFrame, targets: dict[str, float] | None = None, budget:
     if now.sum() <= 0:
         return F.lit(1.0)
     total = budget or (now[0] / shares[0] if now[0] > 0 and shares[0] > 0 else now.sum())
-    goal = shares * total
-    reachable = now > 1e-9 * now.sum()
-    scale = np.where(reachable, 1 / np.maximum(now, 1e-9), 0.0)  # misses relative to what is there
+    goal = shares * total if budget else np.minimum(shares * total, now)
+    scale = 1 / np.maximum(np.maximum(now, goal), 1e-9 * now.sum())
     step = 1 / (1 + PULL)
     steps: list[tuple[float, ...]] = []
     have = now
@@ -154,7 +158,8 @@ def fit_rates(known: DataFrame, targets: dict[str, float] | None = None, budget:
         before, have = have, totals(rate_of(steps, step))
         if np.abs((have - before) * scale).max() < 1e-4:
             break
-    return rate_of(steps, step)
+    # Without a budget only proportions count, so the first domain is brought back to what it has.
+    return rate_of(steps, step) * F.lit(float(now[0] / have[0]) if not budget and have[0] > 0 else 1.0)
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
