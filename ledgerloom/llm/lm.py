@@ -30,15 +30,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship_code
+from ..session import discard, materialize, ship_code
 from .blocks import SPACED, find_words, text_blocks
-from .ranker import held_out
+from .rows import gathered
 
 DEPTH = 5
 #: Tokens that share one local dictionary.
-SPLIT_TOKENS = 3_000_000
+SPLIT_TOKENS = 1_500_000
 #: Most decisions sent to the tasks at once (12 bytes each).
-BLOCK_DECISIONS = 2_000_000
+BLOCK_DECISIONS = 1_000_000
+#: Words coded at once.
+WORD_ROWS = 20_000
 #: Context counts that are mixed in one group, about.
 _GROUP_COUNTS = 200_000
 _SPACE, _END = 0x20, "\n"
@@ -154,7 +156,7 @@ def context_counts(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
     """How often each byte follows each longest context in the training tokens: ``code``, ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, WORD_ROWS):
             codes, word = events(batch.column(0).cast(pa.binary()).to_pylist(), depth)
             known, index = np.unique(codes, return_inverse=True)
             weights = batch.column(1).to_numpy()[word]
@@ -329,7 +331,7 @@ def score_words(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             top, levels, mine = shared.value
-            for batch in batches:
+            for batch in gathered(batches, WORD_ROWS):
                 codes, word = events(batch.column("word").cast(pa.binary()).to_pylist(), depth)
                 here = mine[(codes >> 8) & 0xFFFF]
                 known, index = np.unique(codes[here], return_inverse=True)
@@ -337,9 +339,13 @@ def score_words(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
                 at = batch.schema.get_field_index("score")
                 yield batch.set_column(at, "score", pa.array(batch.column("score").to_numpy() + scores))
 
-        found = found.mapInArrow(run, found.schema)
-        if block % 4 == 3:  # a task holds at most four blocks
-            found = materialize(found, "word-scores")
+        scored = materialize(found.mapInArrow(run, found.schema), "word-scores")  # a task holds one block
+        shared.destroy()
+        if block:
+            discard(found)
+        found = scored
+    discard(counts)
+    discard(mixed)
     return found
 
 
@@ -359,16 +365,18 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", held:
     entries = rows.filter("word IS NOT NULL").select("split", "local", "word", "trained")
     vocabulary = materialize(entries.groupBy("word").agg(F.sum("trained").alias("trained")), "words")
     n, v = vocabulary.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count(F.when(F.col("trained") > 0, 1))).first()
-    scored = materialize(score_words(vocabulary, depth), "word-scores")
-    base = F.log10((F.col("trained") + 0.5) / F.lit(n + 0.5 * (v + 1)))
-    returned = entries.select("split", "local", "word").join(scored, "word").select(
-        F.col("split").alias("part"), "local", base.alias("base"), "score", (F.col("trained") > 0).alias("known"))
+    scored = score_words(vocabulary, depth)
+    discard(vocabulary)
+    returned = materialize(entries.select("split", "local", "word").join(scored, "word").select(
+        F.col("split").alias("part"), "local", "trained", F.col("score").cast("float").alias("score")), "entry-scores")
+    discard(scored)
 
     def run(documents: pa.Table, entries: pa.Table) -> pa.Table:
         local = entries.column("local").to_numpy()
+        trained = entries.column("trained").to_numpy()
         values = np.zeros((3, len(local)))
-        for i, name in enumerate(("base", "score", "known")):
-            values[i, local] = entries.column(name).to_numpy().astype(float)
+        values[:, local] = (
+            np.log10((trained + 0.5) / (n + 0.5 * (v + 1))), entries.column("score").to_numpy().astype(float), trained > 0)
         ids = documents.column("ids").combine_chunks()
         ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
         flat = ids.flatten().to_numpy()

@@ -45,3 +45,17 @@ def per_text_columns(
 
     found = rows.mapInArrow(run, outer)
     return found.select(*[F.col("row")[name].alias(name) for name in carried], *new)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Small batches as fewer of at least ``rows`` rows; the last may be smaller."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if size:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
