@@ -10,8 +10,8 @@ whether or not the earlier one is removed itself.
   bytes.  Any order that all lines share gives the same result; rare words first keep
   candidates few.
 * Matching sets share a word within their prefixes, whose lengths follow from the threshold;
-  lengths and the places of the shared word bound the overlap, and what passes is verified
-  on the words themselves.
+  lengths, the places of the shared word and 64 parity bits bound the overlap, and what
+  passes is verified on the words themselves.
 * In a first round a line only meets the earliest line of each of its prefix words, which
   settles most near copies of one line without comparing them with each other.  Only lines
   that found no match then meet all others.
@@ -19,10 +19,12 @@ whether or not the earlier one is removed itself.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import computed_once, materialize
+from ..session import computed_once, discard, materialize
 
 #: Lines with fewer distinct words are left alone.
 MIN_WORDS = 5
@@ -30,14 +32,24 @@ MIN_WORDS = 5
 OVER, UNDER = 4, 5
 #: Buckets that words are counted in, a power of two.
 BUCKETS = 1 << 20
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The prefix join is done in so many shares of the words, one after the other, to use less disk.
+SHARES = 4
+#: Lines of more words than ``LONG`` have ``WIDE`` times 64 parity bits.
+LONG, WIDE = 90, 4
 _HASH_BITS = 56
 
 
+def _plain(text: Column) -> Column:
+    """Lower case, with single-character spaces; plain replacements are far cheaper than a pattern."""
+    out = F.lower(text)
+    for space in "\t\x0b\x0c\r":
+        out = F.replace(out, F.lit(space), F.lit(" "))
+    return out
+
+
 def line_words(line: Column) -> Column:
-    """Distinct words of a line, in lower case (A to Z)."""
-    trimmed = F.btrim(F.translate(line, _UPPER, _LOWER), F.lit(" \t\x0b\x0c\r"))
-    return F.array_distinct(F.split(trimmed, "[ \t\x0b\x0c\r]+"))
+    """Distinct words of a line, in lower case."""
+    return F.array_remove(F.array_distinct(F.split(_plain(line), " ")), "")
 
 
 def text_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -50,11 +62,11 @@ def _bucket(word_hash: Column) -> Column:
     return word_hash.bitwiseAND(F.lit(BUCKETS - 1))
 
 
-def rarity_classes(lines: DataFrame) -> bytes:
+def rarity_classes(texts: DataFrame) -> bytes:
     """One character per bucket, greater for more frequent words; its size is ``BUCKETS`` bytes."""
-    spark = lines.sparkSession
-    seen = lines.select(F.explode(line_words(F.col("line"))).alias("word")).select(
-        _bucket(F.xxhash64("word")).alias("bucket"))
+    spark = texts.sparkSession
+    words = F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")
+    seen = texts.select(F.explode(words).alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
     counts = seen.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     every = spark.range(BUCKETS).select(F.col("id").alias("bucket"), F.lit(0).cast("bigint").alias("n"))
     total = counts.union(every).groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -65,14 +77,42 @@ def rarity_classes(lines: DataFrame) -> bytes:
     return "".join(r["text"] for r in sorted(texts.collect())).encode("ascii")
 
 
-def ordered_codes(words: Column, classes: bytes) -> Column:
+def ordered_codes(hashes: Column, classes: bytes) -> Column:
     """Word hashes under their rarity class, rarest first."""
-    def code(word: Column) -> Column:
-        hashed = F.xxhash64(word)
+    def code(hashed: Column) -> Column:
         level = F.ascii(F.substring(F.lit(classes), _bucket(hashed).cast("int") + 1, F.lit(1)).cast("string"))
         return F.shiftleft(level.cast("bigint"), _HASH_BITS).bitwiseOR(hashed.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))
 
-    return F.sort_array(F.transform(words, code))
+    return F.sort_array(F.transform(hashes, code))
+
+
+def _parities(hashes: Column) -> Column:
+    """64 bits, each telling whether an odd number of words fall on it.
+
+    Lines differ in at least as many words as these bits differ.
+    """
+    return F.aggregate(
+        hashes, F.lit(0).cast("bigint"),
+        lambda bits, h: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))))
+
+
+def _wide_parities(hashes: Column) -> Column:
+    """Parities of a long line in several parts, by further bits of the hashes; null for others.
+
+    64 bits are soon full; the words of each part are told apart by 64 bits of their own.
+    """
+    def part(number: int) -> Column:
+        own = F.filter(hashes, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1)) == number)
+        return _parities(own)
+
+    return F.when(F.size(hashes) > LONG, F.array(*[part(k) for k in range(WIDE)]))
+
+
+def _differing(x: str, y: str) -> Column:
+    """Words that certainly differ, from the parities of two lines."""
+    wide = F.aggregate(
+        F.zip_with(f"{x}wide", f"{y}wide", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, n: total + n)
+    return F.coalesce(wide, F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))))
 
 
 def _least(numerator: int, denominator: int, n: Column) -> Column:
@@ -84,20 +124,29 @@ def _prefixes(firsts: DataFrame) -> DataFrame:
     """A row per prefix word: ``token``, ``place``, ``indexed`` (in the shorter prefix), the line and its size."""
     index = F.col("n") - _least(2 * OVER, OVER + UNDER, F.col("n")) + 1
     return firsts.select(
-        "id", "doc", "line_no", "n", index.alias("index_size"), F.posexplode("codes").alias("at", "token"),
-    ).select("id", "doc", "line_no", "n", "token", (F.col("at") + 1).alias("place"), (F.col("at") < F.col("index_size")).alias("indexed"))
+        "id", "doc", "line_no", "n", "bits", "wide", index.alias("index_size"), F.posexplode("codes").alias("at", "token"),
+    ).select("id", "doc", "line_no", "n", "bits", "wide", "token", (F.col("at") + 1).alias("place"), (F.col("at") < F.col("index_size")).alias("indexed"))
 
 
 def _earlier(a: str, b: str) -> Column:
     return F.struct(F.col(f"{a}.doc"), F.col(f"{a}.line_no")) < F.struct(F.col(f"{b}.doc"), F.col(f"{b}.line_no"))
 
 
+def _sizes_allow(nx: Column, ny: Column, differing: Column) -> Column:
+    """Length bounds, and room for the words that certainly differ."""
+    return (
+        (nx * OVER <= ny * UNDER) & (ny * OVER <= nx * UNDER)
+        & (differing * (OVER + UNDER) <= (nx + ny) * (UNDER - OVER))
+    )
+
+
 def _possible(x: str, y: str) -> Column:
     """Length and positional bounds of a shared prefix word; sizes decide which prefix counts."""
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
     need = _least(OVER, OVER + UNDER, nx + ny)
     return (
-        (nx * OVER <= ny * UNDER) & (ny * OVER <= nx * UNDER)
+        _sizes_allow(nx, ny, F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))))
+        & _sizes_allow(nx, ny, _differing(f"{x}.", f"{y}."))
         & ((nx < ny) | F.col(f"{y}.indexed")) & ((ny < nx) | F.col(f"{x}.indexed"))
         & (1 + F.least(nx - F.col(f"{x}.place"), ny - F.col(f"{y}.place")) >= need)
     )
@@ -120,45 +169,51 @@ def _verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFram
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc`` and ``line_no`` of every line that matches an earlier one."""
     lines = text_lines(docs, key, text)
+    classes = rarity_classes(docs.select(F.col(text).cast("string").alias("text")))
     sets = computed_once(lines.select("doc", "line_no", line_words(F.col("line")).alias("words")), ["words"])
-    codes = computed_once(sets.filter(F.size("words") >= MIN_WORDS).select(
-        "doc", "line_no", ordered_codes(F.col("words"), rarity_classes(lines)).alias("codes")), ["codes"])
+    hashed = computed_once(sets.filter(F.size("words") >= MIN_WORDS).select(
+        "doc", "line_no", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")), ["hashes"])
+    coded = computed_once(hashed.select(
+        "doc", "line_no", F.array(F.array_min("hashes"), F.array_max("hashes")).alias("extremes"),
+        _parities(F.col("hashes")).alias("bits"), _wide_parities(F.col("hashes")).alias("wide"), ordered_codes(F.col("hashes"), classes).alias("codes")), ["codes"])
     n = F.size("codes")
-    placed = materialize(codes.select(
+    placed = materialize(coded.select(
         "doc", "line_no", n.alias("n"), F.xxhash64("codes").alias("id"),  # lines with one set of words share an id
-        F.slice("codes", 1, n - _least(OVER, UNDER, n) + 1).alias("codes"),
-        F.array(
-            F.array_min(F.transform("codes", lambda c: c.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))),
-            F.array_min(F.transform("codes", lambda c: F.xxhash64(c))),
-        ).alias("smallest")), "lines")
+        F.slice("codes", 1, n - _least(OVER, UNDER, n) + 1).alias("codes"), "bits", "wide", "extremes"), "lines")
     firsts = materialize(placed.groupBy("id").agg(
         F.min(F.struct("doc", "line_no")).alias("at"), F.min("n").alias("n"), F.min("codes").alias("codes"),
-        F.min("smallest").alias("smallest"),
-    ).select("id", "at.doc", "at.line_no", "n", "codes", "smallest"), "first-lines")
-
-    leaders = _leader_pairs(firsts)
-    settled = materialize(_verified(materialize(leaders, "pairs"), lines, firsts), "settled")
+        F.min("bits").alias("bits"), F.min("wide").alias("wide"), F.min("extremes").alias("extremes"),
+    ).select("id", "at.doc", "at.line_no", "n", "codes", "bits", "wide", "extremes"), "first-lines")
+    copies = materialize(placed.select("id", "doc", "line_no").join(
+        firsts.select("id", F.struct("doc", "line_no").alias("at")), "id",
+    ).filter(F.struct("doc", "line_no") > F.col("at")).select("doc", "line_no"), "copies")
+    discard(placed)
+
+    settled = materialize(_verified(materialize(_leader_pairs(firsts), "pairs"), lines, firsts), "settled")
     open_ = firsts.join(settled.withColumnRenamed("later", "id"), "id", "left_anti")
-    x, y = _prefixes(open_).alias("x"), _prefixes(firsts).alias("y")
-    pairs = x.join(y, F.expr("x.token = y.token") & _earlier("y", "x") & _possible("x", "y")).select(
-        F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct()
-    found = settled.union(materialize(_verified(materialize(pairs, "pairs"), lines, firsts), "settled"))
-    copies = placed.join(firsts.select("id", F.struct("doc", "line_no").alias("at")), "id").filter(
-        F.struct("doc", "line_no") > F.col("at")).select("doc", "line_no")
-    near = firsts.join(found.withColumnRenamed("later", "id"), "id", "left_semi").select("doc", "line_no")
+    found = [settled]
+    for share in range(SHARES):
+        own = F.pmod("token", F.lit(SHARES)) == share
+        x, y = _prefixes(open_).filter(own).alias("x"), _prefixes(firsts).filter(own).alias("y")
+        pairs = materialize(x.join(y, F.expr("x.token = y.token") & _earlier("y", "x") & _possible("x", "y")).select(
+            F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct(), "pairs")
+        found.append(pairs)
+    pairs = reduce(DataFrame.union, found[1:]).distinct()
+    matched = settled.union(materialize(_verified(pairs, lines, firsts), "settled"))
+    near = firsts.join(matched.withColumnRenamed("later", "id"), "id", "left_semi").select("doc", "line_no")
     return copies.union(near)
 
 
 def _leader_pairs(firsts: DataFrame) -> DataFrame:
-    """Each line with the earliest line that has the same smallest word hash, under two hash functions.
+    """Each line with the earliest line that has the same smallest, or the same greatest, word hash.
 
-    Two lines share one with a probability of their similarity; a pair a line makes at most.
+    Two lines share one with a probability of their similarity; two pairs a line at most.
     """
-    rows = firsts.select("id", "doc", "line_no", "n", F.explode("smallest").alias("key"))
-    leaders = rows.groupBy("key").agg(F.min(F.struct("doc", "line_no", "id", "n")).alias("first"))
-    n, m = F.col("n"), F.col("first.n")
-    return rows.join(leaders, "key").filter(
-        (F.col("id") != F.col("first.id")) & (n * OVER <= m * UNDER) & (m * OVER <= n * UNDER),
+    rows = firsts.select("id", "doc", "line_no", "n", "bits", F.posexplode("extremes").alias("which", "key"))
+    leaders = rows.groupBy("which", "key").agg(F.min(F.struct("doc", "line_no", "id", "n", "bits")).alias("first"))
+    differing = F.bit_count(F.col("bits").bitwiseXOR(F.col("first.bits")))
+    return rows.join(leaders, ["which", "key"]).filter(
+        (F.col("id") != F.col("first.id")) & _sizes_allow(F.col("n"), F.col("first.n"), differing),
     ).select(F.col("id").alias("later"), F.col("first.id").alias("earlier")).distinct()
 
 
@@ -171,15 +226,16 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     ``docs`` with the names of results are replaced.
     """
     gone = repeated_lines(docs, key, text).groupBy("doc").agg(F.collect_set("line_no").alias("_gone"))  # of one text
-    parts = F.split(F.col(text).cast("string"), "\n")
     joined = docs.drop("n_lines", "n_removed").join(gone.withColumnRenamed("doc", "_doc").hint("shuffle_hash"), F.col(key) == F.col("_doc"), "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
-    rest = F.array_join(F.transform(kept, lambda k: F.element_at(parts, k + 1)), "\n")
-    return joined.withColumns({
-        "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),
+    # The text is cut once; an expression inside the lambda would be evaluated for every line.
+    cut = computed_once(joined.withColumn("_parts", F.split(F.col(text).cast("string"), "\n")), ["_parts"])
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), F.col("_gone"))
+    rest = F.array_join(F.transform(kept, lambda k: F.element_at("_parts", k + 1)), "\n")
+    return cut.withColumns({
+        "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("_parts")).cast("bigint"),
         "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
         text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest),
-    }).drop("_doc", "_gone")
+    }).drop("_doc", "_gone", "_parts")
 
 
 def remove_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,7 +258,7 @@ WITH lines AS (
     FROM documents
 ), sets AS (
     SELECT doc_id, line_no, list_distinct(string_split_regex(
-        trim(translate(line, '{_UPPER}', '{_LOWER}'), {spaces}), '[ \\t\\x0b\\x0c\\r]+')) AS words
+        trim(lower(line), {spaces}), '[ \\t\\x0b\\x0c\\r]+')) AS words
     FROM lines
 ), tokens AS (
     SELECT doc_id, line_no, len(words) AS n, unnest(words) AS word FROM sets WHERE len(words) >= {MIN_WORDS}
