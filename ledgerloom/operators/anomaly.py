@@ -148,13 +148,20 @@ def sample_rows(
         return F.shiftrightunsigned(F.xxhash64(*parts, F.lit(K.MODEL_SEED)), 11) / F.lit(scale)
 
     share = F.least(F.lit(1.0), 2.0 * K.ISOLATION_SAMPLE / F.col("model_rows"))
+    whole = F.floor(F.col("copies") * share).cast("int")
+    rest = F.col("copies") * share - whole
+    # One hash tells the first tree that draws the row beyond its whole copies, if any does;
+    # only rows that some tree draws are spread over the trees.
+    first = F.when(rest > 0, F.least(
+        F.floor(F.ln(1 - uniform("_row", F.lit("first"))) / F.ln(1 - rest)), F.lit(trees))).otherwise(trees).cast("int")
+    again = (F.col("tree") > F.col("_first")) & (uniform("_row", "tree") < F.col("_rest"))
     drawn = (
         frame.withColumn("_row", F.xxhash64(*content))
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn(
-            "_times",
-            F.floor(F.col("copies") * share + uniform("_row", "tree")).cast("int"),
-        )
+        .withColumns({"_whole": whole, "_rest": rest, "_first": first})
+        .filter((F.col("_whole") > 0) | (F.col("_first") < trees))
+        .withColumn("tree", F.explode(F.sequence(
+            F.when(F.col("_whole") > 0, 0).otherwise(F.col("_first")), F.lit(trees - 1))))
+        .withColumn("_times", F.col("_whole") + ((F.col("tree") == F.col("_first")) | again).cast("int"))
         .filter("_times > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
         .withColumn("_order", F.xxhash64("_row", "tree", "_copy"))
