@@ -37,7 +37,7 @@ from .rows import gathered
 DEPTH = 5
 #: Tokens that share one local dictionary.
 SPLIT_TOKENS = 1_500_000
-#: Most decisions sent to the tasks at once (12 bytes each).
+#: Most decisions sent to the tasks at once (16 bytes each).
 BLOCK_DECISIONS = 1_000_000
 #: Words coded at once.
 WORD_ROWS = 20_000
@@ -325,7 +325,7 @@ def score_words(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
         levels = []
         for d in range(2, depth + 1):
             part = own.filter(pc.equal(own["depth"], d)).sort_by("key")
-            levels.append((part["key"].to_numpy(), part["p"].to_numpy().astype(np.float32)))
+            levels.append((part["key"].to_numpy(), part["p"].to_numpy()))
         mine = np.array([r[0] for r in spark.range(65536).filter(block_of(F.col("id")) == block).collect()], np.int64)
         shared = spark.sparkContext.broadcast((top, levels, np.isin(np.arange(65536), mine)))
 

@@ -119,6 +119,13 @@ def test_scores_of_odd_rows(ready, odd_docs, no_docs, odd_rows):
     assert untaught.score == pytest.approx(-8 * math.log10(2) * (len("one ") + len("two ") + 1), rel=1e-6)
 
 
+def test_a_break_after_very_many_copies_has_a_finite_score(ready):
+    # After one byte both go on; only the longer contexts are sure, and all weight is theirs.
+    vocabulary = ready.createDataFrame([("xab", 10**8), ("yaa", 10**8), ("xaa", 0)], "word string, trained long")
+    scores = {r.word: r.score for r in lm.score_words(vocabulary).collect()}
+    assert all(map(math.isfinite, scores.values())) and -30 < scores["xaa"] < -8 < scores["xab"]
+
+
 # --- licences ---------------------------------------------------------------------------------
 def test_whole_texts_are_recognised_however_they_are_written(ready):
     mit = license_texts.TEXTS[1][1]
