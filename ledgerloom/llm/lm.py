@@ -1,21 +1,20 @@
 """Scoring of texts by context-tree weighting over bytes.
 
-A text is a sequence of tokens: its words in lower case, then one end.  A token is coded
-byte by byte (a word closes with a space), a byte as eight binary decisions, each given the
-last bytes of the token, at most ``DEPTH`` of them.  For every decision and every context
-two counts give a Krichevsky-Trofimov estimate; a context's weighted probability is half
-its own estimate and half the product of its longer contexts.  So all depths are mixed,
-with weights that the training text decides.
+A text is a sequence of tokens: its words in lower case, then one end.  It is coded byte by
+byte (a word closes with a space), a byte as eight binary decisions, each given the last
+``DEPTH`` bytes of the text, whichever tokens they belong to; before the text stand spaces.
+For every decision and every context two counts give a Krichevsky-Trofimov estimate; a
+context's weighted probability is half its own estimate and half the product of its longer
+contexts.  So all depths are mixed, with weights that the training text decides.
 
 How the work is spread:
 
-1. Each task turns its documents into numbers of a local dictionary; dictionaries are small
-   next to the text and are all that is added up over the corpus.
-2. Contexts are counted over the distinct words, weighted by their counts.  All contexts
-   that share their last two bytes are mixed together in one group.
-3. The mixed decisions are sent to the tasks in blocks of bounded size, however many there
-   are; every distinct word is scored once.
-4. Word scores return to the dictionaries they came from, then to the documents.
+1. Each task turns its documents into numbers of a local dictionary, and counts the bytes
+   with their contexts (codes) before anything is shuffled.
+2. Codes are added up over the corpus.  All that share their last two bytes of context are
+   mixed together in one group; only the sums of depths 0 and 1 pass through the driver.
+3. The same groups then score every different code once.
+4. Scores return to the splits their codes came from, where each text is run through.
 """
 
 from __future__ import annotations
@@ -32,17 +31,16 @@ from pyspark.sql import functions as F
 
 from ..session import discard, materialize, ship_code
 from .blocks import SPACED, find_words, text_blocks
-from .rows import gathered
 
 DEPTH = 5
 #: Tokens that share one local dictionary.
-SPLIT_TOKENS = 1_500_000
-#: Most decisions sent to the tasks at once (16 bytes each).
+SPLIT_TOKENS = 4_000_000
+#: Tokens of a split that are coded at once, or one longer text.
+CODED_TOKENS = 300_000
+#: Most decisions that are mixed in one group, about.
 BLOCK_DECISIONS = 1_000_000
-#: Words coded at once.
-WORD_ROWS = 20_000
-#: Context counts that are mixed in one group, about.
-_GROUP_COUNTS = 200_000
+#: Code rows written at once.
+CODE_ROWS = 500_000
 _SPACE, _END = 0x20, "\n"
 _HALF = math.log(0.5)
 
@@ -75,8 +73,8 @@ class _Split:
         self.held.append(held)
         self.tokens += len(words.hashes)
 
-    def rows(self, number: int) -> Iterator[pa.RecordBatch]:
-        """A row per word of the dictionary, then a row per document."""
+    def rows(self, number: int, depth: int, across: bool) -> Iterator[pa.RecordBatch]:
+        """A row per word of the dictionary, a row per different code, then a row per document."""
         known, index, total = np.unique(np.concatenate(self.hashes), return_inverse=True, return_counts=True)
         frequent = np.empty(len(known), np.int64)
         frequent[np.argsort(-total, kind="stable")] = np.arange(1, len(known) + 1)  # small numbers are common
@@ -94,25 +92,35 @@ class _Split:
         yield pa.RecordBatch.from_arrays([
             pa.array(np.full(n, number)), pa.array(np.arange(n, dtype=np.int32)),
             pa.array(words, pa.binary()).cast(pa.string()), pa.array(trained.astype(np.int64)),
-            pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32())),
+            pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()),
+            pa.nulls(n, pa.list_(pa.int32())),
         ], _FIELDS)
+        every, seen = counted(coded(words, ids, counts, depth, across), taught)
+        for low in range(0, len(every), CODE_ROWS):
+            some = every[low : low + CODE_ROWS]
+            n = len(some)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(n, number)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()),
+                pa.array(seen[low : low + CODE_ROWS]), pa.array(some), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()),
+                pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32())),
+            ], _FIELDS)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
         n = len(counts)
         table = pa.RecordBatch.from_arrays([
             pa.array(np.full(n, number)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()),
-            pa.concat_arrays(self.keys), held, pa.array(sizes.astype(np.int64)), lists,
+            pa.nulls(n, pa.int64()), pa.concat_arrays(self.keys), held, pa.array(sizes.astype(np.int64)), lists,
         ], _FIELDS)
         for low in range(0, n, 2000):
             yield table.slice(low, 2000)
 
 
-_FIELDS = ["split", "local", "word", "trained", "_key", "held", "size", "ids"]
-_ROWS = "split bigint, local int, word string, trained bigint, _key bigint, held boolean, size bigint, ids array<int>"
+_FIELDS = ["split", "local", "word", "trained", "code", "_key", "held", "size", "ids"]
+_ROWS = "split bigint, local int, word string, trained bigint, code bigint, _key bigint, held boolean, size bigint, ids array<int>"
 
 
-def encode(docs: DataFrame, key: str, text: str, held: str) -> DataFrame:
-    """Dictionary rows and document rows of all documents; ``held`` marks those not to learn from."""
+def encode(docs: DataFrame, key: str, text: str, held: str, depth: int = DEPTH, across: bool = True) -> DataFrame:
+    """Dictionary, code and document rows of all documents; ``held`` marks those not to learn from."""
     ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,10 +131,10 @@ def encode(docs: DataFrame, key: str, text: str, held: str) -> DataFrame:
                 split.add(block, batch.column("_key").slice(block.first, block.n),
                           batch.column("_held").slice(block.first, block.n))
                 if split.tokens >= SPLIT_TOKENS:
-                    yield from split.rows(number)
+                    yield from split.rows(number, depth, across)
                     number, split = number + 1, _Split()
         if split.counts:
-            yield from split.rows(number)
+            yield from split.rows(number, depth, across)
 
     rows = docs.select(
         F.col(key).cast("bigint").alias("_key"), F.col(held).cast("boolean").alias("_held"),
@@ -136,36 +144,51 @@ def encode(docs: DataFrame, key: str, text: str, held: str) -> DataFrame:
 
 # --- contexts -------------------------------------------------------------------------------
 
-def events(words: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of every byte with the ``depth`` bytes before it, and the word each belongs to.
+def coded(words: list[bytes], ids: np.ndarray, counts: np.ndarray, depth: int, across: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes of every byte of the texts with the ``depth`` bytes before it, and the text each belongs to, some texts at a time.
 
-    Bytes before a word count as spaces.  A code has the context above the lowest byte.
+    ``ids`` are the words of all texts (number 0 is the end, which every text gets), ``counts``
+    how many a text has.  Bytes before a text count as spaces; unless contexts go ``across``
+    tokens, those before every token do.  A code has the context above the lowest byte.
     """
-    end = _END.encode()
-    data = np.frombuffer(b"".join(b" " * depth + w + (b"" if w == end else b" ") for w in words), np.uint8)
-    sizes = np.array([len(w) + (w != end) for w in words], np.int64)
-    word = np.repeat(np.arange(len(words)), sizes)
-    at = np.arange(sizes.sum()) + depth * (word + 1)
-    codes = np.zeros(len(at), np.int64)
-    for back in range(depth, -1, -1):
-        codes = (codes << 8) | data[at - back]
-    return codes, word
-
-
-def context_counts(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """How often each byte follows each longest context in the training tokens: ``code``, ``n``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, WORD_ROWS):
-            codes, word = events(batch.column(0).cast(pa.binary()).to_pylist(), depth)
-            known, index = np.unique(codes, return_inverse=True)
-            weights = batch.column(1).to_numpy()[word]
-            n = np.zeros(len(known), np.int64)
-            np.add.at(n, index, weights)
-            yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(n)], ["code", "n"])
-
-    taught = vocabulary.filter("trained > 0").select("word", "trained")
-    return taught.mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    written = [words[0], *(w + b" " for w in words[1:])]
+    sizes = np.array([len(w) for w in written], np.int64)
+    pool = np.frombuffer(b"".join(written), np.uint8)
+    begin = np.cumsum(sizes) - sizes
+    cuts = np.r_[0, np.cumsum(counts)]
+    low = 0
+    while low < len(counts):
+        high = max(low + 1, int(np.searchsorted(cuts, cuts[low] + CODED_TOKENS, "right")) - 1)
+        many = counts[low:high]
+        tokens = np.insert(ids[cuts[low] : cuts[high]], np.cumsum(many), 0)
+        text_of = np.repeat(np.arange(low, high), many + 1)
+        first = np.r_[True, text_of[1:] != text_of[:-1]] if across else np.ones(len(tokens), bool)
+        size, pad = sizes[tokens], np.where(first, depth, 0)
+        start = np.cumsum(size + pad) - size  # of each token, behind its padding
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        at = np.repeat(start, size) + within
+        data = np.full(int((size + pad).sum()), _SPACE, np.uint8)
+        data[at] = pool[np.repeat(begin[tokens], size) + within]
+        codes = np.zeros(len(at), np.int64)
+        for back in range(depth, -1, -1):
+            codes <<= 8
+            codes |= data[at - back]
+        yield codes, np.repeat(text_of, size)
+        low = high
+
+
+def counted(chunks: Iterator[tuple[np.ndarray, np.ndarray]], taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes in order, and how often each stands in a text that is ``taught``."""
+    every, seen = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for codes, text_of in chunks:
+        for some, weight in ((codes[taught[text_of]], 1), (codes[~taught[text_of]], 0)):
+            known, n = np.unique(some, return_counts=True)
+            both = np.union1d(every, known)
+            total = np.zeros(len(both), np.int64)
+            total[np.searchsorted(both, every)] = seen
+            total[np.searchsorted(both, known)] += n * weight
+            every, seen = both, total
+    return every, seen
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -233,7 +256,7 @@ class Level:
 
 
 def mix_subtree(codes: np.ndarray, n: np.ndarray, depth: int) -> list[Level]:
-    """Levels 2 to ``depth`` below whole groups of contexts with the same last two bytes."""
+    """Settled levels 2 to ``depth`` below whole groups of contexts with the same last two bytes."""
     levels: list[Level] = []
     for d in range(2, depth + 1):
         levels.append(Level(*decisions((codes >> 8) & ((1 << (8 * d)) - 1), codes & 0xFF, n)))
@@ -244,27 +267,23 @@ def mix_subtree(codes: np.ndarray, n: np.ndarray, depth: int) -> list[Level]:
     return levels
 
 
-def _mixed_rows(counts: DataFrame, groups: int, depth: int) -> DataFrame:
-    """Decisions of depth 2 and more: ``depth``, ``key``, ``p`` if no longer context is known, and sums for depth 1."""
+def _grouped(counts: DataFrame, groups: int):
+    """Codes in groups that hold all codes with the same last two bytes of context."""
+    last_two = F.shiftright(F.col("code"), 8).bitwiseAND(F.lit(0xFFFF))
+    return counts.select("code", "n", F.pmod(F.xxhash64(last_two), F.lit(groups)).alias("part")).groupBy("part")
+
+
+def _two_byte_sums(counts: DataFrame, groups: int, depth: int) -> DataFrame:
+    """Decisions of depth 2 added up for depth 1: ``key``, ``zeros``, ``ones``, ``log_weighted``; at most 256 x 255 rows."""
 
     def run(table: pa.Table) -> pa.Table:
-        levels = mix_subtree(table.column("code").to_numpy(), table.column("n").to_numpy(), depth)
-        parts = []
-        for d, level in enumerate(levels, 2):
-            some = d == 2
-            parts.append(pa.table({
-                "depth": pa.array(np.full(len(level.keys), d, np.int32)), "key": level.keys,
-                "p": (level.sure + 0.5 * level.left),
-                "zeros": level.zeros if some else pa.nulls(len(level.keys), pa.float64()),
-                "ones": level.ones if some else pa.nulls(len(level.keys), pa.float64()),
-                "log_weighted": level.log_weighted if some else pa.nulls(len(level.keys), pa.float64()),
-            }))
-        return pa.concat_tables(parts)
+        two = mix_subtree(table.column("code").to_numpy(), table.column("n").to_numpy(), depth)[0]
+        known, index = np.unique(two.keys & 0xFFFF, return_inverse=True)
+        sums = [np.bincount(index, x, len(known)) for x in (two.zeros, two.ones, two.log_weighted)]
+        return pa.table(dict(zip(("key", "zeros", "ones", "log_weighted"), (known, *sums))))
 
-    last_two = F.shiftright(F.col("code"), 8).bitwiseAND(F.lit(0xFFFF))
-    grouped = counts.select("code", "n", F.pmod(F.xxhash64(last_two), F.lit(groups)).alias("part"))
-    return grouped.groupBy("part").applyInArrow(
-        run, "depth int, key bigint, p double, zeros double, ones double, log_weighted double")
+    found = _grouped(counts.filter("n > 0"), groups).applyInArrow(run, "key bigint, zeros double, ones double, log_weighted double")
+    return found.groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("log_weighted"))
 
 
 class Top:
@@ -302,97 +321,80 @@ def log_probabilities(codes: np.ndarray, top: Top, levels: list[tuple[np.ndarray
     return total
 
 
-def score_words(vocabulary: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``vocabulary`` (``word``, ``trained``) with ``score``, the log10 probability of every word."""
-    spark = vocabulary.sparkSession
-    counts = materialize(context_counts(vocabulary, depth), "contexts")
-    total = counts.count()
-    mixed = materialize(_mixed_rows(counts, max(16, -(-total // _GROUP_COUNTS)), depth), "decisions")
-    rows = mixed.filter("depth = 2").select(
-        F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key"), "zeros", "ones", "log_weighted",
-    ).groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("log_weighted")).collect()  # at most 256 x 255 rows
-    columns = np.array([tuple(r) for r in rows], float).reshape(-1, 4)
-    top = Top(columns[:, 0].astype(np.int64), *columns[:, 1:].T)
-    blocks = max(1, -(-mixed.count() // BLOCK_DECISIONS))
-
-    def block_of(column):
-        return F.pmod(F.xxhash64(column), F.lit(blocks))
-
-    found = vocabulary.withColumn("score", F.lit(0.0))
-    numbered = mixed.withColumn("last_two", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
-    for block in range(blocks):
-        own = numbered.filter(block_of(F.col("last_two")) == block).select("depth", "key", "p").toArrow()
-        levels = []
-        for d in range(2, depth + 1):
-            part = own.filter(pc.equal(own["depth"], d)).sort_by("key")
-            levels.append((part["key"].to_numpy(), part["p"].to_numpy()))
-        mine = np.array([r[0] for r in spark.range(65536).filter(block_of(F.col("id")) == block).collect()], np.int64)
-        shared = spark.sparkContext.broadcast((top, levels, np.isin(np.arange(65536), mine)))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            top, levels, mine = shared.value
-            for batch in gathered(batches, WORD_ROWS):
-                codes, word = events(batch.column("word").cast(pa.binary()).to_pylist(), depth)
-                here = mine[(codes >> 8) & 0xFFFF]
-                known, index = np.unique(codes[here], return_inverse=True)
-                scores = np.bincount(word[here], log_probabilities(known, top, levels)[index], batch.num_rows)
-                at = batch.schema.get_field_index("score")
-                yield batch.set_column(at, "score", pa.array(batch.column("score").to_numpy() + scores))
-
-        scored = materialize(found.mapInArrow(run, found.schema), "word-scores")  # a task holds one block
-        shared.destroy()
-        if block:
-            discard(found)
-        found = scored
-    discard(counts)
-    discard(mixed)
-    return found
+def score_codes(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``code`` and ``score``, the log10 probability of its byte, of every row of ``counts`` (``code``, ``n``).
+
+    ``n`` is how often the code was seen in training, zero for one that is only to be scored.
+    """
+    groups = max(16, -(-8 * counts.count() // BLOCK_DECISIONS))
+    columns = np.array([tuple(r) for r in _two_byte_sums(counts, groups, depth).collect()], float).reshape(-1, 4)
+    shared = counts.sparkSession.sparkContext.broadcast(Top(columns[:, 0].astype(np.int64), *columns[:, 1:].T))
+
+    def run(table: pa.Table) -> pa.Table:
+        codes, n = table.column("code").to_numpy(), table.column("n").to_numpy()
+        levels = [(level.keys, level.sure + 0.5 * level.left) for level in mix_subtree(codes[n > 0], n[n > 0], depth)]
+        return pa.table({"code": codes, "score": log_probabilities(codes, shared.value, levels)})
+
+    return _grouped(counts, groups).applyInArrow(run, "code bigint, score double")
 
 
 # --- documents ------------------------------------------------------------------------------
 
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", held: str = "held_out", depth: int = DEPTH) -> DataFrame:
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", held: str = "held_out", depth: int = DEPTH,
+                across: bool = False) -> DataFrame:
     """``key``, ``held_out``, ``n_bytes``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``bits_per_byte``.
 
     ``held`` names a boolean column: documents marked there (not null, true) teach nothing.
     Scores are log10 probabilities: ``base_score`` by smoothed token counts, ``score`` by
     context-tree weighting.  A null or empty text is the end token alone.  Repeated rows
     teach and are scored each.  Without training documents every bit has probability a half.
-    ``bits_per_byte`` is the code length over the text's bytes, null for an empty text.
+    Contexts go ``across`` tokens if wanted; else each begins anew, and the order of words does
+    not matter.  ``bits_per_byte`` is the code length over the text's bytes, null for an empty text.
     """
     marked = docs.withColumn(held, F.coalesce(F.col(held), F.lit(False)))
-    rows = materialize(encode(marked, key, text, held), "tokens")
+    rows = materialize(encode(marked, key, text, held, depth, across), "tokens")
     entries = rows.filter("word IS NOT NULL").select("split", "local", "word", "trained")
+    codes = rows.filter("code IS NOT NULL").select("split", "code", "trained")
     vocabulary = materialize(entries.groupBy("word").agg(F.sum("trained").alias("trained")), "words")
     n, v = vocabulary.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count(F.when(F.col("trained") > 0, 1))).first()
-    scored = score_words(vocabulary, depth)
-    discard(vocabulary)
-    returned = materialize(entries.select("split", "local", "word").join(scored, "word").select(
-        F.col("split").alias("part"), "local", "trained", F.col("score").cast("float").alias("score")), "entry-scores")
+    counts = materialize(codes.groupBy("code").agg(F.sum("trained").alias("n")), "contexts")
+    scored = materialize(score_codes(counts, depth), "code-scores")
+    discard(counts)
+    nothing = F.lit(None)
+    returned = materialize(entries.select("split", "local", "word").join(vocabulary, "word").select(
+        F.col("split").alias("part"), "local", "word", "trained", nothing.cast("bigint").alias("code"), nothing.cast("float").alias("score"),
+    ).union(codes.select("split", "code").join(scored, "code").select(
+        F.col("split").alias("part"), nothing.cast("int").alias("local"), nothing.cast("string").alias("word"),
+        nothing.cast("bigint").alias("trained"), "code", F.col("score").cast("float").alias("score"))), "entry-scores")
     discard(scored)
+    discard(vocabulary)
 
     def run(documents: pa.Table, entries: pa.Table) -> pa.Table:
-        local = entries.column("local").to_numpy()
-        trained = entries.column("trained").to_numpy()
-        values = np.zeros((3, len(local)))
-        values[:, local] = (
-            np.log10((trained + 0.5) / (n + 0.5 * (v + 1))), entries.column("score").to_numpy().astype(float), trained > 0)
+        owned = entries.filter(pc.is_valid(entries["word"])).sort_by("local")
+        trained = owned.column("trained").to_numpy()
+        words = owned.column("word").cast(pa.binary()).to_pylist()
+        scores = entries.filter(pc.is_valid(entries["code"])).sort_by("code")
+        known, values = scores.column("code").to_numpy(), scores.column("score").to_numpy().astype(float)
         ids = documents.column("ids").combine_chunks()
         ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
         flat = ids.flatten().to_numpy()
         counts = pc.list_value_length(ids).to_numpy()
-        text_of = np.repeat(np.arange(len(counts)), counts)
-        base, score, known = (np.bincount(text_of, v[flat], len(counts)) + v[0] for v in values)
+        of_token = np.repeat(np.arange(len(counts)), counts)
+        base, seen = (np.bincount(of_token, v[flat], len(counts)) + v[0] for v in (
+            np.log10((trained + 0.5) / (n + 0.5 * (v + 1))), (trained > 0).astype(float)))
+        score = np.zeros(len(counts))
+        for codes, text_of in coded(words, flat, counts, depth, across):
+            score += np.bincount(text_of, values[np.searchsorted(known, codes)], len(counts))
         size = documents.column("size").to_numpy()
         bits = -score / math.log10(2) / np.maximum(size, 1)
         return pa.table({
             "_key": documents.column("_key"), "held_out": documents.column("held"), "n_bytes": size,
-            "n_tokens": pa.array(counts.astype(np.int64) + 1), "n_known": pa.array(known.astype(np.int64)),
+            "n_tokens": pa.array(counts.astype(np.int64) + 1), "n_known": pa.array(seen.astype(np.int64)),
             "train_tokens": pa.array(np.full(len(counts), n, np.int64)), "base_score": base, "score": score,
             "bits_per_byte": pa.array(bits, mask=size == 0),
         })
 
-    documents = rows.filter("word IS NULL").select("split", "_key", "held", "size", "ids")
+    documents = rows.filter("ids IS NOT NULL").select("split", "_key", "held", "size", "ids")
     result = documents.groupBy("split").cogroup(returned.groupBy("part")).applyInArrow(
         run, "_key bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double, bits_per_byte double")

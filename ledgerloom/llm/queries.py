@@ -88,7 +88,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_context_tree")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lm.score_texts(docs.withColumn("held_out", ranker.held_out("doc_id", 5, 1)))
+    return lm.score_texts(docs.withColumn("held_out", ranker.held_out("doc_id", 5, 1)), across=True)
 
 
 @query("op8_quality_ranker")

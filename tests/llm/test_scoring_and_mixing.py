@@ -121,9 +121,43 @@ def test_scores_of_odd_rows(ready, odd_docs, no_docs, odd_rows):
 
 def test_a_break_after_very_many_copies_has_a_finite_score(ready):
     # After one byte both go on; only the longer contexts are sure, and all weight is theirs.
-    vocabulary = ready.createDataFrame([("xab", 10**8), ("yaa", 10**8), ("xaa", 0)], "word string, trained long")
-    scores = {r.word: r.score for r in lm.score_words(vocabulary).collect()}
-    assert all(map(math.isfinite, scores.values())) and -30 < scores["xaa"] < -8 < scores["xab"]
+    seen = [(b"xab", 10**8), (b"yaa", 10**8), (b"xaa", 0)]
+    codes = [(int.from_bytes((b"     " + w)[at - 5 : at + 1]), n) for w, n in seen for at in (5, 6, 7)]
+    counts = ready.createDataFrame(codes, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    scores = {r.code: r.score for r in lm.score_codes(counts).collect()}
+    odd = int.from_bytes(b"   xaa")
+    assert all(map(math.isfinite, scores.values())) and -30 < scores[odd] < -8
+
+
+class Running(Book):
+    """The book with contexts over the whole text."""
+
+    def coded(self, text):
+        return b" " * self.depth + "".join(w + " " for w in spaced_words(lowered(text))).encode() + b"\n"
+
+
+@pytest.mark.parametrize("block", [3_000_000, 150])
+def test_contexts_go_across_words(ready, monkeypatch, block):
+    monkeypatch.setattr(lm, "BLOCK_DECISIONS", block)
+    monkeypatch.setattr(lm, "CODE_ROWS", 7)
+    monkeypatch.setattr(lm, "CODED_TOKENS", 4)
+    texts = ["abra cadabra abra", "Élan abra é", None, "", "zebra  zebra\nabracadabra", "x" * 40, "cadabra abra abra", "b d\tb d", "b d b e"]
+    rows = [(i, text, i % 5 == 4) for i, text in enumerate(texts)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    book = Running(Counter(text for _, text, held in rows if not held), 3)
+    found = {r.doc_id: r.score for r in lm.score_texts(docs, depth=3, across=True).collect()}
+    for i, text in enumerate(texts):
+        assert found[i] == pytest.approx(book.score([text]), rel=1e-5)
+    assert abs(found[0] - found[6]) > 0.01  # the same words in another order
+
+
+def test_query_scores_the_order_of_words(ready, tmp_path):
+    texts = ["one two three four five six"] * 40 + ["six two four one three five", "one two three four five six"]
+    held = [k for k in range(2000) if remainder(k) == 1][:2]
+    keys = [k for k in range(2000) if remainder(k) != 1][:40] + held
+    ready.createDataFrame(list(zip(keys, texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.score for r in queries.QUERIES["op7_context_tree"](ready, str(tmp_path)).collect()}
+    assert found[held[0]] < found[held[1]] - 1
 
 
 # --- licences ---------------------------------------------------------------------------------
