@@ -6,10 +6,10 @@ probability of each domain.  A document's rate says how often it should be read;
 tokens of a domain are the sum over documents of rate, tokens and probability.
 
 Rates minimise the squared relative miss of the domain totals plus a small pull towards
-one, by projected gradient: a step changes a document's rate by what its own probabilities
-say and cuts it off at zero.  The step needs three sums over all documents, so an iteration
-is one aggregation, and a rate is a chain of the iterations' few numbers: no state is kept
-per document.
+one: a document's rate is one plus what its own probabilities say, cut off at zero.  Three
+numbers, a weight a domain, give all rates; Newton steps find them from nine sums over all
+documents, so an iteration is one aggregation, and no state is kept per document.  A mix
+that must not multiply any domain (``fit_rates``) is found by projected gradient.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ BUCKETS = 1 << 18
 TELLING_RATIO, TELLING_DEVIATIONS = 2.0, 4.0
 ITERATIONS = 40
 PULL = 0.01
-#: Rates this close to one are one when whole copies are drawn.
-SLACK = 0.1
+#: The pull when targets are to be reached: relative misses are about this share of the rates' changes.
+LIGHT_PULL = 1e-4
 
 
 def _domain() -> Column:
@@ -162,6 +162,52 @@ def fit_rates(known: DataFrame, targets: dict[str, float] | None = None, budget:
     return rate_of(steps, step) * F.lit(float(now[0] / have[0]) if not budget and have[0] > 0 else 1.0)
 
 
+def fit_to_targets(known: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None) -> Column:
+    """A column of rates by which every domain has its target share; ``known`` as in ``fit_rates``.
+
+    A domain short of its share is read more than once.  Without a ``budget`` in tokens the
+    total is such that a document wholly of the first domain is read once.  A domain that no
+    document is likely of cannot be reached; the pull then bounds the rates.
+    """
+    shares = np.array([(targets or TARGETS)[name] for name in DOMAINS])
+    p, d = [F.col(f"p_{name}") for name in DOMAINS], len(DOMAINS)
+
+    def rate_by(weights: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), F.lit(1.0) + sum((x * F.lit(float(w)) for x, w in zip(p, weights)), F.lit(0.0)))
+
+    def sums(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Half the tokens times squared rates, the totals, and how these change with the weights."""
+        rate, n = rate_by(weights), F.col("n_tokens")
+        alive = F.when(rate > 0, n).otherwise(0)
+        found = known.agg(
+            F.sum(n * rate * rate) / 2, *[F.sum(n * x * rate) for x in p], *[F.sum(alive * x * y) for x in p for y in p]).first()
+        value, *rest = [float(x or 0.0) for x in found]
+        return value, np.array(rest[:d]), np.array(rest[d:]).reshape(d, d)
+
+    weights = np.zeros(d)
+    value, now, change = sums(weights)
+    if now.sum() <= 0:
+        return F.lit(1.0)
+    goal = shares * (budget or (now[0] / shares[0] if now[0] > 0 and shares[0] > 0 else now.sum()))
+    pull = LIGHT_PULL * np.maximum(now, 1e-9 * now.sum())
+    have, cost = now, value
+    for _ in range(ITERATIONS):
+        miss = have - goal + pull * weights
+        if np.abs(miss).max() < 1e-6 * goal.sum():
+            break
+        step = np.linalg.solve(change + np.diag(pull), miss)
+        for _ in range(20):  # halved until the cost falls; nearly always the whole step does
+            tried = weights - step
+            value, have, change = sums(tried)
+            after = value - goal @ tried + (pull * tried * tried).sum() / 2
+            if after <= cost + 1e-12 * abs(cost):
+                break
+            step = step / 2
+        weights, cost = tried, after
+    whole = 1.0 + float(weights[0])  # the rate of a document wholly of the first domain
+    return rate_by(weights) * F.lit(1.0 if budget or whole <= 0 else 1 / whole)
+
+
 def with_rates(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                targets: dict[str, float] | None = None, budget: float | None = None) -> DataFrame:
     """Columns of ``docs`` with ``n_tokens``, posteriors, ``rate`` and ``copies``.
@@ -173,10 +219,9 @@ def with_rates(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     model = fit_classifier(docs, labels, key, text)
     marked = with_posteriors(docs, model, text)
     columns = ["n_tokens", *(f"p_{name}" for name in DOMAINS)]
-    rate = fit_rates(materialize(marked.select(*columns), "posteriors"), targets, budget)
+    rate = fit_to_targets(materialize(marked.select(*columns), "posteriors"), targets, budget)
     chance = F.pmod(F.xxhash64(F.col(key), F.lit("copies")), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    whole = F.when(F.abs(F.col("rate") - 1) <= SLACK, F.lit(1.0)).otherwise(F.floor(F.col("rate") + chance))
-    return marked.withColumn("rate", rate).withColumn("copies", whole.cast("bigint"))
+    return marked.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + chance).cast("bigint"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -215,6 +215,23 @@ def test_domains_short_of_their_share_are_not_multiplied(ready):
     assert max(abs(r - 1) for r in rates) < 0.01
 
 
+def test_query_reaches_the_targets(ready):
+    rows = queries.QUERIES["op9_mixing"](ready, "/root/testdata/sf0.01").toPandas()
+    for many, near in ((rows.rate, 0.005), (rows.copies, 0.3)):
+        have = np.array([(rows.n_tokens * rows[f"p_{name}"] * many).sum() for name in mixing.DOMAINS])
+        wanted = np.array([mixing.TARGETS[name] for name in mixing.DOMAINS])
+        assert np.abs(have / have.sum() / wanted - 1).max() < near, (have / have.sum(), near)
+
+
+def test_a_short_domain_is_filled_up(ready):
+    rows = [(k, 100, 0.99, 0.005, 0.005) for k in range(4000)] + [(k, 100, 0.02, 0.0, 0.98) for k in range(4000, 4010)]
+    rows += [(k, 100, 0.02, 0.98, 0.0) for k in range(4010, 4100)]
+    known = ready.createDataFrame(rows, "doc_id long, n_tokens long, p_clean double, p_toxic double, p_poor double")
+    found = known.withColumn("rate", mixing.fit_to_targets(known, {"clean": 0.94, "toxic": 0.01, "poor": 0.05})).toPandas()
+    have = np.array([(found.n_tokens * found[f"p_{name}"] * found.rate).sum() for name in mixing.DOMAINS])
+    assert np.abs(have / have.sum() / [0.94, 0.01, 0.05] - 1).max() < 0.005 and found.rate[4005] > 10
+
+
 def test_labels_teach_the_domains(ready):
     folder = "/root/testdata/sf0.01"
     rows = queries.QUERIES["op9_mixing"](ready, folder).toPandas()
