@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lines, lm, mixing, pii, quality_rules, ranker, simhash, spelling, suffixes, whitening
+from . import decontaminate, jaccard, licenses, lines, lm, mixing, pii, quality_rules, ranker, simhash, spelling, suffixes, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,6 +118,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+@query("op12_jaccard_join")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op13_spelling_variants")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"), every=199)
