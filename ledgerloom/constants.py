@@ -83,6 +83,9 @@ MAX_LAG = 14
 MIN_TRAINING_ROWS = 7
 MIN_HISTORY_POINTS = MAX_LAG + MIN_TRAINING_ROWS
 FORECAST_DAYS = 60
+# Accepted mean absolute error, root mean squared error and mean percentage error of a week ahead.
+FORECAST_LIMITS = {
+    "employee_headcount": (3.0, 4.0, 3.0), "revenue": (80.0, 90.0, 5.0), "expenditure": (50.0, 60.0, 5.0)}
 
 # --- anomaly detection --------------------------------------------------------
 ISOLATION_TREES = 150
@@ -98,6 +101,19 @@ DAILY_FEATURES = (
 MIN_TRANSACTION_ROWS = 20
 MIN_DAILY_ROWS = 14
 MAX_ANOMALIES = 200
+DOCUMENT_VERSION = "2.0"
+ISOLATION_MODEL = "IsolationForest"
+FOREST_MODEL = "RandomForestRegressor"
+NO_FINANCE_ROWS = "No usable finance timestamps and amounts were available."
+SHORT_FINANCE_HISTORY = "Not enough finance history to train IsolationForest safely."
+# (records but none usable, no records at all); %s is where they were looked for
+NO_EMPLOYEE_SERIES = (
+    "Employee records exist but missing usable IDs/timestamps.", "No employee records found under %s.")
+NO_FINANCE_SERIES = (
+    "Finance files exist but no usable amount/timestamp records were found.", "No finance records found under %s.")
+SHORT_SERIES = "Need at least %d daily points for %s; found %d."
+SERIES_AREAS = {
+    "employee_headcount": "employees", "revenue": "finance_revenue", "expenditure": "finance_expenditure"}
 SNAPSHOT_FIELDS = 12
 
 # --- anomaly review -----------------------------------------------------------
@@ -147,6 +163,9 @@ PIPELINES = (
     ("forecast-pipeline", "Forecast pipeline"),
     ("anomaly-pipeline", "Anomaly pipeline"),
 )
+NO_RESOURCE = "unavailable"
+NO_TELEMETRY = " has no recent telemetry."
+NO_OBJECTS = " has no recent successful objects."
 # (pipeline, position, component, area, signal, is_freshness, role in the roll-up)
 PIPELINE_COMPONENTS = (
     ("employee-pipeline", 1, "PostgreSQL public CDC", "Source", "cdc_public", False, "source"),
