@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,12 +60,11 @@ def _baselines(folded: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 def transaction_frame(rows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Transactions with the totals of their day and the median amount of their area."""
     areas = [*keys, "source_area"]
-    folded = fold_copies(rows, keys)
-    daily = rolling_features(daily_totals(folded, keys, "copies"), keys)
-    lookup = materialize(daily.join(_baselines(folded, keys), areas), "daily")
-    joined = join_lookup(folded, lookup, [*areas, "date"])
-    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
-    return joined.withColumn("copy", again).drop("copies", "copy")
+    # Typed once and written where they are read: totals, medians and the join move no transaction.
+    typed = materialize(rows.select(*areas, "date", "record_id", "amount"), "typed")
+    medians = exact_quantile(typed, areas, "amount", 0.5, "amount_baseline").drop("n")
+    lookup = materialize(rolling_features(daily_totals(typed, keys), keys).join(medians, areas), "daily")
+    return join_lookup(typed, lookup, [*areas, "date"])
 
 
 def model_gate(daily: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -206,10 +208,56 @@ def train_isolation(
     )
 
 
-def score_rows(
-    frame: DataFrame, forests: DataFrame, keys: tuple[str, ...] = KEYS
-) -> DataFrame:
-    """Raw isolation score of every row of ``frame``.
+#: Forests of all models together, up to so many bytes, are sent to where the rows are.
+SENT_BYTES = 64 << 20
+_NODE_BYTES = 28
+
+
+def _raw_scores(forest: dict[str, np.ndarray], sample_size: int, x: np.ndarray) -> np.ndarray:
+    mean = leaf_values(forest, x, int(np.ceil(np.log2(K.ISOLATION_SAMPLE))))
+    scale = path_length(sample_size)
+    return np.power(2.0, -mean / scale) if scale > 0 else np.full(len(x), 0.5)
+
+
+def score_in_place(frame: DataFrame, forests: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Raw scores computed where the rows are read; ``forests`` are few enough to be sent to every task."""
+    ids = _model(keys)
+    models: dict[tuple, list] = {}
+    for row in forests.collect():  # under SENT_BYTES
+        models.setdefault(tuple(row[c] for c in ids), []).append(row)
+    laid_out = {
+        name: (join_blocks(sorted(blocks, key=lambda b: b.block)), max(b.sample_size for b in blocks))
+        for name, blocks in models.items()
+    }
+    shared = frame.sparkSession.sparkContext.broadcast(laid_out)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.stack([batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in _FEATURES], axis=1)
+            codes = np.zeros(batch.num_rows, np.int64)
+            names: list[list] = []
+            for column in ids:
+                coded = batch.column(column).dictionary_encode(null_encoding="encode")
+                names.append(coded.dictionary.to_pylist())
+                codes = codes * len(names[-1]) + coded.indices.to_numpy(zero_copy_only=False)
+            raw = np.zeros(batch.num_rows)
+            for code in np.unique(codes).tolist():
+                at, rest, name = codes == code, code, []
+                for values in reversed(names):
+                    rest, place = divmod(rest, len(values))
+                    name.append(values[place])
+                forest, size = shared.value[tuple(reversed(name))]
+                raw[at] = _raw_scores(forest, size, x[at])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw)], [*batch.schema.names, "raw_score"])
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in frame.dtypes) + ", raw_score double"
+    return frame.mapInArrow(score, schema)
+
+
+def score_moved(frame: DataFrame, forests: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Raw scores where there are too many models to send them all.
 
     A model's rows are cut into chunks of at most about 200,000 by content hash, and its
     trees (of fixed size) go along with each chunk, so no task holds a whole model's rows.
@@ -224,18 +272,14 @@ def score_rows(
     spread = forests.join(sizes, ids).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
     ).drop("_chunks")
-    depth = int(np.ceil(np.log2(K.ISOLATION_SAMPLE)))
 
     def score(_key: tuple, pdf: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pdf.drop(columns="chunk").assign(raw_score=np.zeros(0))
         forest = join_blocks(blocks.sort_values("block").itertuples())
-        mean = leaf_values(forest, pdf[_FEATURES].to_numpy(float), depth)
-        scale = path_length(int(blocks["sample_size"].max()))
-        raw = np.power(2.0, -mean / scale) if scale > 0 else np.full(len(pdf), 0.5)
+        raw = _raw_scores(forest, int(blocks["sample_size"].max()), pdf[_FEATURES].to_numpy(float))
         return pdf.drop(columns="chunk").assign(raw_score=raw)
 
-    ship_code(frame.sparkSession)
     schema = ", ".join(f"`{c}` {t}" for c, t in frame.dtypes) + ", raw_score double"
     group = [*ids, "chunk"]
     return (
@@ -246,6 +290,21 @@ def score_rows(
     )
 
 
+def score_rows(
+    frame: DataFrame, forests: DataFrame, keys: tuple[str, ...] = KEYS
+) -> DataFrame:
+    """Raw isolation score of every row of ``frame``.
+
+    Forests are written once and their nodes counted.  As long as all of them are small
+    enough, they go to the rows; beyond that rows and forests meet by model.
+    """
+    ship_code(frame.sparkSession)
+    forests = materialize(forests, "forests")
+    nodes = forests.agg(F.sum(F.size("feature"))).first()[0] or 0
+    score = score_in_place if nodes * _NODE_BYTES <= SENT_BYTES else score_moved
+    return score(frame, forests, keys)
+
+
 def isolation_scores(
     rows: DataFrame,
     keys: tuple[str, ...] = KEYS,

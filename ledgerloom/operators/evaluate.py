@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.values import exact
+from .forecast import forecast
 
 
 def forecast_errors(
@@ -65,3 +67,30 @@ def split_by_days(
     placed = series.join(first, list(keys))
     early = F.datediff("date", "_first") < train_days
     return placed.filter(early).drop("_first"), placed.filter(~early).drop("_first")
+
+
+def rolling_backtest(
+    series: DataFrame, backs: tuple[int, ...] = (21, 14, 7), days: int = 7, trees: int = K.FOREST_TREES,
+    keys: tuple[str, ...] = ("company_id",),
+) -> DataFrame:
+    """Errors of the forest on the ``days`` after each origin, beside the accepted ones.
+
+    An origin is a series' last day less one of ``backs``; the forest sees the days up to it.
+    The origin is one more key, so the forests of all series and origins grow in one job.
+    """
+    ids = [*keys, "metric"]
+    last = series.groupBy(*ids).agg(F.max("date").alias("_last"))
+    placed = series.join(last, ids).withColumn("_back", F.explode(F.array(*[F.lit(b) for b in backs]))).withColumn(
+        "origin", F.date_sub("_last", F.col("_back")))
+    own = (*keys, "origin")
+    train = placed.filter(F.col("date") <= F.col("origin")).select(*own, "metric", "date", "value")
+    held = placed.filter((F.col("date") > F.col("origin")) & (F.col("date") <= F.date_add("origin", days)))
+    predicted = forecast(train, days, own, trees)
+    errors = forecast_errors(held.select(*own, "metric", "date", "value"), predicted, (*own, "metric"))
+    trained = train.groupBy(*own, "metric").agg(F.count(F.lit(1)).alias("train_days"))
+    limits = F.create_map(*[x for m, three in K.FORECAST_LIMITS.items() for x in (F.lit(m), F.array(*[F.lit(v) for v in three]))])
+    limit = F.try_element_at(limits, F.col("metric"))
+    figures = ("mae", "rmse", "mape")
+    out = errors.join(trained, [*own, "metric"]).withColumns({f"{f}_limit": limit[n] for n, f in enumerate(figures)})
+    within = [F.col(f) <= F.col(f"{f}_limit") for f in figures]
+    return out.withColumn("within_limits", within[0] & within[1] & within[2])

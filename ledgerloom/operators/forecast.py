@@ -21,12 +21,15 @@ _BLOCKS = 8
 
 
 def metric_series(
-    rows: DataFrame | None, headcounts: DataFrame | None, keys: tuple[str, ...] = KEYS
+    rows: DataFrame | None, headcounts: DataFrame | None, keys: tuple[str, ...] = KEYS, flows: DataFrame | None = None
 ) -> DataFrame:
-    """(keys, metric, date, value): dense daily revenue, expenditure and headcount."""
+    """(keys, metric, date, value): dense daily revenue, expenditure and headcount.
+
+    ``flows`` are the daily flows of ``rows``, where they are known already.
+    """
     parts = []
-    if rows is not None:
-        flows = dense_daily(daily_flows(rows, keys), ["revenue", "expenditure"], keys)
+    if rows is not None or flows is not None:
+        flows = dense_daily(daily_flows(rows, keys) if flows is None else flows, ["revenue", "expenditure"], keys)
         parts.append(
             flows.select(
                 *keys,

@@ -409,7 +409,9 @@ def pipeline_health(
 ) -> DataFrame:
     """One row per pipeline: statuses by role, worst of all, alarms, last times, summary.
 
-    The serving route counts as a component but not in the roll-up.
+    The serving route counts as a component but not in the roll-up.  ``impacted_resources``
+    lists the first component, those that are not healthy, and up to ``LIST_LIMIT`` resources of
+    alarms, the most severe and then the oldest first.
     """
     spark = fresh.sparkSession
     of_data = fresh.select(
@@ -428,6 +430,10 @@ def pipeline_health(
         .withColumn("_gap", F.col("status").isNull())
         .withColumn("status", F.coalesce("status", F.lit("down")))
         .filter("role <> 'serving' OR coalesce(resource, '') <> ''")
+        # A component without telemetry is down and listed, though nobody knows its resource.
+        .withColumn("resource", F.coalesce("resource", F.lit(K.NO_RESOURCE)))
+        .withColumn("detail", F.coalesce("detail", F.concat("component", F.when(
+            F.col("is_freshness"), K.NO_OBJECTS).otherwise(K.NO_TELEMETRY))))
     )
     role, rank = F.col("role"), rank_in(K.HEALTH_STATUSES, F.col("status"))
 
@@ -460,10 +466,10 @@ def pipeline_health(
         F.sum("n").alias("alarm_count"),
         F.max(F.when(F.col("_severity") == 3, 3).otherwise(2)).alias("_alarm"),
         F.max("_at").alias("_alarm_at"),
-        F.transform(F.sort_array(F.collect_list(order)), lambda a: a.resource).alias(
-            "_alarm_resources"
-        ),
     )
+    place = F.row_number().over(W.partitionBy("pipeline_id").orderBy(F.desc("_severity"), "_first", "resource"))
+    named = by_resource.withColumn("_n", place).filter(F.col("_n") <= K.LIST_LIMIT).groupBy("pipeline_id").agg(
+        F.transform(F.sort_array(F.collect_list(order)), lambda a: a.resource).alias("_alarm_resources"))
     error_facts = errors.groupBy("pipeline_id").agg(
         F.max("timestamp").alias("_error_at"), F.min_by("summary", "position").alias("_error")
     )
@@ -471,6 +477,7 @@ def pipeline_health(
     joined = (
         names.join(per, "pipeline_id", "left")
         .join(alarm_facts, "pipeline_id", "left")
+        .join(named, "pipeline_id", "left")
         .join(error_facts, "pipeline_id", "left")
         .fillna({"alarm_count": 0, "_alarm": 0, "_error": ""})
         .withColumn("_worst", F.greatest("source", "processing", "delivery", "_alarm"))

@@ -516,6 +516,42 @@ def health_rollup(spark, d):
     return rows
 
 
+_SQL_COMPONENTS = B._sql_values([(p, n, signal, role) for p, n, _, _, signal, _, role in health.K.PIPELINE_COMPONENTS])
+
+
+def _gapped(spark, d):
+    """The roll-up without telemetry of the transformation and without finance files."""
+    fresh = _fresh(spark, d).filter("dataset <> 'finance'")
+    signals = _signals(spark, d).filter("signal <> 'transform'")
+    return fresh, signals, health.pipeline_health(fresh, signals, _active(spark, d), _errors(spark, d))
+
+
+@query("health_partial", f"""
+WITH {_SQL_ALL_HEALTH}, comps(pipeline_id, position, signal, role) AS (VALUES {_SQL_COMPONENTS}),
+known AS (SELECT signal, rank, resource FROM graded WHERE signal <> 'transform' UNION ALL SELECT dataset, list_position({_RANKS}, status) - 1, 'dataset:' || dataset FROM fresh WHERE dataset <> 'finance'),
+c AS (SELECT pipeline_id, position, coalesce(rank, 3) AS rank, coalesce(resource, 'unavailable') AS resource, rank IS NULL AS gap FROM comps LEFT JOIN known USING (signal) WHERE role <> 'serving' OR resource IS NOT NULL),
+gaps AS (SELECT pipeline_id, bool_or(gap) AS partial_data FROM c GROUP BY ALL),
+u AS (SELECT pipeline_id, resource, 0 AS part, position AS o, NULL::TIMESTAMP AS t FROM c WHERE position = 1 OR rank > 0
+  UNION ALL SELECT pipeline_id, resource, 1, -max(list_position(['low', 'medium', 'high', 'critical'], severity)), min(triggered_at) FROM alarms GROUP BY pipeline_id, resource),
+x AS (SELECT *, row_number() OVER (PARTITION BY pipeline_id, resource ORDER BY part, o, t) AS again FROM u WHERE pipeline_id IS NOT NULL)
+SELECT pipeline_id, partial_data, CASE WHEN partial_data THEN 'down' ELSE overall_status END AS overall_status, row_number() OVER (PARTITION BY pipeline_id ORDER BY part, o, t, resource) - 1 AS place, resource
+FROM x JOIN gaps USING (pipeline_id) JOIN pipelines USING (pipeline_id) WHERE again = 1
+""")
+def health_partial(spark, d):
+    """Impacted resources, and which pipelines' data are partial, where telemetry is missing."""
+    rows = _gapped(spark, d)[2]
+    return rows.select("pipeline_id", "partial_data", "overall_status", F.posexplode("impacted_resources").alias("place", "resource"))
+
+
+@query("health_warnings", """
+SELECT * FROM (VALUES ('transform', 'No telemetry for transform.'), ('finance', 'No telemetry for finance.')) AS t(signal, warning)
+""")
+def health_warnings(spark, d):
+    """What the snapshot warns of when telemetry is missing."""
+    fresh, signals, _ = _gapped(spark, d)
+    return health.signal_warnings(fresh, signals)
+
+
 @query("health_overview", f"""
 WITH {_SQL_ALL_HEALTH} SELECT count(*) AS total_pipelines, count(*) FILTER (w = 0) AS healthy, count(*) FILTER (w IN (1, 2)) AS degraded, count(*) FILTER (w = 3) AS down, CAST(sum(alarm_count) AS BIGINT) AS active_alarms FROM pipelines
 """)
@@ -571,13 +607,17 @@ st AS (SELECT *, CASE WHEN breach AND (periods = 1 OR EXISTS (SELECT 1 FROM b p
 """
 
 
-def _states(spark, d):
+def alarm_metrics(spark, d):
+    """Datapoints of each alarm's metric, which is named after the alarm."""
     bound = spark.createDataFrame(list(_BINDINGS), "alarm string, metric string, scale double")
-    events = _event_metrics(spark, d).join(F.broadcast(bound), "metric").select(
+    return _event_metrics(spark, d).join(F.broadcast(bound), "metric").select(
         F.col("alarm").alias("metric"), "ts", (F.col("value") * F.col("scale")).alias("value")
     )
-    pairs = bound.select("alarm", F.col("alarm").alias("metric"))
-    return alarms.evaluate_alarms(alarms.metric_windows(events), alarms.rules(spark), pairs)
+
+
+def _states(spark, d):
+    pairs = alarms.rules(spark).select("alarm", F.col("alarm").alias("metric"))
+    return alarms.evaluate_alarms(alarms.metric_windows(alarm_metrics(spark, d)), alarms.rules(spark), pairs)
 
 
 @query("alarm_eval", f"WITH {_SQL_ALARM_EVAL} SELECT alarm, metric, window_start, value, breach, state, in_composite FROM st")

@@ -6,8 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import (
-    documents, evaluate, finance, forecast, insights, kpi, outlook, spend, workforce,
+    documents, evaluate, finance, forecast, insights, kpi, outlook, rollup, spend, workforce,
 )
+from ..session import materialize
 from . import bindings as B
 from .registry import query
 
@@ -106,8 +107,15 @@ def run_status(spark, d):
     return forecast.run_status(forecast.forecast_gate(series), read.unionByName(none))
 
 
+def _rolled(spark, d, profile="job"):
+    """The daily roll-up of the finance rows, and the series of all metrics read from it; each table is scanned once."""
+    facts = materialize(rollup.daily_facts(B.orders_finance(spark, d, profile)), "rollup")
+    heads = workforce.headcount(B.employees(spark, d))
+    return facts, materialize(forecast.metric_series(None, heads, flows=rollup.flows(facts)), "series")
+
+
 def _facts(spark, d):
-    series = B.all_series(spark, d)
+    _, series = _rolled(spark, d)
     return series, B.repeat_ahead(series)
 
 
@@ -255,20 +263,20 @@ def forecast_headline(spark, d):
 
 
 def _risk_facts(spark, d):
-    rows = B.orders_finance(spark, d)
-    history, ahead = _facts(spark, d)
+    finance_facts, history = _rolled(spark, d)
+    ahead = B.repeat_ahead(history)
     cards = kpi.kpi_metrics(history, ahead, _runs(spark))
-    monthly = spend.monthly_finance(finance.daily_flows(rows))
+    monthly = spend.monthly_finance(rollup.flows(finance_facts))
     ends = outlook.month_end(
-        spend.daily_spend(rows), ahead.filter("metric = 'expenditure'"), outlook.previous_month_baseline(monthly)
+        rollup.spent(finance_facts), ahead.filter("metric = 'expenditure'"), outlook.previous_month_baseline(monthly)
     ).select("company_id", "projected_vs_last_month")
-    unusual = spend.unusual_expenses(rows).groupBy("company_id").agg(F.count("*").alias("unusual_expense_count"))
+    unusual = rollup.unusual_expenses(finance_facts).groupBy("company_id").agg(F.count("*").alias("unusual_expense_count"))
     confidence = outlook.forecast_confidence(ahead, cards).select("company_id", "score", F.col("label").alias("confidence_label"))
     head = outlook.forecast_headline(ahead, cards, 30)
     out = cards.select("company_id", "growth_percent")
     for part in (ends, unusual, confidence, head):
         out = out.join(part, "company_id", "left")
-    return outlook.forecast_risk(out), rows, monthly, history
+    return outlook.forecast_risk(out), finance_facts, monthly, history
 
 
 @query("forecast_risk", f"""
@@ -286,11 +294,100 @@ def forecast_risk(spark, d):
     return _risk_facts(spark, d)[0].select("company_id", "risk_score", "risk_reasons", "risk_label")
 
 
-@query("insight_rows")
+def _sql_notes() -> str:
+    """The note rules in SQL over ``z``, one row of facts per company."""
+    percent = "CASE WHEN {0} > 0 THEN '+' WHEN {0} < 0 THEN '-' ELSE '' END || printf('%.1f%%', abs({0}))"
+    many, staff = "CASE WHEN u = 1 THEN '' ELSE 's' END", "CASE WHEN sz = 1 THEN '' ELSE 's' END"
+    tone = "CASE cl WHEN 'High' THEN 'positive' WHEN 'Medium' THEN 'muted' WHEN 'Low' THEN 'warning' END"
+    trust = ("CASE cl WHEN 'High' THEN 'Spend and staffing have moved evenly, so the forecast bands are narrow.' WHEN 'Medium' THEN "
+             "'The direction can be trusted; the bands open up towards the end of the horizon.' WHEN 'Low' THEN "
+             "'Recent data jump about and the bands are wide, so take this as a rough guide.' END")
+    risk_tone = "CASE rl WHEN 'High' THEN 'warning' WHEN 'Medium' THEN 'muted' WHEN 'Low' THEN 'positive' END"
+    risk = ("CASE rl WHEN 'High' THEN 'The plan is likely to slip: ' || rr || '.' WHEN 'Medium' THEN 'Keep an eye on the plan: ' || rr || '.' "
+            "ELSE 'Neither spend nor hiring leaves its usual course within the horizon.' END")
+    whole = "format('{{:,}}', CAST(floor({0} + 0.5) AS BIGINT))"
+    dollars = "'$' || format('{{:,}}', CAST(round_even({0}, 0) AS BIGINT))"
+    calm = "NOT (coalesce(o > 4, FALSE) OR coalesce(h > 0, FALSE) OR cl <> 'High' OR u > 0 OR cat IS NOT NULL)"
+    rules = [
+        ("highlight", 1, "o IS NOT NULL", "spend", "Spend", "CASE WHEN o > 0 THEN 'warning' ELSE 'positive' END",
+         "'This month should close ' || printf('%.1f%% ', abs(o)) || CASE WHEN o >= 0 THEN 'over' ELSE 'under' END || ' the month before.'",
+         "'Measured as expected spend at month end against the last full month.'"),
+        ("highlight", 2, "h IS NOT NULL AND ph > 0", "headcount", "Headcount", "CASE WHEN h > 0 THEN 'positive' ELSE 'muted' END",
+         "CASE WHEN h > 0 THEN 'Expect ' || sz || ' more on the staff over the next 30 days.' WHEN h < 0 THEN 'Expect ' || sz || ' fewer on the staff over the next 30 days.' ELSE 'Staff numbers should hold over the next 30 days.' END",
+         f"CASE WHEN ch <> 0 THEN 'From ' || {whole.format('ch')} || ' today to about ' || {whole.format('ph')} || '.' ELSE 'More staff records will make this figure firmer.' END"),
+        ("highlight", 3, "cl IS NOT NULL", "all", "Confidence", tone, "'Trust in the forecast: ' || lower(cl) || '.'", trust),
+        ("highlight", 4, "cat IS NOT NULL", "spend", "Cost driver", "'muted'", "'Most of the recent cost comes from ' || cat || '.'",
+         f"'It accounts for ' || {dollars.format('cv')} || ' of what was booked lately.'"),
+        ("highlight", 5, "TRUE", "all", "Risk", risk_tone,
+         f"CASE WHEN u > 0 THEN u || ' odd payment' || {many} || ' may lift spend past the forecast.' ELSE 'The forecast holds no sudden cost.' END",
+         "CASE WHEN u > 0 THEN 'Look into them now; they may be the start of a pattern.' ELSE 'Its bands stay level to the end of the horizon.' END"),
+        ("risk", 1, "o > 4", "spend", "Spend pressure", "'warning'", "'Costs run ahead of the month before.'", f"'By month end the gap should be ' || {percent.format('o')} || '.'"),
+        ("risk", 2, "h > 0", "headcount", "Payroll", "CASE WHEN h >= 5 THEN 'warning' ELSE 'muted' END", "'Payroll will probably grow.'",
+         f"'The horizon brings ' || sz || ' new employee' || {staff} || '.'"),
+        ("risk", 3, "cl <> 'High'", "all", "Confidence", tone, "'Far dates are less certain than near ones.'",
+         "'Read them for their direction, and run the forecast again once new data are in.'"),
+        ("risk", 4, "u > 0", "spend", "Variability", "'warning'", "'Payments have become hard to foresee.'", f"u || ' transaction' || {many} || ' fall out of the usual range.'"),
+        ("risk", 5, "u = 0 AND cat IS NOT NULL", "spend", "Concentration", "'muted'", "'Spend leans on ' || cat || '.'",
+         "'What happens there decides the month more than any other cost.'"),
+        ("risk", 6, calm, "all", "Risk", risk_tone, "'Nothing here endangers the plan.'", risk),
+        ("action", 1, "cat IS NOT NULL", "spend", "Budget action", "'warning'", "'Go through the regular costs, largest first.'", "'Begin with ' || cat || ' if the plan is overrun again.'"),
+        ("action", 2, "h > 0", "headcount", "People planning", "'positive'", "'Set money aside for new staff.'",
+         f"'The forecast adds ' || sz || ' employee' || {staff} || ' to today''s number.'"),
+        ("action", 3, "dep IS NOT NULL", "headcount", "Department watch", "'muted'", "'Watch ' || dep || ', where most people work.'",
+         "'A change of its size moves the total more than any other department.'"),
+        ("action", 4, "TRUE", "all", "Refresh cadence", tone, "'Look again when new data have come in.'",
+         "CASE WHEN cl = 'High' THEN 'The forecast can carry a plan; check it after large bookings or new hires.' ELSE 'Wait for the next load before you settle on figures.' END"),
+        ("key", 1, "sc IS NOT NULL", "spend", "Key insight", "'muted'", "'Change of spend'", f"'Spend moved by ' || {percent.format('sc')} || ' from the month before.'"),
+        ("key", 2, "sc IS NULL AND cs > 0", "spend", "Key insight", "'muted'", "'Booked so far'", f"'The month stands at ' || {dollars.format('cs')} || '.'"),
+        ("key", 3, "dep IS NOT NULL", "headcount", "Key insight", "'muted'", "'Biggest department'", "'Most employees are in ' || dep || '.'"),
+        ("key", 4, "u > 0", "spend", "Key insight", "'muted'", "'Payments to check'", f"u || ' payment' || {many} || ' do not fit what is usually paid.'"),
+        ("key", 5, "u = 0 AND gc > 0", "headcount", "Key insight", "'muted'", "'New staff'", "'The last period brought ' || CAST(gc AS BIGINT) || ' more employees.'"),
+        ("key", 6, "u = 0 AND NOT coalesce(gc > 0, FALSE) AND gp IS NOT NULL", "headcount", "Key insight", "'muted'", "'Staff ahead'",
+         f"'Over the horizon the staff should change by ' || {percent.format('gp')} || '.'"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT company_id, '{kind}' AS kind, {n} AS position, '{metric}' AS metric, '{tag}' AS tag, {t} AS tone, {title} AS title, {body} AS body FROM z WHERE {when}"
+        for kind, n, when, metric, tag, t, title, body in rules)
+
+
+_SQL_MONTHS = """
+mo AS (SELECT company_id, date_trunc('month', date) AS month, CAST(sum(CAST(greatest(revenue, 0) AS DECIMAL(28,6))) AS DOUBLE) AS revenue,
+  CAST(sum(CAST(greatest(expenditure, 0) AS DECIMAL(28,6))) AS DOUBLE) AS expenditure FROM flows GROUP BY ALL),
+ml AS (SELECT *, lag(expenditure) OVER (PARTITION BY company_id ORDER BY month) AS before, row_number() OVER (PARTITION BY company_id ORDER BY month DESC) AS back FROM mo),
+months AS (SELECT *, CASE WHEN before > 0 AND back < 6 THEN (expenditure - before) / before * 100 END AS spend_change_percent FROM ml WHERE back <= 6)
+"""
+_SQL_STAFF = """
+staff AS (SELECT replace(lower(r_name), ' ', '-') AS company_id, CASE WHEN c_custkey % 11 = 0 THEN 'Unknown' ELSE c_mktsegment END AS label, count(*) AS value
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL),
+departments AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY value DESC, label) AS rank FROM staff QUALIFY rank <= 6)
+"""
+_SQL_RISK_FACTS = """
+g AS (SELECT company_id, avg(amount) AS m, stddev_pop(amount) AS s FROM fin WHERE source_area = 'expenditure' GROUP BY ALL),
+u AS (SELECT company_id, least(count(*), 3) AS unusual_expense_count FROM fin JOIN g USING (company_id) WHERE source_area = 'expenditure' AND amount > m + 1.8 * s AND amount > 1.35 * m GROUP BY ALL),
+x AS (SELECT company_id, growth_percent AS gp, projected_vs_last_month AS o, coalesce(unusual_expense_count, 0) AS u, score, label AS cl, current_headcount AS ch, projected_headcount AS ph, headcount_change AS h
+  FROM kpis LEFT JOIN month_end USING (company_id) LEFT JOIN u USING (company_id) LEFT JOIN confidence USING (company_id) LEFT JOIN headline USING (company_id)),
+rk2 AS (SELECT *, CASE WHEN o >= 10 THEN 2 WHEN o >= 4 THEN 1 ELSE 0 END + CASE WHEN u > 0 THEN 1 ELSE 0 END + CASE WHEN score < 58 THEN 1 ELSE 0 END + CASE WHEN h >= 5 THEN 1 ELSE 0 END AS rs,
+  list_filter([CASE WHEN o >= 10 THEN 'spend is tracking materially above last month' WHEN o >= 4 THEN 'spend is trending above last month' END,
+   CASE WHEN u > 0 THEN 'recent transactions are less predictable' END, CASE WHEN score < 58 THEN 'forecast confidence is limited' END, CASE WHEN h >= 5 THEN 'payroll demand is increasing' END], lambda r: r IS NOT NULL) AS r FROM x),
+cats AS (SELECT company_id, trim(category) AS cat, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS cv FROM fin WHERE source_area = 'expenditure' GROUP BY ALL),
+cat AS (SELECT * FROM cats WHERE cat <> '' QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY cv DESC, cat) = 1),
+hm AS (SELECT company_id, coalesce(headcount - lag(headcount) OVER (PARTITION BY company_id ORDER BY date), 0) AS gc FROM heads QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY date DESC) = 1),
+z AS (SELECT rk2.*, CASE WHEN rs >= 3 THEN 'High' WHEN rs >= 1 THEN 'Medium' ELSE 'Low' END AS rl, array_to_string(r[1:2], ' and ') AS rr, CAST(trunc(abs(h)) AS BIGINT) AS sz,
+  cat.cat, cv, departments.label AS dep, spend_change_percent AS sc, months.expenditure AS cs, gc
+  FROM rk2 LEFT JOIN cat USING (company_id) LEFT JOIN departments ON departments.company_id = rk2.company_id AND rank = 1 LEFT JOIN months ON months.company_id = rk2.company_id AND back = 1 LEFT JOIN hm ON hm.company_id = rk2.company_id)
+"""
+
+
+@query("insight_rows", f"""
+{_AHEAD}, {_SQL_KPI}, {_SQL_CONFIDENCE}, {_SQL_HEADLINE}, {_SQL_MONTH_END}, {_SQL_MONTHS}, {_SQL_STAFF}, {_SQL_RISK_FACTS},
+notes AS ({_sql_notes()}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY company_id, kind ORDER BY CASE WHEN kind = 'key' THEN 0 WHEN metric = 'spend' THEN 0 WHEN metric = 'all' THEN 1 ELSE 2 END, position) AS rank FROM notes)
+SELECT company_id, kind, metric, tag, tone, title, body, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= CASE WHEN kind = 'key' THEN 3 ELSE 4 END
+""")
 def insight_rows(spark, d):
     """Notes on spend, headcount, confidence and risk, spend first."""
-    facts, rows, monthly, history = _risk_facts(spark, d)
-    category = spend.top_labels(rows, "category", 1).select(
+    facts, finance_facts, monthly, history = _risk_facts(spark, d)
+    category = rollup.top_labels(finance_facts, "category", 1).select(
         "company_id", F.col("label").alias("largest_category"), F.col("value").alias("largest_category_value")
     )
     department = workforce.department_top(_staff(spark, d), 1).select("company_id", F.col("label").alias("largest_department"))
@@ -308,23 +405,68 @@ def insight_rows(spark, d):
 @query("dashboard")
 def dashboard(spark, d):
     """The dashboard bundle of each company."""
-    rows = B.orders_finance(spark, d, "api")
-    history, ahead = _facts(spark, d)
     # Companies without a stored run fall back to raw aggregates.
+    finance_facts, history = _rolled(spark, d, "api")
+    ahead = B.repeat_ahead(history)
     stored = history.filter("company_id <> 'asia' OR metric = 'employee_headcount'")
-    raw = forecast.metric_series(rows, None)
+    raw = forecast.metric_series(None, None, flows=rollup.flows(finance_facts))
     history = documents.with_fallback(stored, raw, ["company_id", "metric"])
     flows = history.groupBy("company_id", "date").agg(
         *[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("value"))), F.lit(0.0)).alias(m) for m in ("revenue", "expenditure")]
     )
-    sources = rows.groupBy("company_id").agg(F.count("*").alias("finance_rows"), F.max("date").cast("string").alias("latest_finance_date"))
     return documents.dashboard(
         kpi.kpi_metrics(history, ahead, _runs(spark)), spend.monthly_finance(flows),
         kpi.headcount_chart(history, ahead), workforce.department_top(_staff(spark, d)),
-        spend.weekly_activity(rows), sources,
+        rollup.weekly_activity(finance_facts), rollup.sources(finance_facts),
     )
 
 
+_SQL_PARTS = """
+weekly AS (SELECT company_id, date, count(*) AS value FROM fin GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY date DESC) <= 7),
+ch16 AS (SELECT * FROM chart QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY date DESC, is_forecast DESC) <= 16),
+parts AS (
+  SELECT company_id, 'metrics' AS part, 0 AS position, 'total_employees' AS label, total_employees AS value, employees_delta_percent AS second FROM kpis
+  UNION ALL SELECT company_id, 'metrics', 1, 'revenue', revenue, revenue_delta_percent FROM kpis
+  UNION ALL SELECT company_id, 'metrics', 2, 'growth', growth_percent, data_health_percent FROM kpis
+  UNION ALL SELECT company_id, 'revenue_expenses', row_number() OVER (PARTITION BY company_id ORDER BY month) - 1, strftime(month, '%b'), revenue, expenditure FROM months
+  UNION ALL SELECT company_id, 'employee_growth', row_number() OVER (PARTITION BY company_id ORDER BY date, is_forecast) - 1, label, value, CAST(is_forecast AS INTEGER) FROM ch16
+  UNION ALL SELECT company_id, 'department_distribution', rank - 1, label, value, NULL FROM departments
+  UNION ALL SELECT company_id, 'weekly_activity', row_number() OVER (PARTITION BY company_id ORDER BY date) - 1, strftime(date, '%a'), value, NULL FROM weekly
+  UNION ALL SELECT company_id, 'sources', 0, CAST(max(date) AS VARCHAR), count(*), NULL FROM fin GROUP BY company_id)
+"""
+
+
+@query("dashboard_parts", f"""
+{_AHEAD}, {_SQL_KPI}, {_SQL_CHART}, {_SQL_MONTHS}, {_SQL_STAFF}, {_SQL_PARTS}
+SELECT company_id, part, CAST(position AS INTEGER) AS position, label, CAST(value AS DOUBLE) AS value, CAST(second AS DOUBLE) AS second FROM parts
+""")
+def dashboard_parts(spark, d):
+    """The dashboard bundle taken apart again: cards, charts and sources."""
+    point = "array<struct<label:string,value:double,revenue:double,expenditure:double,is_forecast:boolean>>"
+    names = ("revenue_expenses", "employee_growth", "department_distribution", "weekly_activity")
+    schema = (
+        "metrics struct<total_employees:double,employees_delta_percent:double,revenue:double,revenue_delta_percent:double,growth_percent:double,data_health_percent:double>, "
+        f"charts struct<{','.join(f'{n}:{point}' for n in names)}>, sources struct<finance_rows:bigint,latest_finance_date:string>")
+    bundles = dashboard(spark, d).select("company_id", F.from_json("payload", schema).alias("p"))
+
+    def row(part, position, label, value, second):
+        fields = (F.lit(part), position, label, value.cast("double"), second.cast("double"))
+        return F.struct(*[f.alias(n) for f, n in zip(fields, ("part", "position", "label", "value", "second"))])
+
+    def chart(name):
+        both = name == "revenue_expenses"
+        return F.transform(f"p.charts.{name}", lambda e, i: row(
+            name, i, e["label"], e["revenue"] if both else e["value"], e["expenditure"] if both else e["is_forecast"].cast("int")))
+
+    m = F.col("p.metrics")
+    cards = F.array(
+        row("metrics", F.lit(0), F.lit("total_employees"), m["total_employees"], m["employees_delta_percent"]),
+        row("metrics", F.lit(1), F.lit("revenue"), m["revenue"], m["revenue_delta_percent"]),
+        row("metrics", F.lit(2), F.lit("growth"), m["growth_percent"], m["data_health_percent"]),
+        row("sources", F.lit(0), F.col("p.sources.latest_finance_date"), F.col("p.sources.finance_rows"), F.lit(None)))
+    return bundles.select("company_id", F.explode(F.concat(cards, *[chart(n) for n in names])).alias("e")).select("company_id", "e.*")
+
+
 @query("run_document", f"""
 {_AHEAD} SELECT company_id, 'history' AS kind, metric, date, round_even(greatest(value, 0), CASE WHEN metric = 'employee_headcount' THEN 0 ELSE 2 END) AS value, NULL::DOUBLE AS lower_bound, NULL::DOUBLE AS upper_bound FROM series
 UNION ALL SELECT company_id, 'forecast', metric, date, predicted_value, lower_bound, upper_bound FROM ahead
@@ -360,6 +502,24 @@ def backtest(spark, d):
     return evaluate.forecast_errors(held, B.repeat_ahead(train))
 
 
+@query("rolling_backtest")
+def rolling_backtest(spark, d):
+    """Errors of the forest at two origins of every series, beside the accepted ones."""
+    return evaluate.rolling_backtest(B.all_series(spark, d), (14, 7))
+
+
+@query("backtest_span", f"""
+{_ALL}, l AS (SELECT company_id, metric, min(date) AS first, max(date) AS last FROM series GROUP BY ALL),
+o AS (SELECT *, CAST(last - CAST(back AS INTEGER) AS DATE) AS origin FROM l, unnest([14, 7]) AS b(back))
+SELECT company_id, metric, origin, 7 AS days, CAST(origin - first + 1 AS BIGINT) AS train_days, CASE metric WHEN 'employee_headcount' THEN 3.0 WHEN 'revenue' THEN 80.0 ELSE 50.0 END::DOUBLE AS mae_limit FROM o
+WHERE origin - first + 1 >= 21
+""")
+def backtest_span(spark, d):
+    """Origins, training and held-out days of the back-test."""
+    found = evaluate.rolling_backtest(B.all_series(spark, d), (14, 7), trees=8)
+    return found.select("company_id", "metric", "origin", F.col("days").cast("int").alias("days"), "train_days", "mae_limit")
+
+
 @query("prf_eval", """
 WITH l AS (SELECT source, doc_id, toxic = 1 AS l, quality = 0 AS p FROM labels JOIN documents USING (doc_id)),
 c AS (SELECT source, count(*) FILTER (l AND p) AS tp, count(*) FILTER (p AND NOT l) AS fp, count(*) FILTER (l AND NOT p) AS fn FROM l WHERE l OR p GROUP BY ALL),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..operators.cdc import clean_lines, content_hash, parse_lines, standardize_times
 from ..sources.files import with_lineage
@@ -13,8 +12,9 @@ from ..sources.sinks import write_trusted
 
 
 def raw_stream(spark: SparkSession, path: str, max_bytes: int = 5 << 20) -> DataFrame:
-    """Lines of files as they land, about ``max_bytes`` of files per batch."""
-    lines = spark.readStream.format("text").option("maxBytesPerTrigger", str(max_bytes)).load(path)
+    """Lines of files as they land below ``path``, about ``max_bytes`` of files per batch."""
+    reader = spark.readStream.format("text").option("maxBytesPerTrigger", str(max_bytes))
+    lines = reader.option("recursiveFileLookup", "true").load(path)
     return with_lineage(lines.withColumnRenamed("value", "line"))
 
 
@@ -63,29 +63,37 @@ def stream_records(lines: DataFrame) -> DataFrame:
 
 
 def start_dedupe(
-    records: DataFrame, out: str, checkpoint: str, buckets: int = 64, every: str | None = "60 seconds"
+    records: DataFrame, out: str, checkpoint: str, every: str | None = "60 seconds"
 ) -> StreamingQuery:
     """Write every record once per company, route and hash, however late a copy arrives.
 
-    What was written is the memory: a batch is joined against the hashes of all other
-    batches, bucket by bucket, so nothing is forgotten and no late file is dropped.  A
-    batch that runs again replaces its own output.
+    The keys seen so far are the stream's own state, without a watermark: nothing is
+    forgotten, no late file is dropped, and a batch reads nothing but its own files.  The
+    state is kept on disk, by key, and only its changes are checkpointed.  A batch that
+    runs again replaces its own output.
     """
-    spark = records.sparkSession
+    state_on_disk(records.sparkSession)
     keys = ["company_id", "route", "row_hash"]
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    seen_by = [StructField("batch", LongType()), StructField("bucket", IntegerType())]
-    # An empty batch gives the table its columns before the first read.
-    empty = spark.createDataFrame([], records.schema).withColumn("bucket", bucket)
-    empty.drop("bucket").write.mode("overwrite").parquet(f"{out}/batch=-1/bucket=0")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        session = batch.sparkSession
-        fresh = batch.dropDuplicates(keys).withColumn("bucket", bucket)
-        seen = session.read.schema(StructType([*records.schema.fields, *seen_by])).parquet(out)
-        seen = seen.filter(F.col("batch") != epoch).select("bucket", *keys)
-        fresh.join(seen, ["bucket", *keys], "left_anti").write.mode("overwrite").partitionBy("bucket").parquet(
-            f"{out}/batch={epoch}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return (
+        records.dropDuplicates(keys).writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
+_STORE = "spark.sql.streaming.stateStore"
+
+
+def state_on_disk(spark: SparkSession) -> None:
+    """Keep the state of streams in embedded stores on disk, unless the session has chosen a store.
+
+    The default store holds all state in memory, which a state that only grows outlives.
+    """
+    if spark.conf.get(f"{_STORE}.providerClass").endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(
+            f"{_STORE}.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        spark.conf.set(f"{_STORE}.rocksdb.changelogCheckpointing.enabled", "true")

@@ -183,4 +183,4 @@ def test_snapshot(spark):
 ])
 def test_guard(text):
     with pytest.raises(ValueError):
-        guard(text, "where")
+        guard(text, "where", ["a", "b", "x", "y", "z"])

@@ -63,6 +63,57 @@ def test_replay_replaces_only_its_own_files(spark, tmp_path):
     assert spark.read.parquet(out).count() == 4
 
 
+def landed(spark, names, day="24", extra=""):
+    rows = [("acme", f"/raw/2026/02/{day}/{name}", envelope("transactions", {"id": f"{name}-{k}{extra}"})) for name in names for k in range(2)]
+    return cdc.clean_lines(spark.createDataFrame(rows, "company_id string, source_file string, line string"))
+
+
+def ids_of(spark, path):
+    return sorted(json.loads(r.record)["id"] for r in spark.read.parquet(path).collect())
+
+
+def test_a_thousand_landing_files_make_few_files(spark, tmp_path):
+    out = str(tmp_path / "trusted")
+    names = [f"f{n}.gz" for n in range(1000)]
+    sinks.write_trusted(landed(spark, names), out)
+    assert spark.read.parquet(out).count() == 2000 and len(list(tmp_path.glob("trusted/company_id*/**/*.parquet"))) <= 4
+    before = ids_of(spark, out)
+    sinks.write_trusted(landed(spark, names[:300]), out)  # a replay of some
+    assert ids_of(spark, out) == before and len(list(tmp_path.glob("trusted/company_id*/**/*.parquet"))) <= 4
+    for n in range(12):
+        sinks.write_trusted(landed(spark, [f"later{n}.gz"]), out)
+    assert len(ids_of(spark, out)) == 2024
+    before = ids_of(spark, out)
+    assert sinks.compact_trusted(spark, out, 4) == 1 and ids_of(spark, out) == before
+    assert len(list(tmp_path.glob("trusted/company_id*/**/*.parquet"))) <= 4 and sinks.compact_trusted(spark, out, 4) == 0
+
+
+def test_a_replay_replaces_what_its_batch_wrote_and_no_more(spark, tmp_path):
+    out = str(tmp_path / "trusted")
+    sinks.write_trusted(landed(spark, ["a.gz", "b.gz"]).unionByName(landed(spark, ["c.gz"], "25")), out)
+    sinks.write_trusted(landed(spark, ["a.gz"], extra="x"), out)
+    assert ids_of(spark, out) == ["a.gz-0x", "a.gz-1x", "b.gz-0", "b.gz-1", "c.gz-0", "c.gz-1"]
+    # The same file, now with rows of another table only: the old partition loses its last row of the batch.
+    rows = [("acme", "/raw/2026/02/25/c.gz", envelope("accounts", {"id": "moved"}))]
+    sinks.write_trusted(cdc.clean_lines(spark.createDataFrame(rows, "company_id string, source_file string, line string")), out)
+    assert ids_of(spark, out) == ["a.gz-0x", "a.gz-1x", "b.gz-0", "b.gz-1", "moved"]
+
+
+def test_a_write_that_broke_off_is_repeated(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "trusted")
+    save = sinks._save
+    monkeypatch.setattr(sinks, "_save", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sinks.write_trusted(landed(spark, ["a.gz"]), out)  # noted, but not written
+    monkeypatch.undo()
+    sinks.write_trusted(landed(spark, ["a.gz"]), out)
+    assert ids_of(spark, out) == ["a.gz-0", "a.gz-1"]
+    # Rows that were written, though the batch was to be written again, do not stay twice.
+    save(sinks.with_batch(landed(spark, ["a.gz"])), out, "parquet", "append")
+    sinks.write_trusted(landed(spark, ["a.gz"]), out)
+    assert ids_of(spark, out) == ["a.gz-0", "a.gz-1"]
+
+
 def test_run_sink_appends(spark, tmp_path):
     run = spark.createDataFrame([("a", dt.datetime(2026, 1, 1), "{}")], "company_id string, generated_at timestamp, document string")
     sinks.write_run(run, str(tmp_path / "runs"), "r1")
@@ -204,7 +255,7 @@ def test_spend_stream_equals_batch(spark, tmp_path):
     for part in rows.randomSplit([0.5, 0.5], 1):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-        query = stateful.start_spend(stream, f"{tmp_path}/log", f"{tmp_path}/out", f"{tmp_path}/cp", (7,), None)
+        query = stateful.start_spend(stream, f"{tmp_path}/out", f"{tmp_path}/cp", (7,), None)
         query.awaitTermination()
         assert query.exception() is None
     figures = spark.read.parquet(f"{tmp_path}/out").orderBy(F.desc("batch")).drop("batch").first()

@@ -135,6 +135,39 @@ def test_backtest_limits(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, predicted.collect()))
 
 
+def test_rolling_origins_stay_within_the_limits(spark):
+    start, rows = dt.date(2026, 1, 1), []
+    for metric, (base, trend, week, _) in SERIES.items():
+        for n in range(81):
+            day = start + dt.timedelta(days=n)
+            value = base + trend * n + week[day.weekday()]
+            rows.append(("a", metric, day, float(round(value)) if metric == "employee_headcount" else value))
+    series = spark.createDataFrame(rows, "company_id string, metric string, date date, value double")
+    found = evaluate.rolling_backtest(series, (21, 14, 7)).collect()
+    assert {(r.metric, r.origin, r.train_days, r.days) for r in found} == {
+        (m, start + dt.timedelta(days=80 - b), 81 - b, 7) for m in SERIES for b in (21, 14, 7)}
+    for r in found:
+        print(r.asDict())
+        assert (r.mae_limit, r.rmse_limit, r.mape_limit) == SERIES[r.metric][3]
+        assert r.within_limits == (r.mae <= r.mae_limit and r.rmse <= r.rmse_limit and r.mape <= r.mape_limit)
+    assert all(r.within_limits for r in found if r.origin == start + dt.timedelta(days=59))
+    alone = forecast.forecast(series.filter(F.col("date") <= start + dt.timedelta(days=59)), 7)
+    assert alone.count() == 21  # the origin is a key, not a filter: one job, the same days
+
+
+def test_scores_are_the_same_where_rows_are_and_moved(spark, monkeypatch):
+    rows, _ = labelled_transactions()
+    source = transactions(spark, rows).unionByName(transactions(spark, rows[:60], "b"))
+    here = anomaly.isolation_scores(source).select("company_id", "record_id", "raw_score")
+    frame = anomaly.model_frame(source)
+    plan = anomaly.score_rows(frame, anomaly.train_isolation(frame))._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "MapInArrow" in plan and "Exchange" not in plan[: plan.index("MapInArrow")]
+    monkeypatch.setattr(anomaly, "SENT_BYTES", 0)
+    moved = anomaly.isolation_scores(source).select("company_id", "record_id", "raw_score")
+    assert "CoGroup" in anomaly.score_rows(frame, anomaly.train_isolation(frame))._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, here.collect())) == sorted(map(tuple, moved.collect()))
+
+
 def test_short_series_have_no_forecast(spark):
     sparse = spark.createDataFrame(
         [("a", dt.date(2026, 1, 1), 5.0), ("a", dt.date(2026, 1, 3), 6.0)], "company_id string, date date, value double"

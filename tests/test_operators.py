@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,31 @@ def test_exact_quantile_equals_percentile(spark, q):
     assert weighted == pytest.approx(full)
 
 
+def test_quantile_of_ten_million_rows_orders_few(spark):
+    # v is a permutation of 0 to 10**7 - 1, so its quantiles are known; a twentieth of the rows is a second group.
+    n = 10**7
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 20 == 0, "cold").otherwise("hot").alias("k"), ((F.col("id") * 7_368_787) % n).cast("double").alias("v"))
+    narrow = rows.select("k", F.col("v").alias("_v"), F.lit(1).cast("bigint").alias("_w"))
+    spans = quantiles.quantile_spans(narrow, ["k"], 0.92, 10_000).collect()
+    assert {s.k for s in spans} == {"hot", "cold"} and max(s._size for s in spans) <= 10_500
+    values = np.arange(n, dtype=np.int64) * 7_368_787 % n
+    cold = np.arange(n) % 20 == 0
+    got = {r.k: r.x for r in quantiles.exact_quantile(rows, ["k"], "v", 0.92, "x").collect()}
+    assert got == {"cold": pytest.approx(np.quantile(values[cold], 0.92)), "hot": pytest.approx(np.quantile(values[~cold], 0.92))}
+
+
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.92, 1.0])
+def test_quantile_is_narrowed_in_rounds(spark, q):
+    rng = random.Random(3)
+    rows = [("hot" if i % 9 else f"k{i % 4}", 7.5 if i % 4 == 0 else rng.gauss(0, 1e6), 1 + i % 3) for i in range(6000)] + [("one", 1.0, 5)]
+    df = spark.createDataFrame(rows, "k string, v double, w int")
+    got = {r.k: (r.x, r.n) for r in quantiles.exact_quantile(df, ["k"], "v", q, "x", "w", bound=10).collect()}
+    want = {r.k: (r.x, r.n) for r in df.groupBy("k").agg(F.percentile("v", q, F.col("w")).alias("x"), F.sum("w").alias("n")).collect()}
+    assert {k: n for k, (_, n) in got.items()} == {k: n for k, (_, n) in want.items()}
+    assert {k: x for k, (x, _) in got.items()} == pytest.approx({k: x for k, (x, _) in want.items()})
+
+
 def test_lookup_join_is_the_same_salted(spark, monkeypatch):
     rows = spark.range(1000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
     lookup = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
