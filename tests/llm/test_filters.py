@@ -27,8 +27,11 @@ def test_rules_keep_what_resembles_the_trusted(ready):
 
 def test_ratio_is_the_mean_log_ratio(ready):
     trusted, raw = np.array([3, 0, 1]), np.array([3, 4, 1])
-    expected = np.log(np.array([4, 1, 2]) / 7) - np.log(np.array([4, 5, 2]) / 11)
-    assert np.allclose(quality_rules.log_ratios(trusted, raw), expected)
+    share = raw / 8
+    expected = np.log((trusted + 2 * share) / 6) - np.log(share)
+    assert np.allclose(quality_rules.log_ratios(trusted, raw, 2), expected)
+    for size in (1, 1000):  # equal distributions, of whatever size, and a bucket without n-grams
+        assert np.allclose(quality_rules.log_ratios(np.array([2, 6, 0]), size * np.array([1, 3, 0])), 0)
 
 
 def test_rules_on_odd_rows(odd_docs, no_docs, odd_rows):
@@ -180,7 +183,7 @@ def test_personal_data_of_nothing(ready, odd_docs, no_docs, odd_rows):
     assert pii.find_personal_data(no_docs, pii.train_field(no_docs)).count() == 0
     found = pii.find_personal_data(odd_docs, pii.train_field(odd_docs))
     assert found.count() == len(odd_rows)
-    assert {r.base_found for r in found.filter("doc_id = 11").collect()} == {"email:84:99,phone:100:117"}
+    assert {r.base_found for r in found.filter("doc_id = 11").collect()} == {"email:85:100,phone:101:118"}
 
 
 def test_personal_data_contract(ready, sf, texts):

@@ -185,34 +185,55 @@ def test_scan_of_nothing(odd_docs, no_docs, odd_rows):
 
 
 # --- mixing -----------------------------------------------------------------------------------
-def test_rates_meet_the_targets(ready):
-    random = np.random.default_rng(1)
-    kinds = random.choice(3, 3000, p=[0.8, 0.12, 0.08])
-    p = np.full((3000, 3), 0.03)
-    p[np.arange(3000), kinds] = 0.94
-    n = random.integers(50, 500, 3000)
-    rows = [(int(n[i]), *map(float, p[i])) for i in range(3000)]
-    known = ready.createDataFrame(rows, "n_tokens long, p_clean double, p_toxic double, p_poor double")
+def soft_documents(n, seed, noise):
+    """Token counts and posteriors of documents of three domains."""
+    random = np.random.default_rng(seed)
+    kinds = random.choice(3, n, p=[0.8, 0.12, 0.08])
+    p = random.dirichlet([noise] * 3, n)
+    p[np.arange(n), kinds] += 4 * noise
+    return random.integers(50, 500, n), p / p.sum(axis=1, keepdims=True)
+
+
+def as_known(ready, n, p):
+    rows = [(int(n[i]), *map(float, p[i])) for i in range(len(n))]
+    return ready.createDataFrame(rows, "n_tokens long, p_clean double, p_toxic double, p_poor double").coalesce(1)
+
+
+@pytest.mark.parametrize("noise", [0.05, 0.3])
+def test_rates_solve_the_least_squares(ready, noise):
+    n, p = soft_documents(1500, 1, noise)
     targets = {"clean": 0.9, "toxic": 0.04, "poor": 0.06}
-    rates = np.array([r.rate for r in known.withColumn("rate", mixing.fit_rates(known, targets)).collect()])
+    known = as_known(ready, n, p)
+    mix = mixing.fit_mix(known, targets)
+    rates = np.array([r.rate for r in known.withColumn("rate", mix.rate).collect()])
     totals = (p * (n * rates)[:, None]).sum(axis=0)
-    wanted = np.array([0.9, 0.04, 0.06]) * (p[:, 0] * n).sum() / 0.9
-    assert (rates >= 0).all() and np.abs(totals / wanted - 1).max() < 0.1
-    # The same objective by long projected gradient on the rates themselves.
     now = (p * n[:, None]).sum(axis=0)
-    r = np.ones(3000)
-    for _ in range(2000):
-        miss = ((p * (n * r)[:, None]).sum(axis=0) - wanted) / now
-        r = np.maximum(0, r - (p @ miss + mixing.PULL * (r - 1)) * 0.9)
-    r *= now[0] / (p[:, 0] * n * r).sum()
-    assert np.abs(rates - r).max() < 0.05
-
-
-def test_domains_short_of_their_share_are_not_multiplied(ready):
+    own = (p * n[:, None] * (p > 0.5)).sum(axis=0)
+    wanted = np.clip(np.array([0.9, 0.04, 0.06]) * now[0] / 0.9, now - own, now + (mixing.MOST - 1) * own)
+    # The same objective by plain projected gradient on the rates themselves, with small steps.
+    weight = np.linalg.inv((p * n[:, None]).T @ p)
+    r = np.ones(len(n))
+    for _ in range(20_000):
+        r = np.clip(r - 0.5 * p @ weight @ ((p * (n * r)[:, None]).sum(axis=0) - wanted), 0, mixing.MOST)
+    best = (p * (n * r)[:, None]).sum(axis=0) - wanted
+    miss = totals - wanted
+    assert (rates >= 0).all() and miss @ weight @ miss <= best @ weight @ best + 1e-6 * now.sum()
+    assert np.allclose(mix.shares, totals / totals.sum())
+    assert mix.reached == (np.abs(totals / (np.array([0.9, 0.04, 0.06]) * now[0] / 0.9) - 1).max() < mixing.TOLERANCE)
+
+
+def test_domains_that_cannot_be_told_apart_are_left_alone(ready):
+    known = as_known(ready, np.full(200, 100), np.tile([0.756, 0.133, 0.111], (200, 1)))
+    mix = mixing.fit_mix(known)
+    assert not mix.reached and {r.rate for r in known.withColumn("rate", mix.rate).collect()} == {1.0}
+
+
+def test_a_domain_without_members_bends_no_other(ready):
     rows = [(100, 1.0, 0.0, 0.0)] * 50 + [(100, 0.999, 0.0, 0.001)] * 2
     known = ready.createDataFrame(rows, "n_tokens long, p_clean double, p_toxic double, p_poor double")
-    rates = [r.rate for r in known.withColumn("rate", mixing.fit_rates(known)).collect()]
-    assert max(abs(r - 1) for r in rates) < 0.01
+    mix = mixing.fit_mix(known)
+    rates = [r.rate for r in known.withColumn("rate", mix.rate).collect()]
+    assert max(abs(r - 1) for r in rates) < 0.01 and not mix.reached
 
 
 def test_query_reaches_the_targets(ready):
@@ -273,6 +294,16 @@ def test_stages_follow_each_other(ready):
     poor = {k for k, r in labels.items() if r.quality == 0}
     assert len(poor & left["quality"]) < 0.1 * len(poor)
     assert len(left["mixing"]) < len(left["decontaminate"]) < len(left["line_dedup"])
+    assert len(clean & left["mixing"]) >= 0.95 * len(clean & left["decontaminate"])
+
+
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_mixing_keeps_clean_documents(ready, size):
+    folder = f"/root/testdata/sf{size}"
+    docs, labels = (ready.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    clean = {r.doc_id for r in labels.filter("quality = 1 AND toxic = 0").collect()}
+    kept = {r.doc_id for r in corpus_pipeline.mix_to_targets(ready, docs, folder).collect()}
+    assert len(clean & kept) >= 0.95 * len(clean & {r.doc_id for r in docs.collect()})
 
 
 def test_pipeline_on_odd_tables(ready, no_docs, odd_docs):
@@ -284,7 +315,7 @@ def test_pipeline_on_odd_tables(ready, no_docs, odd_docs):
 
 def test_every_operator_is_registered():
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
