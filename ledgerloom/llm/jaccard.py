@@ -77,7 +77,7 @@ def shingle_sets(block: Block, size: int = WORDS) -> tuple[np.ndarray, np.ndarra
     return hashes, np.searchsorted(text_of, np.arange(block.n + 1))
 
 
-def _names(hashes: np.ndarray, cuts: np.ndarray) -> list[pa.Array]:
+def set_names(hashes: np.ndarray, cuts: np.ndarray) -> list[pa.Array]:
     """Two sums of mixed hashes that name a set."""
     out = []
     for values in (mix(hashes), mix(hashes ^ _SECOND)):
@@ -106,7 +106,7 @@ def marked(docs: DataFrame, key: str, text: str, size: int, percent: int) -> Dat
         hashes, cuts = shingle_sets(block, size)
         n = np.diff(cuts)
         take = np.where(n > 0, n + percent * -n // 100 + _allowance(n, percent), 0)
-        return [pa.array(n.astype(np.int64)), *_names(hashes, cuts), _lists(hashes, cuts, take)]
+        return [pa.array(n.astype(np.int64)), *set_names(hashes, cuts), _lists(hashes, cuts, take)]
 
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     return per_text_columns(rows, "t", "n bigint, h1 bigint, h2 bigint, prefix array<bigint>", look, ["k"])
@@ -133,7 +133,7 @@ def whole_sets(docs: DataFrame, key: str, text: str, size: int, alive: DataFrame
 
     def look(block: Block) -> list[pa.Array]:
         hashes, cuts = shingle_sets(block, size)
-        return [*_names(hashes, cuts), _lists(hashes, cuts, np.diff(cuts))]
+        return [*set_names(hashes, cuts), _lists(hashes, cuts, np.diff(cuts))]
 
     rows = docs.select(F.col(f"`{key}`").alias("first"), F.col(f"`{text}`").cast("string").alias("t"))
     wanted = alive.select("first", "h1", "h2", "set", "n")

@@ -5,11 +5,10 @@ A Bayes classifier over hashed words, fitted on labelled rows, gives every docum
 probability of each domain.  A document's rate says how often it should be read; expected
 tokens of a domain are the sum over documents of rate, tokens and probability.
 
-Rates minimise the squared relative miss of the domain totals plus a small pull towards
-one: a document's rate is one plus what its own probabilities say, cut off at zero.  Three
-numbers, a weight a domain, give all rates; Newton steps find them from nine sums over all
-documents, so an iteration is one aggregation, and no state is kept per document.  A mix
-that must not multiply any domain (``fit_rates``) is found by projected gradient.
+Rates minimise the squared miss of the domain totals, by projected gradient from one: a
+step takes the weights of its own domains off a document's rate and cuts it off at the
+bounds.  A step is three numbers, a weight a domain, found from a dozen sums over all
+documents, so an iteration is one aggregation, and no state is kept per document.
 """
 
 from __future__ import annotations
@@ -37,9 +36,10 @@ BUCKETS = 1 << 18
 #: all documents do, and by so many standard deviations; all others are left out.
 TELLING_RATIO, TELLING_DEVIATIONS = 2.0, 4.0
 ITERATIONS = 40
-PULL = 0.01
-#: The pull when targets are to be reached: relative misses are about this share of the rates' changes.
-LIGHT_PULL = 1e-4
+#: No document is read more often.
+MOST = 64.0
+#: Relative miss of a domain's total that still counts as reached.
+TOLERANCE = 0.05
 
 
 def _domain() -> Column:
@@ -121,107 +121,97 @@ def with_posteriors(docs: DataFrame, model: Classifier, text: str = "text") -> D
     return per_text_columns(docs.withColumn(text, F.col(text).cast("string")), text, fields, look)
 
 
-def rate_of(steps: list[tuple[float, ...]], step: float) -> Column:
-    """The rate after the given iterations, each the weighted misses of the domains."""
+def rate_of(steps: list[np.ndarray], most: float = MOST) -> Column:
+    """The rate after the given steps: each takes the step's weights of a document's domains off, within bounds."""
     rate = F.lit(1.0)
-    for misses in steps:
-        push = sum((F.col(f"p_{name}") * F.lit(m) for name, m in zip(DOMAINS, misses)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate * F.lit(1 - step * PULL) + F.lit(step * PULL) - push * F.lit(step))
+    for weights in steps:
+        push = sum((F.col(f"p_{name}") * F.lit(float(w)) for name, w in zip(DOMAINS, weights)), F.lit(0.0))
+        rate = F.least(F.lit(most), F.greatest(F.lit(0.0), rate - push))
     return rate
 
 
-def fit_rates(known: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None) -> Column:
-    """A column that gives each document its rate; ``known`` has ``n_tokens`` and posteriors.
+@dataclass
+class Mix:
+    """A column of rates, the shares of tokens they give, and whether these are the wanted ones."""
 
-    Without a ``budget`` in tokens the first domain keeps the tokens it has, and the others
-    are cut to their share next to it; one that has less keeps what it has.  Misses count
-    relative to what is wanted or there, whichever is more.
-    """
-    shares = np.array([(targets or TARGETS)[name] for name in DOMAINS])
+    rate: Column
+    shares: np.ndarray
+    reached: bool
 
-    def totals(rate: Column) -> np.ndarray:
-        sums = [F.sum(F.col("n_tokens") * F.col(f"p_{name}") * rate) for name in DOMAINS]
-        return np.array([float(x or 0.0) for x in known.agg(*sums).first()])
 
-    now = totals(F.lit(1.0))
-    if now.sum() <= 0:
-        return F.lit(1.0)
-    total = budget or (now[0] / shares[0] if now[0] > 0 and shares[0] > 0 else now.sum())
-    goal = shares * total if budget else np.minimum(shares * total, now)
-    scale = 1 / np.maximum(np.maximum(now, goal), 1e-9 * now.sum())
-    step = 1 / (1 + PULL)
-    steps: list[tuple[float, ...]] = []
-    have = now
-    for _ in range(ITERATIONS):
-        misses = tuple(float(m) for m in (have - goal) * scale)
-        steps.append(misses)
-        before, have = have, totals(rate_of(steps, step))
-        if np.abs((have - before) * scale).max() < 1e-4:
-            break
-    # Without a budget only proportions count, so the first domain is brought back to what it has.
-    return rate_of(steps, step) * F.lit(float(now[0] / have[0]) if not budget and have[0] > 0 else 1.0)
+def fit_mix(known: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, most: float = MOST) -> Mix:
+    """Rates between 0 and ``most`` by projected gradient; ``known`` has ``n_tokens`` and posteriors.
 
+    Wanted are ``budget`` tokens in the target shares; without a budget as many as leave the
+    first domain its tokens.  Least squares of the misses are weighted by the inverse of the
+    domains' overlap (of the documents not at a bound), in which a step of one is the best.
+    Every step is one aggregation over all documents; from rates of one, it moves a document
+    only as its own domains ask.
 
-def fit_to_targets(known: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None) -> Column:
-    """A column of rates by which every domain has its target share; ``known`` as in ``fit_rates``.
-
-    A domain short of its share is read more than once.  Without a ``budget`` in tokens the
-    total is such that a document wholly of the first domain is read once.  A domain that no
-    document is likely of cannot be reached; the pull then bounds the rates.
+    A domain can give and take only what its members have, the documents more likely of it
+    than not.  Where its target lies beyond, as with labels too few to tell domains apart, the
+    nearest total is taken and ``reached`` is false; rates of documents of other domains are
+    not bent for it.
     """
     shares = np.array([(targets or TARGETS)[name] for name in DOMAINS])
-    p, d = [F.col(f"p_{name}") for name in DOMAINS], len(DOMAINS)
-
-    def rate_by(weights: np.ndarray) -> Column:
-        return F.greatest(F.lit(0.0), F.lit(1.0) + sum((x * F.lit(float(w)) for x, w in zip(p, weights)), F.lit(0.0)))
-
-    def sums(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Half the tokens times squared rates, the totals, and how these change with the weights."""
-        rate, n = rate_by(weights), F.col("n_tokens")
-        alive = F.when(rate > 0, n).otherwise(0)
-        found = known.agg(
-            F.sum(n * rate * rate) / 2, *[F.sum(n * x * rate) for x in p], *[F.sum(alive * x * y) for x in p for y in p]).first()
-        value, *rest = [float(x or 0.0) for x in found]
-        return value, np.array(rest[:d]), np.array(rest[d:]).reshape(d, d)
-
-    weights = np.zeros(d)
-    value, now, change = sums(weights)
+    p, d, n = [F.col(f"p_{name}") for name in DOMAINS], len(DOMAINS), F.col("n_tokens")
+
+    def sums(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The totals, and the overlap of the domains in documents not at a bound."""
+        rate = rate_of(steps, most)
+        free = F.when((rate > 0) & (rate < most), n).otherwise(0)
+        found = known.agg(*[F.sum(n * x * rate) for x in p], *[F.sum(free * x * y) for x in p for y in p]).first()
+        values = np.array([float(x or 0.0) for x in found])
+        return values[:d], values[d:].reshape(d, d)
+
+    now, overlap = sums([])
     if now.sum() <= 0:
-        return F.lit(1.0)
-    goal = shares * (budget or (now[0] / shares[0] if now[0] > 0 and shares[0] > 0 else now.sum()))
-    pull = LIGHT_PULL * np.maximum(now, 1e-9 * now.sum())
-    have, cost = now, value
+        return Mix(F.lit(1.0), shares, False)
+    own = np.array([float(x or 0.0) for x in known.agg(*[F.sum(F.when(x > 0.5, n * x)) for x in p]).first()])
+    wanted = shares * (budget or (now[0] / shares[0] if now[0] > 0 and shares[0] > 0 else now.sum()))
+    goal = np.clip(wanted, now - own, now + (most - 1) * own)
+    whole = overlap
+    steps: list[np.ndarray] = []
+    cost, have = np.inf, now
     for _ in range(ITERATIONS):
-        miss = have - goal + pull * weights
+        miss = have - goal
         if np.abs(miss).max() < 1e-6 * goal.sum():
             break
-        step = np.linalg.solve(change + np.diag(pull), miss)
-        for _ in range(20):  # halved until the cost falls; nearly always the whole step does
-            tried = weights - step
-            value, have, change = sums(tried)
-            after = value - goal @ tried + (pull * tried * tried).sum() / 2
-            if after <= cost + 1e-12 * abs(cost):
-                break
-            step = step / 2
-        weights, cost = tried, after
-    whole = 1.0 + float(weights[0])  # the rate of a document wholly of the first domain
-    return rate_by(weights) * F.lit(1.0 if budget or whole <= 0 else 1 / whole)
+        after = float(miss @ np.linalg.lstsq(whole, miss, rcond=1e-9)[0])
+        if after > cost and steps:  # the bounds were too far off for this step: a shorter one, in the overlap of all
+            steps[-1] = steps[-1] / 2
+        else:
+            cost = after
+            steps.append(np.linalg.lstsq(overlap, miss, rcond=1e-9)[0])
+        have, overlap = sums(steps)
+    reached = bool(np.abs(have / np.maximum(wanted, 1e-9) - 1).max() < TOLERANCE)
+    if have[0] < (1 - TOLERANCE) * goal[0]:  # nothing is gained by losing what is to be kept
+        return Mix(F.lit(1.0), now / now.sum(), False)
+    return Mix(rate_of(steps, most), have / have.sum(), reached)
+
+
+def fit_to_targets(known: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None) -> Column:
+    """A column that gives each document its rate; see ``fit_mix``."""
+    return fit_mix(known, targets, budget).rate
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                targets: dict[str, float] | None = None, budget: float | None = None) -> DataFrame:
-    """Columns of ``docs`` with ``n_tokens``, posteriors, ``rate`` and ``copies``.
+    """Columns of ``docs`` with ``n_tokens``, posteriors, ``rate``, ``copies`` and ``shares_reached``.
 
     ``copies`` is the rate as a whole number, rounded up with a chance of its fraction that a
-    hash of the key decides.  A null or empty text has no tokens and the classifier's prior.
-    Rows without a key share one chance; repeated rows get the same result.
+    hash of the key decides.  ``shares_reached`` says on every row whether the expected totals
+    are the wanted shares; with labels too few to tell domains apart they are not, and every
+    rate is one.  A null or empty text has no tokens and the classifier's prior.  Rows without a
+    key share one chance; repeated rows get the same result.
     """
     model = fit_classifier(docs, labels, key, text)
     marked = with_posteriors(docs, model, text)
     columns = ["n_tokens", *(f"p_{name}" for name in DOMAINS)]
-    rate = fit_to_targets(materialize(marked.select(*columns), "posteriors"), targets, budget)
+    mix = fit_mix(materialize(marked.select(*columns), "posteriors"), targets, budget)
     chance = F.pmod(F.xxhash64(F.col(key), F.lit("copies")), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    return marked.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + chance).cast("bigint"))
+    return marked.withColumn("rate", mix.rate).withColumn("copies", F.floor(F.col("rate") + chance).cast("bigint")).withColumn(
+        "shares_reached", F.lit(mix.reached))
 
 
 def mix(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

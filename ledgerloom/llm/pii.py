@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import ship_code
@@ -29,8 +30,11 @@ from .blocks import SPACED, Block, code_points, find_words, text_blocks
 from .rows import per_text_columns
 
 KINDS = ("email", "ip", "card", "phone")
-#: Most windows that the field is trained on.
-SAMPLE = 400
+#: Most windows of each kind, and of those without personal data, that the field is trained on,
+#: and most of them whose span is written alike.
+PER_KIND, PER_SHAPE = 64, 8
+#: Bytes of the longest window that is trained on.
+LONGEST = 160
 MAX_TOKENS = 18
 #: Words of context on each side of a window.
 CONTEXT = 3
@@ -165,7 +169,9 @@ def windows(block: Block) -> list[list[tuple[int, int]]]:
 
 
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|\s+|.", re.DOTALL)
-_CUES = frozenset("tel phone call fax mobile cell mail email contact card visa credit ip host server address".split())
+_CUES = {word: kind for kind, words in {
+    "phone": "tel phone call fax mobile cell", "email": "mail email contact", "card": "card visa credit",
+    "ip": "ip host server address"}.items() for word in words.split()}
 
 
 class Window:
@@ -234,13 +240,15 @@ class Window:
         parts = raw.split(b".")
         if len(parts) == 4 and separators == ".":
             out.append("quad" + str(all(p.isdigit() and len(p) < 4 and int(p) <= 255 for p in parts)))
-        before = self.kinds[i - 1] if i else " "
-        after = self.kinds[j] if j < self.n else " "
-        glued = after != " " and j + 1 < self.n and self.kinds[j + 1] in "9a"
-        out += ["before" + before, "after" + (after if after in "9a@" else "."), "glued" + str(glued)]
+        # What stands around counts only where it is telling, so the usual surroundings of the
+        # sample take no weight from what the span itself looks like.
+        before, after = self.kinds[i - 1] if i else " ", self.kinds[j] if j < self.n else " "
+        if before in "9a@" or after in "9a@" or after != " " and j + 1 < self.n and self.kinds[j + 1] in "9a":
+            out.append("glued")
         word = next((self.raw[x:y].decode("utf-8", "replace").lower() for x, y in reversed(self.limits[max(0, i - 3) : i])
                      if self.raw[x:y].isalpha()), "")
-        out.append("cue" + str(word in _CUES))
+        if word in _CUES:
+            out.append("cue " + _CUES[word])
         return out
 
 
@@ -353,9 +361,16 @@ OTHER_NUMBERS = (
 
 
 def labelled_windows(samples: list[tuple[bytes, list[Span]]]) -> list[tuple[Window, list[tuple[str, int, int]]]]:
-    """Training windows: as found, and once for every other way of writing a span."""
+    """Training windows: as found, and once for every other way of writing a span.
+
+    A window that the patterns find nothing in teaches what is no personal data, unless it
+    holds something written like another way of a found span, which the patterns cannot tell.
+    """
     out = [(Window(raw), []) for raw in OTHER_NUMBERS]
+    alike = {_shape(other) for raw, spans in samples for kind, a, b in spans for other in other_writings(kind, raw[a:b])}
     for raw, spans in samples:
+        if not spans and any(shape in _shape(raw) for shape in alike):
+            continue
         versions = [(raw, spans)]
         for number, (kind, a, b) in enumerate(spans):
             for other in other_writings(kind, raw[a:b]):
@@ -372,32 +387,61 @@ def labelled_windows(samples: list[tuple[bytes, list[Span]]]) -> list[tuple[Wind
     return out
 
 
-def sample_windows(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> list[tuple[bytes, list[Span]]]:
-    """At most ``sample`` windows with their base spans, chosen by a hash of their content."""
+def _shape(raw: bytes) -> str:
+    """How a stretch is written: digits as 9, runs of letters as a, other signs as they are."""
+    return re.sub(r"[A-Za-z]+", "a", re.sub(rb"[0-9]", b"9", raw).decode("latin-1"))[:80]
+
+
+def sample_windows(
+    docs: DataFrame, text: str = "text", per_kind: int = PER_KIND, per_shape: int = PER_SHAPE
+) -> list[tuple[bytes, list[Span]]]:
+    """Windows with their base spans: of every kind, and of those without any, at most ``per_kind``.
+
+    Of spans (or other numbers) that are written alike at most ``per_shape`` are taken, by a hash
+    of the window's content, and the shapes that most windows have come first.  So neither a
+    corpus full of plain numbers nor one writing or odd ones crowd out what is usual.
+    """
     ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raws: set[bytes] = set()
+            found: set[tuple[bytes, str, str]] = set()
             for block in text_blocks(batch.column(0)):
+                base = base_spans(block)
                 for i, limits in enumerate(windows(block)):
                     low = int(block.bounds[i])
-                    # a very long stretch teaches nothing more than a short one
-                    raws.update(block.data[low + a : low + b].tobytes() for a, b in limits if b - a < 400)
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(raws), pa.binary())], ["raw"])
-
-    raw = docs.select(F.col(text).cast("string")).mapInArrow(run, "raw binary").distinct()
-    rows = raw.orderBy(F.xxhash64("raw"), "raw").limit(sample).collect()
+                    for a, b in limits:
+                        if b - a > LONGEST:  # a long stretch teaches nothing more than a short one
+                            continue
+                        raw = block.data[low + a : low + b].tobytes()
+                        within = {kind: (s - a, e - a) for kind, s, e in base[i] if a <= s and e <= b}
+                        for kind, (s, e) in within.items():
+                            found.add((raw, kind, _shape(raw[s:e])))
+                        if not within:
+                            found.add((raw, "", " ".join(sorted({_shape(w) for w in raw.split() if _MARKED[list(w)].any()}))[:80]))
+            rows = sorted(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.binary()), *(pa.array([r[k] for r in rows], pa.string()) for k in (1, 2))],
+                ["raw", "kind", "shape"])
+
+    rows = docs.select(F.col(text).cast("string")).mapInArrow(run, "raw binary, kind string, shape string").distinct()
+    order = F.xxhash64("raw")
+    placed = rows.withColumn("place", F.row_number().over(W.partitionBy("kind", "shape").orderBy(order, "raw"))).filter(F.col("place") <= per_shape)
+    usual = rows.groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("windows"))
+    # At most per_shape rows of a shape are left, of a number of shapes that ranks and is cut before it is shuffled.
+    placed = placed.join(usual, ["kind", "shape"])
+    first = W.partitionBy("kind").orderBy(F.desc("windows"), "shape", "place")
+    chosen = placed.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_kind)
     out = []
-    for row in rows:
+    for row in chosen.select("raw").distinct().orderBy("raw").collect():  # at most per_kind of five kinds
         content = bytes(row["raw"])
         block = Block(0, np.frombuffer(content, np.uint8), np.array([0, len(content)]))
         out.append((content, base_spans(block)[0]))
     return out
 
 
-def train_field(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Field:
-    return Field().train(labelled_windows(sample_windows(docs, text, sample)))
+def train_field(docs: DataFrame, text: str = "text", per_kind: int = PER_KIND, per_shape: int = PER_SHAPE) -> Field:
+    return Field().train(labelled_windows(sample_windows(docs, text, per_kind, per_shape)))
 
 
 def added_spans(field: Field, raw: bytes, base: list[Span], limits: list[tuple[int, int]]) -> list[Span]:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_code
@@ -21,10 +21,12 @@ from .measures import base_measures, spaced_words
 from .rows import per_text_columns
 
 BUCKETS = 1 << 16
-#: Added to the count of every bucket, on either side.
-SMOOTHING = 1.0
-#: In nats per n-gram.
+#: N-grams of the raw side added to the trusted one.
+MASS = 8_192.0
+#: In nats per n-gram; lower where the trusted texts themselves, seen from one another, score lower.
 THRESHOLD = -0.12
+#: Share of the trusted texts that may score below the threshold when only the other half is known.
+LOST = 0.1
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -58,37 +60,77 @@ def bucket_counts(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -
     return out
 
 
-def log_ratios(trusted: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
-    """Log of the trusted over the raw probability of every bucket."""
-    return np.log((trusted + smoothing) / (trusted.sum() + smoothing * len(trusted))) - np.log(
-        (raw + smoothing) / (raw.sum() + smoothing * len(raw)))
+def log_ratios(trusted: np.ndarray, raw: np.ndarray, mass: float = MASS) -> np.ndarray:
+    """Log of the trusted over the raw probability of every bucket.
+
+    The trusted side is smoothed towards the raw one, by ``mass`` n-grams drawn from it: equal
+    distributions give zero at any size of either, and a bucket the trusted texts lack is the
+    less likely the more of them there are.  A bucket that no text has counts as zero.
+    """
+    share = raw / max(raw.sum(), 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.log((trusted / share + mass) / (trusted.sum() + mass))
+    return np.where(share > 0, ratio, 0.0)
+
+
+def _mean_ratios(block: Block, words: Words, ratios: np.ndarray) -> np.ndarray:
+    """The mean ratio of each text's n-grams; zero without any."""
+    bucket, text_of = ngram_buckets(block, words, len(ratios))
+    return np.bincount(text_of, ratios[bucket], block.n) / np.maximum(np.bincount(text_of, minlength=block.n), 1)
+
+
+def fitted_threshold(
+    trusted: DataFrame, halves: tuple[np.ndarray, np.ndarray], raw: np.ndarray, text: str = "text",
+    least: float = THRESHOLD, lost: float = LOST, min_words: int = MIN_WORDS,
+) -> float:
+    """``least``, or the ``lost`` quantile of trusted texts scored by the other half's counts if that is lower.
+
+    Few trusted texts know few words; how far good texts then fall is seen from one half to the
+    other, over all of them.
+    """
+    ratios = trusted.sparkSession.sparkContext.broadcast([log_ratios(halves[1 - own], raw) for own in (0, 1)])
+
+    def look(block: Block) -> list[pa.Array]:
+        words = spaced_words(block)
+        return [pa.array(np.diff(words.cuts).astype(np.int64)), *(pa.array(_mean_ratios(block, words, r)) for r in ratios.value)]
+
+    rows = trusted.select(F.col(text).cast("string").alias("t"), _half(text).alias("half"))
+    scored = per_text_columns(rows, "t", "words bigint, first double, second double", look, ["half"])
+    own = F.when(F.col("half") == 0, F.col("first")).otherwise(F.col("second"))
+    found = scored.filter(F.col("words") >= min_words).agg(F.percentile_approx(own, lost, 10_000)).first()[0]
+    return least if found is None else min(least, float(found))
+
+
+def _half(text: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(2))
 
 
 def apply_rules(
-    docs: DataFrame, trusted: DataFrame, text: str = "text", threshold: float = THRESHOLD,
+    docs: DataFrame, trusted: DataFrame, text: str = "text", threshold: float | None = None,
     min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, buckets: int = BUCKETS,
 ) -> DataFrame:
     """All columns of ``docs`` with the base counts, ``llr``, ``base_failed`` and ``kept``.
 
-    ``trusted`` holds the texts to resemble, in a column of the same name.  A null text is an
-    empty one: no words, ``llr`` zero, ``base_failed``.  Without trusted texts every ratio is
-    taken as zero, so the base rules decide alone.  Repeated rows give repeated results; no
-    rows give none.  A column of ``docs`` with the name of a result is replaced by it.
+    ``trusted`` holds the texts to resemble, in a column of the same name.  Without a
+    ``threshold`` it is ``fitted_threshold``.  A null text is an empty one: no words, ``llr``
+    zero, ``base_failed``.  Without trusted texts every ratio is taken as zero, so the base
+    rules decide alone.  Repeated rows give repeated results; no rows give none.  A column of
+    ``docs`` with the name of a result is replaced by it.
     """
-    trusted_counts = bucket_counts(trusted, text, buckets)
-    ratios = np.zeros(buckets)
-    if trusted_counts.any():
-        ratios = log_ratios(trusted_counts, bucket_counts(docs, text, buckets))
+    halves = tuple(bucket_counts(trusted.filter(_half(text) == own), text, buckets) for own in (0, 1))
+    ratios, limit = np.zeros(buckets), THRESHOLD if threshold is None else threshold
+    if halves[0].any() or halves[1].any():
+        raw = bucket_counts(docs, text, buckets)
+        ratios = log_ratios(halves[0] + halves[1], raw)
+        if threshold is None:
+            limit = fitted_threshold(trusted, halves, raw, text, min_words=min_words)
     shared = docs.sparkSession.sparkContext.broadcast(ratios)  # `buckets` numbers
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def measure(block: Block) -> list[pa.Array]:
         words = spaced_words(block)
         base = base_measures(block, words)
-        bucket, text_of = ngram_buckets(block, words, buckets)
-        sums = np.bincount(text_of, weights=shared.value[bucket], minlength=block.n)
-        grams = np.bincount(text_of, minlength=block.n)
-        return [*(pa.array(base[name].astype(np.int64)) for name in counts), pa.array(sums / np.maximum(grams, 1))]
+        return [*(pa.array(base[name].astype(np.int64)) for name in counts), pa.array(_mean_ratios(block, words, shared.value))]
 
     own = [name for name in docs.columns if name not in (*counts, "llr", "base_failed", "kept")]
     found = per_text_columns(
@@ -96,7 +138,7 @@ def apply_rules(
         ", ".join(f"{name} bigint" for name in counts) + ", llr double", measure, carried=own)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return found.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
+        "kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(limit)))
 
 
 def trusted_texts(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,11 +9,17 @@ machine word.  Words whose pairs are all beyond the radius are abandoned.  Of th
 a bucket only those that join two groups are emitted, so a group of m fingerprints gives at
 most m - 1 rows.  Larger buckets are cut into chunks, and each pair of chunks is a bucket
 of its own: nothing is dropped and no task holds more than two chunks of a bucket.
+
+``near_groups`` links fingerprints of 64 bits within three, as its contract says.
+``similar_groups`` finds near copies by the similarity of their shingle sets: longer
+fingerprints with a wider radius give candidates, and whole sets verify them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -23,9 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_code
-from .blocks import SPACED, Block, Words, find_words
+from .blocks import SPACED, Block, Words, find_words, mix
 from .components import connected
-from .rows import per_text_columns
+from .jaccard import set_names, shingle_sets, verified, whole_sets
+from .rows import gathered, per_text_columns
 
 RADIUS = 3
 SHINGLE = 3
@@ -258,11 +265,251 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose key names its component: one document of each group stays.
+# --- near copies by similarity -----------------------------------------------------------------
+WORDS = 5
+PERCENT = 80
+#: Share of the pairs at the wanted similarity that meet in some bucket and stay within the radius.
+RECALL = 0.97
+#: Pairs of members that a task compares at once.
+_AT_ONCE = 1 << 22
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Fingerprints of ``words`` 64-bit words, cut into ``blocks`` of ``width`` bits; pairs within ``radius`` are verified."""
+
+    words: int
+    blocks: int
+    width: int
+    radius: int
+
+    @staticmethod
+    def of(rows: int, percent: int = PERCENT, recall: float = RECALL) -> Plan:
+        """Blocks as wide as keep buckets small among so many rows, and as many as the recall asks for.
+
+        Bits of sets with Jaccard similarity j differ with probability arccos(2j / (1 + j)) / pi.
+        """
+        j = percent / 100
+        differ = math.acos(2 * j / (1 + j)) / math.pi
+        width = min(max(math.ceil(math.log2(max(rows, 2))) - 4, 8), 24)
+        blocks = math.ceil(math.log((1 - recall) / 2) / math.log(1 - (1 - differ) ** width))
+        words = -(-blocks * width // 64)
+        bits = 64 * words
+        return Plan(words, blocks, width, math.ceil(bits * differ + 2.2 * math.sqrt(bits * differ * (1 - differ))))
+
+
+def wide_fingerprints(hashes: np.ndarray, cuts: np.ndarray, words: int) -> np.ndarray:
+    """A row of bytes for each text: a bit is one if it is in over half the hashes of its shingles."""
+    out = np.zeros((len(cuts) - 1, 8 * words), np.uint8)
+    counts = np.diff(cuts)
+    filled = np.flatnonzero(counts)
+    for word in range(words):
+        own = mix(hashes + np.uint64((2 * word + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        for low in range(0, len(filled), 256):  # bits of a few texts at a time
+            some = filled[low : low + 256]
+            a, b = int(cuts[some[0]]), int(cuts[some[-1] + 1])
+            bits = np.unpackbits(own[a:b].view(np.uint8).reshape(-1, 8), axis=1)
+            ones = np.add.reduceat(bits, cuts[some] - a, axis=0, dtype=np.int64)
+            out[some, 8 * word : 8 * word + 8] = np.packbits(ones * 2 > counts[some, None], axis=1)
+    return out
+
+
+def _block_values(prints: np.ndarray, plan: Plan) -> np.ndarray:
+    """The number that each block of bits of each fingerprint holds, with the block's own number above it."""
+    bits = np.unpackbits(prints, axis=1)[:, : plan.blocks * plan.width].reshape(len(prints), plan.blocks, plan.width)
+    values = bits.astype(np.int64) @ (1 << np.arange(plan.width, dtype=np.int64))
+    return values + (np.arange(plan.blocks, dtype=np.int64) << plan.width)
+
+
+def distances_at_lag(planes: np.ndarray, lag: int, wanted: np.ndarray, radius: int) -> np.ndarray:
+    """Places whose fingerprint is within the radius of the one ``lag`` places on, for planes of any number.
+
+    The differing bits of 64 pairs are added up in vertical counters, one machine word a binary
+    digit, each carry going on to the next; words are abandoned once all their pairs are over.
+    """
+    digits = int(radius).bit_length() + 1
+    words = np.flatnonzero(wanted)
+    counter = np.zeros((digits, len(words)), np.uint64)
+    start = (1 << (digits - 1)) - 1 - radius  # so that the last digit is set as soon as the radius is passed
+    for k in range(digits):
+        if start >> k & 1:
+            counter[k] = _ALL
+    over = ~wanted[words]
+    for p in range(len(planes)):
+        carry = planes[p][words] ^ _shifted(planes[p], words, lag)
+        for k in range(digits - 1):
+            counter[k], carry = counter[k] ^ carry, counter[k] & carry
+            if not carry.any():
+                break
+        else:
+            over |= carry
+        if p % 32 == 31:
+            left = over != _ALL
+            if not left.all():
+                words, counter, over = words[left], counter[:, left], over[left]
+            if not len(words):
+                break
+    close = np.zeros(len(wanted), np.uint64)
+    close[words] = ~over
+    return np.flatnonzero(np.unpackbits(close.view(np.uint8), bitorder="little"))
+
+
+def _wide_planes(prints: np.ndarray) -> np.ndarray:
+    n = -(-len(prints) // 64) * 64
+    padded = np.zeros((n, prints.shape[1]), np.uint8)
+    padded[: len(prints)] = prints
+    bits = np.unpackbits(padded, axis=1)
+    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
+
+
+def nearest_links(buckets: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each bucket that join its groups, the nearest pairs first; a bucket of m gives m - 1 at most."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    place = np.arange(len(prints))
+    lag = 1
+    while lag < max(len(place), 1):
+        here = np.zeros(len(place), bool)
+        here[:-lag] = buckets[place[:-lag]] == buckets[place[lag:]]
+        if not here.any():
+            break
+        if lag & (lag - 1) == 0:  # rows of small buckets leave at every doubling of the lag
+            starts = np.flatnonzero(np.r_[True, buckets[place[1:]] != buckets[place[:-1]]])
+            size = np.diff(np.r_[starts, len(place)])
+            place = place[np.repeat(size > lag, size)]
+            planes = _wide_planes(prints[place])
+            here = np.zeros(len(place), bool)
+            here[:-lag] = buckets[place[:-lag]] == buckets[place[lag:]]
+        wanted = np.zeros(planes.shape[1] * 64, bool)
+        wanted[: len(place)] = here
+        at = distances_at_lag(planes, lag, np.packbits(wanted, bitorder="little").view(np.uint64), radius)
+        found.append((place[at], place[at + lag]))
+        lag += 1
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = (np.concatenate(x) for x in zip(*found))
+    distance = _BITS[prints[a] ^ prints[b]].sum(axis=1, dtype=np.int64)
+    parent = np.arange(len(prints))
+    left, right = [a[:0]], [b[:0]]
+    for low in range(0, radius + 1, max(radius // 8, 1)):  # an eighth of the radius after the other
+        some = (distance >= low) & (distance < low + max(radius // 8, 1))
+        x, y = a[some], b[some]
+        while len(x):
+            rx, ry = _roots(parent, x), _roots(parent, y)
+            apart = rx != ry
+            x, y, rx, ry = x[apart], y[apart], rx[apart], ry[apart]
+            if not len(x):
+                break
+            high, lower = np.maximum(rx, ry), np.minimum(rx, ry)
+            _, once = np.unique(high, return_index=True)
+            parent[high[once]] = lower[once]
+            left.append(x[once])
+            right.append(y[once])
+    return np.concatenate(left), np.concatenate(right)
+
+
+_BITS = np.array([bin(x).count("1") for x in range(256)], np.uint8)
+
+
+def _fingerprinted(docs: DataFrame, key: str, text: str, size: int, plan: Plan) -> DataFrame:
+    """Of every row ``k``, ``n``, ``h1``, ``h2`` (the set's names) and ``fp``, the fingerprint's bytes."""
+
+    def look(block: Block) -> list[pa.Array]:
+        hashes, cuts = shingle_sets(block, size)
+        prints = wide_fingerprints(hashes, cuts, plan.words)
+        return [pa.array(np.diff(cuts).astype(np.int64)), *set_names(hashes, cuts), pa.array([p.tobytes() for p in prints], pa.binary())]
+
+    rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
+    return per_text_columns(rows, "t", "n bigint, h1 bigint, h2 bigint, fp binary", look, ["k"])
+
 
-    Repeated rows of one key stay together; rows without a key stay.
+def candidate_pairs(classes: DataFrame, plan: Plan, chunk: int = CHUNK) -> DataFrame:
+    """Pairs (``a``, ``b``) of classes (``set``, ``fp``) in a common bucket and within the radius, each once."""
+    ship_code(classes.sparkSession)
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(batch.column("set").to_numpy(), plan.blocks)), pa.array(_block_values(prints, plan).ravel())],
+                ["set", "bucket"])
+
+    rows = classes.mapInArrow(spread, "set bigint, bucket bigint")
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    number = F.ceil(F.col("size") / F.lit(chunk)).cast("int")
+    own = F.pmod(F.xxhash64("set"), F.col("number")).cast("int")
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("number") - 1),
+        lambda k: (F.least(k, F.col("own")) * F.lit(1 << 20) + F.greatest(k, F.col("own"))).cast("bigint"))
+    dealt = rows.join(sizes, "bucket").withColumn("number", number).withColumn("own", own).select(
+        "set", "bucket", F.explode(others).alias("chunks")).join(classes.select("set", "fp"), "set")
+    dealt = dealt.repartition(parts, "bucket", "chunks").sortWithinPartitions("bucket", "chunks", "fp", "set")
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        sets = table["set"].to_numpy()
+        prints = np.frombuffer(b"".join(table["fp"].to_pylist()), np.uint8).reshape(len(sets), -1)
+        keys = np.stack([table["bucket"].to_numpy(), table["chunks"].to_numpy()], axis=1)
+        numbers = np.cumsum(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        a, b = nearest_links(numbers, prints, plan.radius)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(sets[a], sets[b])), pa.array(np.maximum(sets[a], sets[b]))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in gathered(batches, 4096):
+            table = pa.Table.from_batches([*held, batch])
+            keys = np.stack([table["bucket"].to_numpy(), table["chunks"].to_numpy()], axis=1)
+            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+            first = 0  # whole buckets, as many as have no more pairs than are compared at once
+            work = 0
+            for at, end in zip(starts[:-1], starts[1:]):
+                work += int(end - at) ** 2 // 2
+                if work >= _AT_ONCE:
+                    yield pairs(table.slice(first, end - first))
+                    first, work = int(end), 0
+            if first < starts[-1]:
+                yield pairs(table.slice(first, starts[-1] - first))
+            held = table.slice(starts[-1]).combine_chunks().to_batches()
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT,
+                   recall: float = RECALL) -> DataFrame:
+    """``key`` and ``component_id`` of every row, by near copies of sets of ``size`` words.
+
+    Candidates come from SimHash buckets and bit planes, wide enough to find ``recall`` of the
+    pairs at ``percent`` hundredths of Jaccard similarity; every link is verified on the whole
+    sets, so no less similar texts are linked.  Equal sets and repeated rows share a component.
+    A text without words links with nothing and keeps its key; a null key gets the component of
+    an equal set, or null.  Other columns are ignored; no rows give no rows.
+    """
+    plan = Plan.of(docs.count(), percent, recall)
+    marks = materialize(_fingerprinted(docs, key, text, size, plan), "prints")
+    classes = marks.filter("n > 0").groupBy("h1", "h2").agg(
+        F.max("n").alias("n"), F.min("k").alias("first"), F.max("fp").alias("fp")).filter("first IS NOT NULL")
+    classes = materialize(classes.withColumn("set", F.monotonically_increasing_id()), "classes")
+    pairs = materialize(candidate_pairs(classes.select("set", "fp"), plan), "pairs")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    alive = materialize(classes.select("set", "h1", "h2", "n", "first").join(met, "set"), "alive")
+    sets = materialize(whole_sets(docs, key, text, size, alive), "sets")
+    links = verified(pairs, sets, percent).filter("linked")
+    groups = connected(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    named = classes.select("h1", "h2", "first", "set").join(groups, F.col("set") == F.col("node"), "left").select(
+        "h1", "h2", "first", F.coalesce("root", "set").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    table = materialize(named.join(smallest, "root").select("h1", "h2", "component_id"), "groups")
+    return marks.select("k", "n", "h1", "h2").join(table, ["h1", "h2"], "left").select(
+        F.col("k").alias(key), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("k")).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` whose key names its component: one document of each group of near copies stays.
+
+    Repeated rows of one key stay together; rows without a key, or without words, stay.
     """
-    found = near_groups(docs, key, text).filter(F.col(key) != F.col("component_id")).select(key).distinct()
+    found = similar_groups(docs, key, text, size, percent).filter(F.col(key) != F.col("component_id")).select(key).distinct()
     found = found.hint("shuffle_hash")  # keys are hashed, so the texts need no sort
     return docs.join(found, key, "left_anti")

@@ -3,10 +3,13 @@
 import hashlib
 import re
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.blocks import Block
 from ledgerloom.llm import decontaminate, pii, quality_rules, queries, ranker
 
 from .conftest import lowered, remainder, spaced_words
@@ -34,6 +37,30 @@ def test_ratio_is_the_mean_log_ratio(ready):
         assert np.allclose(quality_rules.log_ratios(np.array([2, 6, 0]), size * np.array([1, 3, 0])), 0)
 
 
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_good_documents_are_kept_at_any_size(ready, size):
+    docs, labels = (ready.read.parquet(f"/root/testdata/sf{size}/{name}.parquet") for name in ("documents", "labels"))
+    found = {r.doc_id: r for r in queries.QUERIES["op1_quality_rules"](ready, f"/root/testdata/sf{size}").collect()}
+    good = [k for k, in labels.filter("quality = 1").select("doc_id").collect() if k in found and not found[k].base_failed]
+    poor = [k for k, in labels.filter("quality = 0").select("doc_id").collect() if k in found and not found[k].base_failed]
+    assert sum(found[k].kept for k in good) >= 0.98 * len(good) and sum(found[k].kept for k in poor) <= 0.1 * len(poor)
+    # The ratios against counts in plain Python; only the buckets' names are taken from the operator.
+    trusted = {k for k, in labels.filter("quality = 1").select("doc_id").distinct().collect()}
+    raw, own, buckets = Counter(), Counter(), {}
+    for r in docs.select("doc_id", "text").collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        block = Block(0, data, np.array([0, len(data)]))
+        buckets[r.doc_id] = quality_rules.ngram_buckets(block, quality_rules.spaced_words(block))[0].tolist()
+        words = len(spaced_words(r.text))
+        assert len(buckets[r.doc_id]) == max(2 * words - 1, 0)
+        raw.update(buckets[r.doc_id])
+        own.update(buckets[r.doc_id] if r.doc_id in trusted else [])
+    total, mass = sum(raw.values()), quality_rules.MASS
+    for k in sorted(buckets)[:60]:
+        each = [np.log((own[g] * total / raw[g] + mass) / (sum(own.values()) + mass)) for g in buckets[k]]
+        assert found[k].llr == pytest.approx(np.mean(each) if each else 0.0)
+
+
 def test_rules_on_odd_rows(odd_docs, no_docs, odd_rows):
     found = quality_rules.apply_rules(odd_docs, odd_docs.filter("doc_id = 4").select("text"))
     rows = found.collect()
