@@ -411,7 +411,7 @@ def dashboard(spark, d):
     stored = history.filter("company_id <> 'asia' OR metric = 'employee_headcount'")
     raw = forecast.metric_series(None, None, flows=rollup.flows(finance_facts))
     history = documents.with_fallback(stored, raw, ["company_id", "metric"])
-    flows = history.groupBy("company_id", "date").agg(
+    flows = history.filter("metric <> 'employee_headcount'").groupBy("company_id", "date").agg(
         *[F.coalesce(F.max(F.when(F.col("metric") == m, F.col("value"))), F.lit(0.0)).alias(m) for m in ("revenue", "expenditure")]
     )
     return documents.dashboard(
@@ -422,7 +422,7 @@ def dashboard(spark, d):
 
 
 _SQL_PARTS = """
-weekly AS (SELECT company_id, date, count(*) AS value FROM fin GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY date DESC) <= 7),
+weekly AS (SELECT company_id, date, count(*) AS value FROM fin GROUP BY company_id, date QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY date DESC) <= 7),
 ch16 AS (SELECT * FROM chart QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY date DESC, is_forecast DESC) <= 16),
 parts AS (
   SELECT company_id, 'metrics' AS part, 0 AS position, 'total_employees' AS label, total_employees AS value, employees_delta_percent AS second FROM kpis
