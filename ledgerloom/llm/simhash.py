@@ -270,6 +270,8 @@ WORDS = 5
 PERCENT = 80
 #: Share of the pairs at the wanted similarity that meet in some bucket and stay within the radius.
 RECALL = 0.97
+#: Members of a bucket in one task; small pieces keep the lags few and the planes long.
+PIECE = 256
 #: Pairs of members that a task compares at once.
 _AT_ONCE = 1 << 22
 
@@ -299,21 +301,25 @@ class Plan:
 
 
 def wide_fingerprints(hashes: np.ndarray, cuts: np.ndarray, words: int) -> np.ndarray:
-    """A row of bytes for each text: a bit is one if it is in over half the hashes of its shingles."""
-    out = np.zeros((len(cuts) - 1, 8 * words), np.uint8)
-    counts = np.diff(cuts)
-    filled = np.flatnonzero(counts)
+    """A row of bytes for each text: a bit is one if it is in over half the hashes of its shingles.
+
+    How often each value of a byte occurs in a text tells how often its bits are set.
+    """
+    n, counts = len(cuts) - 1, np.diff(cuts)
+    out = np.zeros((n, 8 * words), np.uint8)
+    first = np.repeat(np.arange(n) * 256, counts)
     for word in range(words):
-        own = mix(hashes + np.uint64((2 * word + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        for low in range(0, len(filled), 256):  # bits of a few texts at a time
-            some = filled[low : low + 256]
-            a, b = int(cuts[some[0]]), int(cuts[some[-1] + 1])
-            bits = np.unpackbits(own[a:b].view(np.uint8).reshape(-1, 8), axis=1)
-            ones = np.add.reduceat(bits, cuts[some] - a, axis=0, dtype=np.int64)
-            out[some, 8 * word : 8 * word + 8] = np.packbits(ones * 2 > counts[some, None], axis=1)
+        own = mix(hashes + np.uint64((2 * word + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)).view(np.uint8).reshape(-1, 8)
+        for byte in range(8):
+            values = np.bincount(first + own[:, byte], minlength=256 * n).reshape(n, 256)
+            out[:, 8 * word + byte] = np.packbits((values @ _BIT_SET) * 2 > counts[:, None], axis=1)[:, 0]
     return out
 
 
+#: Which of its eight bits each value of a byte has set, the highest first.
+_BIT_SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
+
+
 def _block_values(prints: np.ndarray, plan: Plan) -> np.ndarray:
     """The number that each block of bits of each fingerprint holds, with the block's own number above it."""
     bits = np.unpackbits(prints, axis=1)[:, : plan.blocks * plan.width].reshape(len(prints), plan.blocks, plan.width)
@@ -321,39 +327,92 @@ def _block_values(prints: np.ndarray, plan: Plan) -> np.ndarray:
     return values + (np.arange(plan.blocks, dtype=np.int64) << plan.width)
 
 
-def distances_at_lag(planes: np.ndarray, lag: int, wanted: np.ndarray, radius: int) -> np.ndarray:
+def _add_eight(counter: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Add eight planes of bits to vertical counters by carry-save adders; returns what is carried out of them."""
+
+    def add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        either = a ^ b
+        return either ^ c, (a & b) | (either & c)
+
+    ones, twos, fours = counter[:3]
+    ones, t = add(ones, differ[0], differ[1])
+    ones, u = add(ones, differ[2], differ[3])
+    twos, f = add(twos, t, u)
+    ones, t = add(ones, differ[4], differ[5])
+    ones, u = add(ones, differ[6], differ[7])
+    twos, g = add(twos, t, u)
+    fours, carry = add(fours, f, g)
+    counter[0], counter[1], counter[2] = ones, twos, fours
+    for k in range(3, len(counter)):
+        counter[k], carry = counter[k] ^ carry, counter[k] & carry
+    return carry
+
+
+def _limits(planes: int, radius: int) -> list[int]:
+    """How many of the first 64, 128, ... planes may differ, of pairs that differ in ``radius`` of all at most."""
+    share = radius / planes
+    return [min(radius, math.ceil(p * share + 3.5 * math.sqrt(p * share * (1 - share)))) for p in range(64, planes, 64)] + [radius]
+
+
+def distances_at_lag(planes: np.ndarray, lag: int, wanted: np.ndarray, radius: int, early: bool = False) -> np.ndarray:
     """Places whose fingerprint is within the radius of the one ``lag`` places on, for planes of any number.
 
     The differing bits of 64 pairs are added up in vertical counters, one machine word a binary
-    digit, each carry going on to the next; words are abandoned once all their pairs are over.
+    digit, by carry-save adders.  After every 64 planes, words are abandoned all of whose pairs
+    are over the radius, or (``early``) so far off that they will hardly come within it.
     """
-    digits = int(radius).bit_length() + 1
+    limits = _limits(len(planes), radius) if early else [radius] * (len(planes) // 64)
+    digits = max(int(radius).bit_length(), 3)
+    top = (1 << digits) - 1
     words = np.flatnonzero(wanted)
     counter = np.zeros((digits, len(words)), np.uint64)
-    start = (1 << (digits - 1)) - 1 - radius  # so that the last digit is set as soon as the radius is passed
-    for k in range(digits):
-        if start >> k & 1:
-            counter[k] = _ALL
-    over = ~wanted[words]
-    for p in range(len(planes)):
-        carry = planes[p][words] ^ _shifted(planes[p], words, lag)
-        for k in range(digits - 1):
-            counter[k], carry = counter[k] ^ carry, counter[k] & carry
-            if not carry.any():
-                break
-        else:
-            over |= carry
-        if p % 32 == 31:
-            left = over != _ALL
-            if not left.all():
-                words, counter, over = words[left], counter[:, left], over[left]
-            if not len(words):
-                break
+    over, before = ~wanted[words], top
+    for block, limit in enumerate(limits):
+        rows = planes[64 * block : 64 * block + 64]
+        differ = rows[:, words] ^ _shifted_rows(rows, words, lag)
+        # Counters overflow as soon as the limit is passed: it is taken off their largest number,
+        # and what they hold moves with it.
+        over |= _moved(counter, before - limit)
+        before = limit
+        for k in range(0, 64, 8):
+            over |= _add_eight(counter, differ[k : k + 8])
+        left = over != _ALL
+        if not left.all():
+            words, counter, over = words[left], np.ascontiguousarray(counter[:, left]), over[left]
+        if not len(words):
+            break
     close = np.zeros(len(wanted), np.uint64)
     close[words] = ~over
     return np.flatnonzero(np.unpackbits(close.view(np.uint8), bitorder="little"))
 
 
+def _moved(counter: np.ndarray, by: int) -> np.ndarray:
+    """Add a number to all counters, or take it off; returns what is carried out, nothing when taking off."""
+    carry = np.zeros(counter.shape[1], np.uint64)
+    number = by if by >= 0 else by + (1 << len(counter))
+    for k in range(len(counter)):
+        bit = _ALL if number >> k & 1 else np.uint64(0)
+        either = counter[k] ^ bit
+        counter[k], carry = either ^ carry, (counter[k] & bit) | (either & carry)
+    return carry if by >= 0 else np.zeros_like(carry)
+
+
+def _shifted_rows(rows: np.ndarray, words: np.ndarray, lag: int) -> np.ndarray:
+    """``_shifted`` for several planes at once."""
+    whole, part = divmod(lag, 64)
+    size = rows.shape[1]
+
+    def at(place: np.ndarray) -> np.ndarray:
+        inside = place < size
+        found = rows[:, np.where(inside, place, 0)]
+        return found if inside.all() else np.where(inside, found, np.uint64(0))
+
+    near = at(words + whole)
+    if not part:
+        return near
+    return (near >> np.uint64(part)) | (at(words + whole + 1) << np.uint64(64 - part))
+
+
 def _wide_planes(prints: np.ndarray) -> np.ndarray:
     n = -(-len(prints) // 64) * 64
     padded = np.zeros((n, prints.shape[1]), np.uint8)
@@ -381,7 +440,7 @@ def nearest_links(buckets: np.ndarray, prints: np.ndarray, radius: int) -> tuple
             here[:-lag] = buckets[place[:-lag]] == buckets[place[lag:]]
         wanted = np.zeros(planes.shape[1] * 64, bool)
         wanted[: len(place)] = here
-        at = distances_at_lag(planes, lag, np.packbits(wanted, bitorder="little").view(np.uint64), radius)
+        at = distances_at_lag(planes, lag, np.packbits(wanted, bitorder="little").view(np.uint64), radius, early=True)
         found.append((place[at], place[at + lag]))
         lag += 1
     if not found:
@@ -422,7 +481,7 @@ def _fingerprinted(docs: DataFrame, key: str, text: str, size: int, plan: Plan)
     return per_text_columns(rows, "t", "n bigint, h1 bigint, h2 bigint, fp binary", look, ["k"])
 
 
-def candidate_pairs(classes: DataFrame, plan: Plan, chunk: int = CHUNK) -> DataFrame:
+def candidate_pairs(classes: DataFrame, plan: Plan, chunk: int = PIECE) -> DataFrame:
     """Pairs (``a``, ``b``) of classes (``set``, ``fp``) in a common bucket and within the radius, each once."""
     ship_code(classes.sparkSession)
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
