@@ -158,9 +158,9 @@ def fit_mix(known: DataFrame, targets: dict[str, float] | None = None, budget: f
 
     def sums(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The totals, and the overlap of the domains in documents not at a bound."""
-        rate = rate_of(steps, most)
+        rate = F.col("_rate")  # stands a dozen times in the sums, its steps but once in the plan
         free = F.when((rate > 0) & (rate < most), n).otherwise(0)
-        found = known.agg(*[F.sum(n * x * rate) for x in p], *[F.sum(free * x * y) for x in p for y in p]).first()
+        found = known.withColumn("_rate", rate_of(steps, most)).agg(*[F.sum(n * x * rate) for x in p], *[F.sum(free * x * y) for x in p for y in p]).first()
         values = np.array([float(x or 0.0) for x in found])
         return values[:d], values[d:].reshape(d, d)
 

@@ -14,6 +14,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 #: Rows of one Arrow batch; texts are long, so few of them make a batch of megabytes.
 BATCH_ROWS = "512"
+PLAN_CHARS = "20000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepared(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    # The driver keeps the texts of a thousand plans; those of iterative operators are long.
+    spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
