@@ -32,3 +32,10 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF
+
+
+@pytest.fixture(autouse=True)
+def whole_plans(request):
+    """Plans are read whole, whatever queries before have set."""
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.unset("spark.sql.maxPlanStringLength")

@@ -16,7 +16,6 @@ PYTHON_ALLOWED = {"iforest", "anomaly_rows", "forecast", "stream_headcount"}
 
 
 def plan(df) -> str:
-    df.sparkSession.conf.set("spark.sql.maxPlanStringLength", str((1 << 31) - 16))  # whole, whatever other tests set
     return df._jdf.queryExecution().toString()
 
 
