@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_code
+from ..session import materialize, ship_code
 from .blocks import LOWER, Block, RollingHash, Words, text_blocks, windows_hash
 from .measures import base_measures, spaced_words
 from .rows import per_text_columns
@@ -27,6 +27,8 @@ MASS = 8_192.0
 THRESHOLD = -0.12
 #: Share of the trusted texts that may score below the threshold when only the other half is known.
 LOST = 0.1
+#: Up to so many keys, some twenty megabytes, are sent to all texts.
+BROADCAST_KEYS = 500_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -41,23 +43,25 @@ def ngram_buckets(block: Block, words: Words, buckets: int = BUCKETS) -> tuple[n
     return (all_hashes % np.uint64(buckets)).astype(np.int64), np.concatenate([text_of, text_of[inner]])
 
 
-def bucket_counts(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -> np.ndarray:
-    """How often each bucket occurs in all texts; a task adds up its own before anything is sent."""
+def bucket_counts(docs: DataFrame, text: str = "text", buckets: int = BUCKETS, part: Column | None = None, parts: int = 1) -> np.ndarray:
+    """How often each bucket occurs in the texts of each part; a task adds up its own before anything is sent."""
     ship_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(buckets, np.int64)
+        total = np.zeros(parts * buckets, np.int64)
         for batch in batches:
+            own = batch.column(1).to_numpy().astype(np.int64)
             for block in text_blocks(batch.column(0)):
-                total += np.bincount(ngram_buckets(block, spaced_words(block), buckets)[0], minlength=buckets)
+                bucket, text_of = ngram_buckets(block, spaced_words(block), buckets)
+                total += np.bincount(bucket + own[block.first : block.first + block.n][text_of] * buckets, minlength=parts * buckets)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
 
-    sums = docs.select(F.col(text).cast("string")).mapInArrow(run, "bucket bigint, n bigint")
-    out = np.zeros(buckets, np.int64)
-    for bucket, n in sums.groupBy("bucket").agg(F.sum("n")).collect():  # at most `buckets` rows
+    rows = docs.select(F.col(text).cast("string"), (F.lit(0) if part is None else part).cast("int"))
+    out = np.zeros(parts * buckets, np.int64)
+    for bucket, n in rows.mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n")).collect():  # a number a bucket
         out[bucket] = n
-    return out
+    return out.reshape(parts, buckets)
 
 
 def log_ratios(trusted: np.ndarray, raw: np.ndarray, mass: float = MASS) -> np.ndarray:
@@ -80,7 +84,7 @@ def _mean_ratios(block: Block, words: Words, ratios: np.ndarray) -> np.ndarray:
 
 
 def fitted_threshold(
-    trusted: DataFrame, halves: tuple[np.ndarray, np.ndarray], raw: np.ndarray, text: str = "text",
+    trusted: DataFrame, halves: np.ndarray, raw: np.ndarray, text: str = "text",
     least: float = THRESHOLD, lost: float = LOST, min_words: int = MIN_WORDS,
 ) -> float:
     """``least``, or the ``lost`` quantile of trusted texts scored by the other half's counts if that is lower.
@@ -117,10 +121,10 @@ def apply_rules(
     rules decide alone.  Repeated rows give repeated results; no rows give none.  A column of
     ``docs`` with the name of a result is replaced by it.
     """
-    halves = tuple(bucket_counts(trusted.filter(_half(text) == own), text, buckets) for own in (0, 1))
+    halves = bucket_counts(trusted, text, buckets, _half(text), 2)
     ratios, limit = np.zeros(buckets), THRESHOLD if threshold is None else threshold
-    if halves[0].any() or halves[1].any():
-        raw = bucket_counts(docs, text, buckets)
+    if halves.any():
+        raw = bucket_counts(docs, text, buckets)[0]
         ratios = log_ratios(halves[0] + halves[1], raw)
         if threshold is None:
             limit = fitted_threshold(trusted, halves, raw, text, min_words=min_words)
@@ -142,6 +146,13 @@ def apply_rules(
 
 
 def trusted_texts(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Texts of the documents labelled as good; the labels are the hashed side, so texts are not sorted."""
-    good = labels.filter("quality = 1").select(key).distinct().hint("shuffle_hash")
-    return docs.select(key, text).join(good, key, "left_semi").select(text)
+    """Texts of the documents labelled as good, repeated rows kept.
+
+    Up to ``BROADCAST_KEYS`` keys go to the texts; beyond that the texts are dealt by key once
+    and the trusted ones written, as they are read more than once.
+    """
+    good = materialize(labels.filter("quality = 1").select(key).dropna().distinct(), "good")
+    texts = docs.select(key, text)
+    if good.count() <= BROADCAST_KEYS:
+        return texts.join(F.broadcast(good), key, "left_semi").select(text)
+    return materialize(texts.join(good.hint("shuffle_hash"), key, "left_semi").select(text), "trusted")

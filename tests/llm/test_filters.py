@@ -61,6 +61,13 @@ def test_good_documents_are_kept_at_any_size(ready, size):
         assert found[k].llr == pytest.approx(np.mean(each) if each else 0.0)
 
 
+def test_trusted_texts_are_the_same_beyond_a_broadcast(ready, sf, monkeypatch):
+    docs, labels = (ready.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    sent = sorted(r.text or "" for r in quality_rules.trusted_texts(docs, labels).collect())
+    monkeypatch.setattr(quality_rules, "BROADCAST_KEYS", 0)
+    assert sent == sorted(r.text or "" for r in quality_rules.trusted_texts(docs, labels).collect()) and len(sent) > 10
+
+
 def test_rules_on_odd_rows(odd_docs, no_docs, odd_rows):
     found = quality_rules.apply_rules(odd_docs, odd_docs.filter("doc_id = 4").select("text"))
     rows = found.collect()
