@@ -1,6 +1,7 @@
 """Context-tree weighting, licence digests, mixing and the pipeline."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -151,6 +152,40 @@ def test_contexts_go_across_words(ready, monkeypatch, block):
     assert abs(found[0] - found[6]) > 0.01  # the same words in another order
 
 
+def test_codes_are_counted_in_few_rows_and_little_room(ready):
+    """A split's codes travel as a row a bin, and a text's words in less than four bytes each."""
+    source = random.Random(2)
+    texts = [" ".join("".join(source.choice("aeinorst") for _ in range(source.randint(2, 7))) for _ in range(4000)) for _ in range(6)]
+    docs = ready.createDataFrame([(i, text, False) for i, text in enumerate(texts)], "doc_id long, text string, held boolean").coalesce(1)
+    rows = lm.encode(docs, "doc_id", "text", "held").collect()
+    binned = [r for r in rows if r["word"] is None and r["_key"] is None]
+    assert 0 < len(binned) <= 1021
+    assert sum(len(r["ids"]) for r in rows if r["_key"] is not None) < 3 * 6 * 4000
+    seen = Counter()
+    for r in binned:
+        seen.update(dict(zip(lm.unpacked_codes(r["codes"]).tolist(), lm.unpacked(r["seen"], np.int32).tolist())))
+    expected = Counter()
+    for text in texts:
+        data = b" " * 5 + text.encode() + b" \n"
+        expected.update(int.from_bytes(data[at - 5 : at + 1]) for at in range(5, len(data)))
+    assert seen == expected
+
+
+def test_codes_are_added_up_without_hashing_them_all(monkeypatch):
+    """Runs of counted codes are merged in order; the union by hashing took most of a task's time."""
+    monkeypatch.setattr(np, "union1d", None)
+    words, ids, counts = [b"\n", b"ab", b"abc"], np.array([1, 2, 1, 1, 2], np.int32), np.array([2, 0, 3])
+    monkeypatch.setattr(lm, "CODED_TOKENS", 2)
+    every, seen = lm.counted(lm.coded(words, ids, counts, 5, True), np.array([True, True, False]))
+    both, many = Counter(), Counter()
+    for data, weight in ((b"ab abc \n", 1), (b"\n", 1), (b"ab ab abc \n", 0)):
+        data = b" " * 5 + data
+        for at in range(5, len(data)):
+            both[int.from_bytes(data[at - 5 : at + 1])] += 1
+            many[int.from_bytes(data[at - 5 : at + 1])] += weight
+    assert dict(zip(every.tolist(), seen.tolist())) == {code: many[code] for code in sorted(both)}
+
+
 def test_query_scores_the_order_of_words(ready, tmp_path):
     texts = ["one two three four five six"] * 40 + ["six two four one three five", "one two three four five six"]
     held = [k for k in range(2000) if remainder(k) == 1][:2]
