@@ -15,9 +15,10 @@ one anchor form a stretch.  Equal windows have equal anchors at equal offsets.
 2. Anchors of several different stretches (where copies begin, end or were edited) are
    settled on the bytes: the first stretch of each content is sent to its anchor's task,
    which sorts the suffixes and takes previous and next smaller places.
-3. An anchor with more than ``CROWD`` different stretches would not fit a task.  Its windows
-   are settled one by one: the first place of each is a minimum, combined before the
-   shuffle, and every later place is one to remove.
+3. An anchor with more than ``CROWD`` different stretches would not fit a task.  Its stretches
+   are halved by where in a window the anchor stands.  All windows of a half share most of
+   their bytes around the anchor; equal ones share them all, so these bytes are the half's
+   new anchor.  Halves that are still crowded are halved again, down to single windows.
 
 Documents themselves are moved by id only, to cut out stretches and to remove bytes.
 """
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ LENGTH = 100
 GRAM = 24
 #: Most different stretches of one anchor that meet in a task.
 CROWD = 2_000
+#: Places in a window where its anchor may stand.
+WIDTH = LENGTH - GRAM + 1
 #: Bytes of stretches that a task sorts at once.
 SORT_BYTES = 1 << 20
 #: Rows a task gathers before it combines copies and sends them.
@@ -300,22 +304,62 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     pieces = materialize(texts.join(open_.hint("shuffle_hash"), "_key").mapInArrow(
         _cut_out, "anchor bigint, contents bigint, start bigint, _key bigint, bytes binary"), "pieces")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    calm = pieces.filter(F.col("contents") <= CROWD).drop("contents").repartition(parts, "anchor")
-    partly = calm.sortWithinPartitions("anchor", "_key", "start").mapInArrow(
+    calm, copied = _without_crowds(pieces)
+    partly = calm.repartition(parts, "anchor").sortWithinPartitions("anchor", "_key", "start").mapInArrow(
         _settle_rows, "_key bigint, start bigint, end bigint")
-    return whole.union(materialize(partly, "partly")).union(
-        materialize(_crowded_spans(pieces.filter(F.col("contents") > CROWD)), "crowded"))
+    return reduce(DataFrame.union, copied, whole.union(materialize(partly, "partly")))
 
 
-def _crowded_spans(pieces: DataFrame) -> DataFrame:
-    """Spans of windows that occur earlier, window by window; no task holds an anchor's stretches."""
-    places = F.sequence(F.lit(0), F.length("bytes") - LENGTH)
-    windows = pieces.select("_key", "start", "bytes", F.explode(places).alias("k")).select(
-        "_key", (F.col("start") + F.col("k")).alias("start"), F.substring("bytes", F.col("k") + 1, F.lit(LENGTH)).alias("window"))
+def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both halves of stretches whose windows have their anchor at ``low`` to ``high``, under new anchors."""
+    upper = ~np.uint64((1 << _PLACE_BITS) - 1)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cut = batch.column("bytes").to_pylist()
+        sizes = np.array([len(c) for c in cut], np.int64)
+        begin = np.cumsum(sizes) - sizes
+        rolling = RollingHash(np.frombuffer(b"".join(cut), np.uint8))
+        at = begin[:, None] + np.arange(WIDTH)
+        # The anchor is the leftmost smallest of the first window, as in ``stretches``.
+        place = np.argmin(rolling.of(at, at + GRAM) & upper, axis=1)
+        old, key, start, low, high = (batch.column(c).to_numpy() for c in ("anchor", "_key", "start", "low", "high"))
+        middle = (low + high) // 2
+        for a, b in ((low, middle), (middle, high)):
+            first, last = np.maximum(0, place - b + 1), np.minimum(sizes - LENGTH, place - a)
+            some = np.flatnonzero(first <= last)
+            shared = rolling.of((begin + place - a)[some], (begin + place - b + 1 + LENGTH)[some])
+            anchor = mix(shared + mix(old[some].view(np.uint64) + (a * (WIDTH + 1) + b)[some].astype(np.uint64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor.view(np.int64)), pa.array((start + first)[some]), pa.array(key[some]),
+                 pa.array([cut[i][first[i] : last[i] + LENGTH] for i in some], pa.binary()), pa.array(a[some]), pa.array(b[some])],
+                ["anchor", "start", "_key", "bytes", "low", "high"])
+
+
+def _without_crowds(pieces: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Pieces (``anchor``, ``start``, ``_key``, ``bytes``) of which no anchor has more than ``CROWD``, and spans settled on the way.
+
+    Halves with equal bytes are copies: the first goes on, the others are spans to remove.
+    """
+    columns = ["anchor", "start", "_key", "bytes"]
+    calm, copied = pieces.filter(F.col("contents") <= CROWD).select(columns), []
+    crowded = pieces.filter(F.col("contents") > CROWD).select(
+        *columns, F.lit(0).cast("bigint").alias("low"), F.lit(WIDTH).cast("bigint").alias("high"))
     place = F.struct("_key", "start")
-    firsts = windows.groupBy("window").agg(F.min(place).alias("first"))
-    return windows.join(firsts, "window").filter(place > F.col("first")).select(
-        "_key", "start", (F.col("start") + LENGTH).alias("end"))
+    while not crowded.isEmpty():
+        halves = materialize(crowded.mapInArrow(
+            _halved, "anchor bigint, start bigint, _key bigint, bytes binary, low bigint, high bigint"), "halves")
+        firsts = halves.groupBy("anchor", "bytes").agg(
+            F.min(place).alias("first"), F.min("low").alias("low"), F.min("high").alias("high"))
+        contents = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
+        firsts = materialize(firsts.join(contents, "anchor"), "first-halves")
+        copied.append(halves.join(firsts.select("anchor", "bytes", "first"), ["anchor", "bytes"]).filter(place > F.col("first")).select(
+            "_key", "start", (F.col("start") + F.length("bytes")).alias("end")))
+        open_ = firsts.filter("contents > 1").select("anchor", "first.start", "first._key", "bytes", "low", "high", "contents")
+        again = (F.col("contents") > CROWD) & (F.col("high") - F.col("low") > 1)
+        calm = calm.union(open_.filter(~again).select(columns))
+        crowded = open_.filter(again).drop("contents")
+    return calm, copied
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -139,6 +139,29 @@ def test_repeats_equal_brute_force(ready, monkeypatch, crowd):
     assert found == brute_repeats(rows)
 
 
+def test_crowded_anchors_are_halved_not_cut_into_windows(ready, monkeypatch):
+    """A passage in many surroundings: a few rows a stretch at most, and no window is lost."""
+    source = random.Random(8)
+    passage = "".join(source.choice("abcdefgh ") for _ in range(60))
+    rows = [(key, "".join(source.choice("ijklmnop ") for _ in range(80)) + passage
+             + "".join(source.choice("qrstuvw ") for _ in range(80))) for key in range(400)]
+    rows += [(key + 400, rows[key][1][5 + key % 9 :]) for key in range(0, 400, 4)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sizes, keep = {}, suffixes.materialize
+
+    def kept(df, label):
+        out = keep(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "materialize", kept)
+    monkeypatch.setattr(suffixes, "CROWD", 50)
+    found = {r.doc_id: tuple(r)[1:5] for r in suffixes.remove_repeats(docs).collect()}
+    assert found == brute_repeats(rows)
+    assert sizes["halves"] and sum(sizes["halves"]) <= 2 * len(sizes["halves"]) * sizes["pieces"][0]
+    assert len(sizes["halves"]) <= 3
+
+
 def test_long_texts_are_cut_alike(monkeypatch):
     """Every window is in one stretch, and equal windows keep equal anchors, in parts or whole."""
     import pyarrow as pa
