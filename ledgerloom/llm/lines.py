@@ -15,10 +15,13 @@ whether or not the earlier one is removed itself.
 * In a first round a line only meets the earliest line of each of its prefix words, which
   settles most near copies of one line without comparing them with each other.  Only lines
   that found no match then meet all others.
+* There the shorter line of a pair brings the fewer prefix words, and words only meet within
+  classes of sizes, as lines of very unequal sizes cannot match.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +39,10 @@ BUCKETS = 1 << 20
 SHARES = 4
 #: Lines of more words than ``LONG`` have ``WIDE`` times 64 parity bits.
 LONG, WIDE = 90, 4
+#: Lines are compared by classes of sizes, each so many times the one below; more than UNDER / OVER.
+CLASS = 1.6
 _HASH_BITS = 56
+_PARTS = [f"wide_{k}" for k in range(WIDE)]
 
 
 def _plain(text: Column) -> Column:
@@ -52,6 +58,12 @@ def line_words(line: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(_plain(line), " ")), "")
 
 
+def word_hashes(line: Column) -> Column:
+    """Distinct hashes of a line's words; numbers are told apart faster than words."""
+    hashes = F.transform(F.split(_plain(line), " "), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
+
+
 def text_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``doc``, ``line_no``, ``line`` of every line of every document."""
     parts = F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")
@@ -62,11 +74,10 @@ def _bucket(word_hash: Column) -> Column:
     return word_hash.bitwiseAND(F.lit(BUCKETS - 1))
 
 
-def rarity_classes(texts: DataFrame) -> bytes:
-    """One character per bucket, greater for more frequent words; its size is ``BUCKETS`` bytes."""
-    spark = texts.sparkSession
-    words = F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")
-    seen = texts.select(F.explode(words).alias("word")).select(_bucket(F.xxhash64("word")).alias("bucket"))
+def rarity_classes(sets: DataFrame) -> bytes:
+    """One character per bucket of ``hashes``, greater for more frequent words; its size is ``BUCKETS`` bytes."""
+    spark = sets.sparkSession
+    seen = sets.select(F.explode("hashes").alias("word")).select(_bucket(F.col("word")).alias("bucket"))
     counts = seen.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     every = spark.range(BUCKETS).select(F.col("id").alias("bucket"), F.lit(0).cast("bigint").alias("n"))
     total = counts.union(every).groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -96,23 +107,28 @@ def _parities(hashes: Column) -> Column:
         lambda bits, h: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def _wide_parities(hashes: Column) -> Column:
-    """Parities of a long line in several parts, by further bits of the hashes; null for others.
+def _parted(sets: DataFrame) -> DataFrame:
+    """``sets`` with ``parts``: the ``hashes`` of a long line in ``WIDE`` parts by their value, others in one.
 
     64 bits are soon full; the words of each part are told apart by 64 bits of their own.
+    Bounds are sorted in with the hashes, so that parts are slices and no word is tested.
     """
-    def part(number: int) -> Column:
-        own = F.filter(hashes, lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1)) == number)
-        return _parities(own)
-
-    return F.when(F.size(hashes) > LONG, F.array(*[part(k) for k in range(WIDE)]))
+    bounds = [F.lit((k << 64) // WIDE - (1 << 63)).cast("bigint") for k in range(1, WIDE)]
+    long_ = F.size("hashes") > LONG
+    held = F.when(long_, F.sort_array(F.concat("hashes", F.array(*bounds))))
+    sets = computed_once(sets.withColumn("_held", held), ["hashes", "_held"])
+    ends = [F.lit(0), *[F.array_position("_held", b).cast("int") for b in bounds], F.size("_held") + 1]
+    parts = [F.slice("_held", first + 1, last - first - 1) for first, last in zip(ends, ends[1:])]
+    sets = sets.withColumn("parts", F.when(long_, F.array(*parts)).otherwise(F.array("hashes")))
+    return computed_once(sets.drop("_held"), ["hashes", "parts"])
 
 
 def _differing(x: str, y: str) -> Column:
     """Words that certainly differ, from the parities of two lines."""
-    wide = F.aggregate(
-        F.zip_with(f"{x}wide", f"{y}wide", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, n: total + n)
-    return F.coalesce(wide, F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))))
+    def apart(name: str) -> Column:
+        return F.bit_count(F.col(f"{x}.{name}").bitwiseXOR(F.col(f"{y}.{name}")))
+
+    return F.coalesce(reduce(Column.__add__, map(apart, _PARTS)), apart("bits"))
 
 
 def _least(numerator: int, denominator: int, n: Column) -> Column:
@@ -120,16 +136,36 @@ def _least(numerator: int, denominator: int, n: Column) -> Column:
     return F.floor((n * numerator + (denominator - 1)) / denominator).cast("int")
 
 
-def _prefixes(firsts: DataFrame) -> DataFrame:
-    """A row per prefix word: ``token``, ``place``, ``indexed`` (in the shorter prefix), the line and its size."""
-    index = F.col("n") - _least(2 * OVER, OVER + UNDER, F.col("n")) + 1
-    return firsts.select(
-        "id", "doc", "line_no", "n", "bits", "wide", index.alias("index_size"), F.posexplode("codes").alias("at", "token"),
-    ).select("id", "doc", "line_no", "n", "bits", "wide", "token", (F.col("at") + 1).alias("place"), (F.col("at") < F.col("index_size")).alias("indexed"))
+def _index_size(n: Column) -> Column:
+    """Prefix words that the shorter one of two matching lines needs."""
+    return n - _least(2 * OVER, OVER + UNDER, n) + 1
 
 
-def _earlier(a: str, b: str) -> Column:
-    return F.struct(F.col(f"{a}.doc"), F.col(f"{a}.line_no")) < F.struct(F.col(f"{b}.doc"), F.col(f"{b}.line_no"))
+def size_class(n: Column) -> Column:
+    """Lines match within one class or with the class below."""
+    return F.floor(F.log(n) / math.log(CLASS)).cast("bigint")
+
+
+def _prefixes(firsts: DataFrame, role: str) -> DataFrame:
+    """A row per prefix word: ``token``, ``place``, the line and its size; ``key`` of word and size class, or of the word alone.
+
+    As the ``shorter`` one a line needs fewer words, in its own class; as the ``longer`` one it
+    also meets the class of the shortest line that can match it.
+    """
+    n, place = F.col("n"), F.col("at") + 1
+    line = ["id", "n", "bits", *_PARTS]
+    parts = [F.get("wide", F.lit(k)).alias(name) for k, name in enumerate(_PARTS)]
+    rows = firsts.select("id", "n", "bits", *parts, size_class(n).alias("class"), F.posexplode("codes").alias("at", "token"))
+    if role == "any":
+        return rows.select(*line, "token", place.alias("place"), F.col("token").alias("key"))
+    if role == "shorter":
+        rows = rows.filter(place <= _index_size(n))
+    else:
+        classes = F.array_distinct(F.array("class", size_class(_least(OVER, UNDER, n))))
+        rows = rows.select(*line, "at", "token", F.explode(classes).alias("class"))
+    return rows.select(
+        *line, "token", place.alias("place"),
+        F.col("token").bitwiseXOR(F.shiftleft("class", _HASH_BITS - 8)).alias("key"))  # equal keys of unequal words only cost time
 
 
 def _sizes_allow(nx: Column, ny: Column, differing: Column) -> Column:
@@ -143,43 +179,69 @@ def _sizes_allow(nx: Column, ny: Column, differing: Column) -> Column:
 def _possible(x: str, y: str) -> Column:
     """Length and positional bounds of a shared prefix word; sizes decide which prefix counts."""
     nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    place_x, place_y = F.col(f"{x}.place"), F.col(f"{y}.place")
     need = _least(OVER, OVER + UNDER, nx + ny)
     return (
         _sizes_allow(nx, ny, F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))))
-        & _sizes_allow(nx, ny, _differing(f"{x}.", f"{y}."))
-        & ((nx < ny) | F.col(f"{y}.indexed")) & ((ny < nx) | F.col(f"{x}.indexed"))
-        & (1 + F.least(nx - F.col(f"{x}.place"), ny - F.col(f"{y}.place")) >= need)
+        & _sizes_allow(nx, ny, _differing(x, y))
+        & ((nx < ny) | (place_y <= _index_size(ny))) & ((ny < nx) | (place_x <= _index_size(nx)))
+        & (1 + F.least(nx - place_x, ny - place_y) >= need)
     )
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``later`` ids of pairs (``later``, ``earlier``) whose lines match, by the words of both lines."""
-    wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("id")).distinct()
-    places = firsts.select("id", "doc", "line_no").join(wanted, "id")
-    texts = materialize(lines.join(places, ["doc", "line_no"]).select("id", "line"), "line-texts")
-    a = texts.select(F.col("id").alias("later"), F.col("line").alias("a"))
-    b = texts.select(F.col("id").alias("earlier"), F.col("line").alias("b"))
-    both = computed_once(pairs.join(a, "later").join(b, "earlier").select(
-        "later", line_words(F.col("a")).alias("a"), line_words(F.col("b")).alias("b")), ["a", "b"])
+def _sharing(x: DataFrame, y: DataFrame, share: int) -> DataFrame:
+    """Pairs of ids, the smaller one first, of lines that can match by a prefix word of this share."""
+    own = F.pmod("token", F.lit(SHARES)) == share
+    allowed = _possible("x", "y")
+    if x is y:
+        roles, hint = ("shorter", "longer"), "shuffle_hash"
+        allowed = (F.col("x.n") <= F.col("y.n")) & allowed & (F.col("x.id") != F.col("y.id"))
+    else:
+        roles, hint = ("any", "any"), None
+    sides = [_prefixes(lines, role).filter(own).drop("token") for lines, role in zip((x, y), roles)]
+    left = sides[0].hint(hint) if hint else sides[0]
+    ids = F.col("x.id"), F.col("y.id")
+    return left.alias("x").join(sides[1].alias("y"), F.expr("x.key = y.key") & allowed).select(
+        F.least(*ids).alias("a"), F.greatest(*ids).alias("b"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, firsts: DataFrame) -> DataFrame:
+    """``id`` of the later line of each pair (``a``, ``b``) whose lines match, by the words of both lines."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    # Written, so that its size is known: few places go to the texts instead of the texts to them.
+    places = materialize(firsts.select("id", "doc", "line_no").join(wanted, "id"), "places")
+    of_doc = places.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("id", "doc", "line_no")).alias("_places"))
+    parts = computed_once(docs.select(F.col(key).alias("_doc"), F.col(text).cast("string").alias("_text")).join(of_doc, "_doc").select(
+        "_places", F.split(F.coalesce("_text", F.lit("")), "\n").alias("_parts")), ["_parts"])
+    texts = materialize(parts.select(F.inline(F.transform("_places", lambda p: F.struct(
+        p["id"].alias("id"), F.struct(p["doc"], p["line_no"]).alias("at"), F.get("_parts", p["line_no"]).alias("line"))))), "line-texts")
+    sides = [texts.select(F.col("id").alias(s), F.col("at").alias(f"at_{s}"), F.col("line").alias(f"line_{s}")) for s in "ab"]
+    both = computed_once(pairs.join(sides[0], "a").join(sides[1], "b").select(
+        F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b")).alias("id"),
+        line_words(F.col("line_a")).alias("a"), line_words(F.col("line_b")).alias("b")), ["a", "b"])
     # common / (|a| + |b| - common) >= OVER / UNDER, with the costly side once
     matches = F.size(F.array_intersect("a", "b")) * (OVER + UNDER) >= (F.size("a") + F.size("b")) * OVER
-    return both.filter(matches).select("later").distinct()
+    return both.filter(matches).select("id").distinct()
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc`` and ``line_no`` of every line that matches an earlier one."""
     lines = text_lines(docs, key, text)
-    classes = rarity_classes(docs.select(F.col(text).cast("string").alias("text")))
-    sets = computed_once(lines.select("doc", "line_no", line_words(F.col("line")).alias("words")), ["words"])
-    hashed = computed_once(sets.filter(F.size("words") >= MIN_WORDS).select(
-        "doc", "line_no", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")), ["hashes"])
-    coded = computed_once(hashed.select(
+    hashed = computed_once(lines.select("doc", "line_no", word_hashes(F.col("line")).alias("hashes")), ["hashes"])
+    sets = materialize(hashed.filter(F.size("hashes") >= MIN_WORDS), "line-words")  # texts are cut into words once
+    classes = rarity_classes(sets)
+    parities = F.transform("parts", _parities)
+    coded = computed_once(_parted(sets).select(
         "doc", "line_no", F.array(F.array_min("hashes"), F.array_max("hashes")).alias("extremes"),
-        _parities(F.col("hashes")).alias("bits"), _wide_parities(F.col("hashes")).alias("wide"), ordered_codes(F.col("hashes"), classes).alias("codes")), ["codes"])
+        parities.alias("parities"), ordered_codes(F.col("hashes"), classes).alias("codes")), ["parities", "codes"])
     n = F.size("codes")
+    bits = F.aggregate("parities", F.lit(0).cast("bigint"), lambda total, part: total.bitwiseXOR(part))
+    wide = F.when(F.size("parities") > 1, F.col("parities"))
     placed = materialize(coded.select(
         "doc", "line_no", n.alias("n"), F.xxhash64("codes").alias("id"),  # lines with one set of words share an id
-        F.slice("codes", 1, n - _least(OVER, UNDER, n) + 1).alias("codes"), "bits", "wide", "extremes"), "lines")
+        F.slice("codes", 1, n - _least(OVER, UNDER, n) + 1).alias("codes"),
+        bits.alias("bits"), wide.alias("wide"), "extremes"), "lines")
+    discard(sets)
     firsts = materialize(placed.groupBy("id").agg(
         F.min(F.struct("doc", "line_no")).alias("at"), F.min("n").alias("n"), F.min("codes").alias("codes"),
         F.min("bits").alias("bits"), F.min("wide").alias("wide"), F.min("extremes").alias("extremes"),
@@ -189,18 +251,18 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     ).filter(F.struct("doc", "line_no") > F.col("at")).select("doc", "line_no"), "copies")
     discard(placed)
 
-    settled = materialize(_verified(materialize(_leader_pairs(firsts), "pairs"), lines, firsts), "settled")
-    open_ = firsts.join(settled.withColumnRenamed("later", "id"), "id", "left_anti")
-    found = [settled]
+    settled = materialize(_verified(materialize(_leader_pairs(firsts), "pairs"), docs, key, text, firsts), "settled")
+    open_ = materialize(firsts.join(settled, "id", "left_anti"), "open-lines")
+    done = materialize(firsts.join(settled, "id", "left_semi"), "settled-lines")
+    found = []
     for share in range(SHARES):
-        own = F.pmod("token", F.lit(SHARES)) == share
-        x, y = _prefixes(open_).filter(own).alias("x"), _prefixes(firsts).filter(own).alias("y")
-        pairs = materialize(x.join(y, F.expr("x.token = y.token") & _earlier("y", "x") & _possible("x", "y")).select(
-            F.col("x.id").alias("later"), F.col("y.id").alias("earlier")).distinct(), "pairs")
-        found.append(pairs)
-    pairs = reduce(DataFrame.union, found[1:]).distinct()
-    matched = settled.union(materialize(_verified(pairs, lines, firsts), "settled"))
-    near = firsts.join(matched.withColumnRenamed("later", "id"), "id", "left_semi").select("doc", "line_no")
+        # Lines settled already only serve as the earlier ones of others, never of each other.
+        pairs = _sharing(open_, open_, share).union(_sharing(open_, done, share))
+        found.append(materialize(pairs.distinct(), "pairs"))
+    discard(open_)
+    pairs = materialize(reduce(DataFrame.union, found).distinct(), "pairs")
+    matched = settled.union(materialize(_verified(pairs, docs, key, text, firsts), "settled"))
+    near = firsts.join(matched, "id", "left_semi").select("doc", "line_no")
     return copies.union(near)
 
 
@@ -214,7 +276,7 @@ def _leader_pairs(firsts: DataFrame) -> DataFrame:
     differing = F.bit_count(F.col("bits").bitwiseXOR(F.col("first.bits")))
     return rows.join(leaders, ["which", "key"]).filter(
         (F.col("id") != F.col("first.id")) & _sizes_allow(F.col("n"), F.col("first.n"), differing),
-    ).select(F.col("id").alias("later"), F.col("first.id").alias("earlier")).distinct()
+    ).select(F.col("id").alias("a"), F.col("first.id").alias("b")).distinct()
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

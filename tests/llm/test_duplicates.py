@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import lines, queries, simhash, suffixes
 from ledgerloom.llm.components import connected
@@ -266,3 +267,40 @@ def test_lines_of_odd_rows(ready, odd_docs, no_docs, odd_rows):
 def test_line_joins_stay_native(ready, documents):
     plan = lines.without_repeats(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_lines_of_all_sizes_equal_brute_force(ready):
+    """Lines below and above ``LONG`` words, near copies across size classes, one word in all lines."""
+    source = random.Random(5)
+    rows = []
+    for key in range(60):
+        words = [f"w{source.randrange(10**6)}" for _ in range(source.choice([5, 6, 8, 12, 20, 32, 50, 89, 91, 120, 200, 260]))]
+        text = []
+        for _ in range(4):
+            size = source.randint(-(-4 * len(words) // 5) - 1, len(words))
+            copy = source.sample(words, size) + [f"v{source.randrange(10**6)}" for _ in range(source.randint(0, len(words) // 6))]
+            text.append(" ".join([*copy, "everywhere"]))
+        rows.append((key, "\n".join(text)))
+    docs = ready.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = brute_lines(rows)
+    assert {(r.doc, r.line_no) for r in lines.repeated_lines(docs).collect()} == expected
+    assert 40 < len(expected) < 200
+
+
+def test_line_pairs_meet_without_lambdas(ready, documents, monkeypatch):
+    """What runs for each pair of lines is generated code, and only lines of near sizes meet."""
+    plans = []
+
+    def watched(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return materialize(df, label)
+
+    materialize = lines.materialize
+    monkeypatch.setattr(lines, "materialize", watched)
+    lines.repeated_lines(documents).count()
+    joins = [plan for label, plan in plans if label == "pairs"]
+    assert len(joins) > lines.SHARES and not any("lambda" in plan for plan in joins)
+    sizes = ready.range(5, 3000).selectExpr("cast(id as int) as n")
+    classes = {r.n: r["class"] for r in sizes.select("n", lines.size_class(F.col("n")).alias("class")).collect()}
+    assert all({classes[m] for m in range(-(-4 * n // 5), n + 1)} <= {classes[n], classes[-(-4 * n // 5)]} for n in range(7, 3000))
+    assert classes[2999] > classes[5] + 8
