@@ -18,7 +18,7 @@ fingerprints with a wider radius give candidates, and whole sets verify them.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -564,11 +564,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
         F.col("k").alias(key), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("k")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs`` whose key names its component: one document of each group of near copies stays.
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text",
+               groups: Callable[[DataFrame, str, str], DataFrame] = near_groups) -> DataFrame:
+    """Rows of ``docs`` whose key names its component: one document of each of ``groups`` stays.
 
-    Repeated rows of one key stay together; rows without a key, or without words, stay.
+    Groups are those of near fingerprints, or of near copies with ``similar_groups``, which
+    leaves texts without words alone.  Repeated rows of one key stay together; rows without a
+    key stay.
     """
-    found = similar_groups(docs, key, text, size, percent).filter(F.col(key) != F.col("component_id")).select(key).distinct()
+    found = groups(docs, key, text).filter(F.col(key) != F.col("component_id")).select(key).distinct()
     found = found.hint("shuffle_hash")  # keys are hashed, so the texts need no sort
     return docs.join(found, key, "left_anti")
