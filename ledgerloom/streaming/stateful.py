@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import bisect
-import datetime as dt
 import json
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,51 +20,85 @@ from ..operators.spend import expenses, spend_window
 from .ingest import state_on_disk
 
 
-def _daily_changes(days: dict[str, list]) -> dict[str, int]:
-    """Change of the active state on each day, from the last state of every day."""
-    changes, active = {}, False
-    for day in sorted(days):
-        changes[day] = int(days[day][2]) - int(active)
-        active = days[day][2]
+#: The last event of one employee's day; ``who`` is the place of the employee in the bucket's list.
+_LAST = np.dtype([("who", "<i4"), ("day", "<i4"), ("micros", "<i8"), ("seq", "<i8"), ("active", "?")])
+#: Buckets of employees that share a state.
+BUCKETS = 8192
+
+
+def _last_of_days(rows: np.ndarray) -> np.ndarray:
+    """The last row of every employee and day, in order; of equal times and numbers, the later row."""
+    rows = rows[np.lexsort((rows["seq"], rows["micros"], rows["day"], rows["who"]))]
+    last = np.ones(len(rows), bool)
+    last[:-1] = (rows["who"][1:] != rows["who"][:-1]) | (rows["day"][1:] != rows["day"][:-1])
+    return rows[last]
+
+
+def _daily_changes(days: np.ndarray) -> np.ndarray:
+    """Change of the active state on each day of ``_last_of_days``."""
+    changes = days["active"].astype(np.int32)
+    same = days["who"][1:] == days["who"][:-1]
+    changes[1:] -= days["active"][:-1] & same
     return changes
 
 
-def headcount_changes(events: DataFrame) -> DataFrame:
+def _moved(before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The days of ``after`` whose change is another than ``before``, and by how much."""
+    moved = _daily_changes(after)
+    place = [days["who"].astype(np.int64) << 32 | days["day"].astype(np.int64) + (1 << 31) for days in (before, after)]
+    moved[np.searchsorted(place[1], place[0])] -= _daily_changes(before)  # no day is ever forgotten
+    return after[moved != 0], moved[moved != 0]
+
+
+def headcount_changes(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Changes of the active set: their sums per day are those of the batch job.
 
     State is the last event of every day of an employee.  A batch may bring events of any
     age; it emits what its events add to or take from the changes of the days they touch,
     so the sums do not depend on how files fall into batches.
-    """
 
-    def replay(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        days = json.loads(state.get[0]) if state.exists else {}
-        before = _daily_changes(days)
-        # Arrow hands over a key's rows in pieces; only the three short columns stay.
-        rows = pd.concat([b[["event_ts", "seq", "is_active"]] for b in batches])
-        rows["day"] = pd.to_datetime(rows["event_ts"]).dt.date.astype(str)
-        last = rows.sort_values(["event_ts", "seq"]).groupby("day").tail(1)
-        for row in last.itertuples():
-            stamp = [pd.Timestamp(row.event_ts).value, int(row.seq), row.is_active is not False and row.is_active != False]  # noqa: E712
-            if row.day not in days or days[row.day][:2] <= stamp[:2]:
-                days[row.day] = stamp  # unknown counts as active
-        after = _daily_changes(days)
-        moved = {d: c - before.get(d, 0) for d, c in after.items() if c != before.get(d, 0)}
-        state.update((json.dumps(days),))
-        yield pd.DataFrame({
-            "company_id": key[0], "employee_id": key[1],
-            "date": [dt.date.fromisoformat(d) for d in moved], "change": list(moved.values()),
-        })
-
-    return events.groupBy("company_id", "employee_id").applyInPandasWithState(
+    Employees share a state by the hash of their id, as a call of Python costs more than the
+    days of some dozen employees; a batch reads and writes the states of the buckets it
+    touches.  More ``buckets`` are for many more employees than a million; a stream keeps the
+    number it began with.  An unknown state counts as active, events without a time are an error.
+    """
+    state_on_disk(events.sparkSession)
+    micros = F.unix_micros(F.col("event_ts").cast("timestamp"))
+    untold = F.raise_error(F.lit("an event has no time")).cast("bigint")
+    rows = events.select(
+        F.pmod(F.xxhash64("company_id", "employee_id"), F.lit(buckets)).cast("int").alias("bucket"),
+        "company_id", "employee_id",
+        F.datediff(F.to_date("event_ts"), F.lit("1970-01-01").cast("date")).alias("day"),
+        F.when(micros.isNull(), untold).otherwise(micros).alias("micros"),
+        F.coalesce(F.col("seq").cast("bigint"), F.lit(-(1 << 63))).alias("seq"),
+        F.coalesce("is_active", F.lit(True)).alias("active"))
+
+    def replay(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        names, kept = state.get if state.exists else ("[]", b"")
+        people = {tuple(name): n for n, name in enumerate(json.loads(names))}
+        before = after = np.frombuffer(kept, _LAST)
+        for batch in batches:  # Arrow hands over a bucket's rows in pieces; a row per day stays of each
+            new = np.empty(len(batch), _LAST)
+            new["who"] = [people.setdefault(name, len(people)) for name in zip(batch["company_id"], batch["employee_id"])]
+            for name in _LAST.names[1:]:
+                new[name] = batch[name]
+            after = _last_of_days(np.concatenate([after, new]))
+        state.update((json.dumps(list(people)), after.tobytes()))
+        days, change = _moved(before, after)
+        names = np.empty(len(people), object)
+        names[:] = list(people)
+        company, employee = zip(*names[days["who"]]) if len(days) else ((), ())
+        yield pd.DataFrame({"company_id": company, "employee_id": employee, "day": days["day"], "change": change})
+
+    moved = rows.groupBy("bucket").applyInPandasWithState(
         replay,
-        "company_id string, employee_id string, date date, change int",
-        "days string",
+        "company_id string, employee_id string, day int, change int",
+        "people string, days binary",
         "append",
         GroupStateTimeout.NoTimeout,
     )
+    return moved.select(
+        "company_id", "employee_id", F.date_add(F.lit("1970-01-01").cast("date"), F.col("day")).alias("date"), "change")
 
 
 def start_batches(rows: DataFrame, out: str, checkpoint: str, every: str | None = "60 seconds",

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import reviews, spend
+from ledgerloom.operators import reviews, spend, workforce
 from ledgerloom.streaming import ingest, stateful
 
 from test_files_and_streams import envelope, write_gz
@@ -122,6 +122,38 @@ def test_spend_stream_with_late_undated_and_old_rows(spark, tmp_path):
     assert key == [tuple(map(str, r)) for r in rounded(expected)] and len(key) == 10
 
 
+# --- headcount --------------------------------------------------------------------------------
+HEADS = "company_id string, employee_id string, event_ts timestamp, is_active boolean, seq bigint"
+
+
+def test_employees_of_a_bucket_share_a_state(spark, tmp_path):
+    source = random.Random(2)
+    start = dt.datetime(2025, 12, 20)
+    rows = [(source.choice(["a", "b", None]), f"e{source.randrange(300)}", start + dt.timedelta(hours=source.randrange(900)),
+             source.choice([True, False, None]), n) for n in range(3000)]
+    rows += [("a", f"e{n}", start - dt.timedelta(days=40000), True, -n) for n in range(9)]  # long before 1970
+    land(spark, rows, HEADS, f"{tmp_path}/in", 4)
+    changes = stateful.headcount_changes(stream(spark, HEADS, f"{tmp_path}/in"), buckets=8)
+    query = finish(stateful.start_batches(changes, f"{tmp_path}/out", f"{tmp_path}/cp", None))
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 8  # not one for each of some 800 employees
+    written = spark.read.parquet(f"{tmp_path}/out")
+
+    def totals(changes, *keys):
+        return {(*r,) for r in changes.groupBy(*keys).agg(F.sum("change").alias("c")).filter("c <> 0").collect()}
+
+    batch = workforce.headcount_changes(spark.createDataFrame(rows, HEADS))
+    assert totals(written, "company_id", "date") == totals(batch, "company_id", "date")
+    single = workforce.headcount_changes(spark.createDataFrame(rows, HEADS), ("company_id", "employee_id"))
+    assert totals(written, "company_id", "employee_id", "date") == totals(single, "company_id", "employee_id", "date")
+
+
+def test_headcount_events_need_a_time(spark, tmp_path):
+    land(spark, [("a", "e", None, True, 1)], HEADS, f"{tmp_path}/in", 1)
+    query = stateful.start_batches(stateful.headcount_changes(stream(spark, HEADS, f"{tmp_path}/in")), f"{tmp_path}/out", f"{tmp_path}/cp", None)
+    with pytest.raises(Exception, match="an event has no time"):
+        query.awaitTermination()
+
+
 # --- what a batch reads -----------------------------------------------------------------------
 def bytes_read(spark):
     """Bytes all stages so far have read from files."""
