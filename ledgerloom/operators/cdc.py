@@ -131,29 +131,45 @@ def drop_copies(df: DataFrame, scope: list[str], digest: str = "row_hash") -> Da
     return df.dropDuplicates([*scope, digest])
 
 
-def clean_lines(
-    lines: DataFrame,
-    keys: tuple[str, ...] = ("company_id",),
-    line: str = "line",
-    file: str = "source_file",
-) -> DataFrame:
-    """Trusted records from raw lines: one row per distinct record of a file and route.
+def line_records(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Every line with its ``route`` or ``reject``, and the ``record`` and ``row_hash`` of a routed one.
 
     The record leaves as JSON text; a VARIANT cannot be compared, so it must not meet
     a shuffle key.
     """
-    good = parse_lines(lines, line).filter("route IS NOT NULL")
-    rows = standardize_times(good).select(
+    parsed = parse_lines(lines, line)
+    routed = parsed.withColumn("raw", F.when(F.col("route").isNotNull(), F.col("raw")))
+    return standardize_times(routed).select(
+        *lines.columns, "reject", "route", content_hash().alias("row_hash"), F.to_json("raw").alias("record")
+    )
+
+
+def trusted_records(
+    records: DataFrame, keys: tuple[str, ...] = ("company_id",), file: str = "source_file"
+) -> DataFrame:
+    """One row per distinct record of a file and route, from ``line_records``."""
+    rows = records.filter("route IS NOT NULL").select(
         *keys,
         F.col(file),
         F.split_part("route", F.lit("/"), F.lit(1)).alias("domain"),
         F.split_part("route", F.lit("/"), F.lit(2)).alias("table"),
-        content_hash().alias("row_hash"),
-        F.to_json("raw").alias("record"),
+        "row_hash",
+        "record",
     )
     return drop_copies(rows, [*keys, file, "domain", "table"])
 
 
+def clean_lines(
+    lines: DataFrame,
+    keys: tuple[str, ...] = ("company_id",),
+    line: str = "line",
+    file: str = "source_file",
+) -> DataFrame:
+    """Trusted records from raw lines: one row per distinct record of a file and route."""
+    texts = lines.select(*keys, F.col(file), F.col(line).alias("line"))
+    return trusted_records(line_records(texts), keys, file)
+
+
 def rejected_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Lines that were not kept, with the reason."""
     return parse_lines(lines, line).filter("reject IS NOT NULL").drop("raw", "route")

@@ -104,8 +104,8 @@ def stream_ingest(spark, d):
     _run_to_end(ingest.start_ingest(
         stream, "acme", f"{out}/trusted", f"{out}/rejects", f"{out}/backup", f"{out}/checkpoint", every=None
     ))
-    trusted = spark.read.parquet(f"{out}/trusted")
-    record = F.coalesce(F.get_json_object("record", "$.transaction_id"), F.get_json_object("record", "$.id"))
+    trusted = spark.read.parquet(f"{out}/trusted").select("domain", "table", F.json_tuple("record", "transaction_id", "id").alias("_transaction", "_id"))
+    record = F.coalesce("_transaction", "_id")
     return trusted.groupBy("domain", "table", record.alias("record_id")).agg(F.count("*").cast("int").alias("copies"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cdc import clean_lines, content_hash, parse_lines, standardize_times
+from ..operators.cdc import content_hash, line_records, parse_lines, standardize_times, trusted_records
 from ..sources.files import with_lineage
 from ..sources.sinks import write_trusted
 
@@ -18,6 +18,16 @@ def raw_stream(spark: SparkSession, path: str, max_bytes: int = 5 << 20) -> Data
     return with_lineage(lines.withColumnRenamed("value", "line"))
 
 
+#: A batch's rejects and backup are in a file for so many lines, in one for each task at most.
+LINES = 100_000
+
+
+def _dealt_out(lines: DataFrame) -> DataFrame:
+    """Lines spread over all cores: a gzip file is read by one task, and reading is the least of the work."""
+    number = 2 * lines.sparkSession.sparkContext.defaultParallelism
+    return lines.withColumn("_n", F.monotonically_increasing_id()).repartition(number, "_n").drop("_n")
+
+
 def start_ingest(
     lines: DataFrame,
     company,
@@ -29,20 +39,24 @@ def start_ingest(
 ) -> StreamingQuery:
     """Clean every batch into ``trusted``, keep rejected lines and a copy of the raw ones.
 
+    A line is parsed once, whatever is made of it, and the lines of a file by many tasks.
     Each file is one source batch of the trusted table, so a batch that runs again
     replaces its own output; rejects and backup are keyed by batch for the same reason.
     ``every=None`` processes what has landed and stops.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch = batch.withColumn("company_id", F.lit(company)).persist()
+        batch = batch.withColumn("company_id", F.lit(company))
+        lines = line_records(_dealt_out(batch)).persist()
         try:
-            write_trusted(clean_lines(batch), trusted)
-            parsed = parse_lines(batch).filter("reject IS NOT NULL").drop("raw", "route")
-            parsed.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
-            batch.write.mode("overwrite").option("compression", "gzip").json(f"{backup}/batch={epoch}")
+            files = lines.count() // LINES + 1
+            write_trusted(trusted_records(lines), trusted)
+            rejected = lines.select(*batch.columns, "reject").filter("reject IS NOT NULL")
+            rejected.coalesce(files).write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
+            copy = lines.select(*batch.columns).coalesce(files)
+            copy.write.mode("overwrite").option("compression", "gzip").json(f"{backup}/batch={epoch}")
         finally:
-            batch.unpersist()
+            lines.unpersist()
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (

@@ -173,6 +173,36 @@ def test_ingest_equals_batch_and_goes_on(spark, tmp_path):
     assert trusted().count() == 8 and trusted().filter("table = 'accounts'").count() == 1
 
 
+def test_ingest_parses_a_line_once_and_spreads_a_file(spark, tmp_path, monkeypatch):
+    parsed = []
+    parse = F.try_parse_json
+    monkeypatch.setattr(F, "try_parse_json", lambda c: parsed.append(c) or parse(c))
+    lines = [envelope("transactions", {"id": n, "note": "x" * n}) for n in range(120)]
+    lines += lines[:30] + ["broken", "broken", "", envelope("audit", {"id": 1}), '{"metadata": {}}', "[1]", "{}"]
+    write_gz(tmp_path / "raw/2026/02/24/one.gz", lines)
+
+    def files_of(name):
+        return list((tmp_path / name).rglob("part-*"))
+
+    ingest_all(spark, tmp_path)
+    assert len(parsed) == 1  # in one batch
+    assert len(files_of("backup")) == len(files_of("rejects")) == 1  # few lines are in one file
+    rejects = spark.read.parquet(f"{tmp_path}/rejects")
+    assert sorted(rejects.columns) == ["batch", "company_id", "line", "reject", "source_file", "source_modified"]
+    assert sorted(r.reject for r in rejects.collect()) == [
+        "blank_line", "control_record", "empty_record", "malformed_json", "malformed_json", "not_an_object", "unrouted_table"]
+    copy = spark.read.json(f"{tmp_path}/backup")
+    assert sorted(copy.columns) == ["batch", "company_id", "line", "source_file", "source_modified"]
+    assert sorted(r.line for r in copy.collect()) == sorted(lines)
+    assert ids_of(spark, f"{tmp_path}/trusted") == list(range(120))
+
+    monkeypatch.setattr(ingest, "LINES", 20, raising=False)
+    write_gz(tmp_path / "raw/2026/02/24/two.gz", lines)  # one task reads it, several make what becomes of it
+    ingest_all(spark, tmp_path)
+    assert len([f for f in files_of("backup") if "batch=1" in str(f)]) > 1
+    assert spark.read.json(f"{tmp_path}/backup").count() == 2 * len(lines) and len(ids_of(spark, f"{tmp_path}/trusted")) == 240
+
+
 def run_batches(spark, df, out, checkpoint):
     def write(batch, epoch):
         batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
